@@ -1,22 +1,350 @@
-"""Queries by name, and their SQL."""
+"""Queries by name over the test tables, and the SQL that checks them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from examsift.operators import nested
+from examsift.functions import text as X
+from examsift.functions import variants as V
+from examsift.operators import answers, audit, generation, judging, nested, rules, selection, similarity
+from examsift.plans import pipeline
+from examsift.plans.oracles import oracle_sql  # noqa: F401
 from examsift.runtime import table
+from examsift.sources import jsonl
+
+GATES = selection.Gates(allow_unjudged=True)
+STRICT = selection.Gates(enforce_target=True, max_dataset_accuracy=0.6, max_item_accuracy=0.9)
+CAPPED = selection.Gates(target_size=50, enforce_target=True, max_dataset_accuracy=0.3, allow_unjudged=True, allow_unsolved=True, allow_unscored=True)
+#: Stands in for an answer key file.
+KEY = '{"arithmetic": {"Q1": "C", "Q2": "A", "Q3": "E"}, "sequences": {"Q1": "B", "Q2": "D"}}'
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return nested.child_rows(table(spark, folder, "item_lines"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found}
+def p3_choices(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of choices, each with the position of its group."""
+    nodes = nested.node_table(table(spark, folder, "item_lines"))
+    parents = nested.link_children(nodes).select("occurrence", "pre", "parent_pos")
+    return nested.typed_table(nodes, "choice").join(parents, ["occurrence", "pre"]).select("line_no", "parent_pos", "pos", "label", "text")
+
+
+# --- scans and projections
+
+
+def jsonl_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by what reading them gives."""
+    lines = table(spark, folder, "item_lines")
+    parsed = jsonl.parse_lines(lines).groupBy(F.coalesce("line_error", F.lit("record")).alias("outcome")).agg(F.count(F.lit(1)).alias("n_lines"))
+    blank = lines.filter(F.regexp_replace(F.coalesce("line", F.lit("")), r"(?U)\s+", "") == "").agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit("blank").alias("outcome"), "n_lines")
+    return parsed.unionByName(blank)
+
+
+def record_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    own = pipeline.items(spark, folder)
+    return own.select("item_ord", answers.item_key(F.col("id"), F.col("item_ord")).alias("item_key"), generation.seed_name(F.col("source_seed_id"), F.col("item_ord")).alias("seed_name"), generation.pipeline_name(F.coalesce("generation_model", F.lit("None"))).alias("slug"))
+
+
+def answer_key_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    return jsonl.answer_key(spark, KEY)
+
+
+def normalized_texts(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents")
+    return d.select("doc_id", F.md5(X.squeeze(F.col("text")).cast("binary")).alias("squeezed"), F.md5(X.match_form(F.col("text")).cast("binary")).alias("matched"))
+
+
+def content_token_stats(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents").withColumn("_t", X.content_tokens(F.col("text")))
+    return d.select("doc_id", F.size("_t").alias("n_tokens"), F.size(F.array_distinct("_t")).alias("n_distinct"), F.size(X.ngrams(F.col("_t"), 3)).alias("n_trigrams"), F.size(X.ngrams(F.col("_t"), 4)).alias("n_fourgrams"))
+
+
+def abstract_structures(spark: SparkSession, folder: str) -> DataFrame:
+    s = pipeline.seeds(spark, folder)
+    return s.groupBy(X.abstract_structure(X.structure_text(F.col("source_question"))).alias("structure")).agg(F.count(F.lit(1)).alias("seeds"))
+
+
+def seed_choices(spark: SparkSession, folder: str) -> DataFrame:
+    s = pipeline.seeds(spark, folder)
+    return s.select("seed_id", "source_question", F.array_join(X.labeled_choices(X.squeeze(F.col("source_question"))), "|").alias("choices"))
+
+
+def distinctive_terms(spark: SparkSession, folder: str) -> DataFrame:
+    i = pipeline.items(spark, folder)
+    return i.select("item_ord", F.array_join(X.distinctive_terms(X.squeeze(F.col("stem"))), "|").alias("terms"))
+
+
+def main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    i = pipeline.items(spark, folder)
+    passages = X.passage_texts(F.col("passage"), F.col("passages"))
+    choices = X.choice_texts(F.col("answer_groups"), F.col("stem"))
+    return i.select("item_ord", F.md5(X.item_text(F.col("stimulus"), passages, F.col("stem"), choices).cast("binary")).alias("main_text"), F.md5(X.item_structure_text(F.col("stimulus"), passages, F.col("stem")).cast("binary")).alias("structure_text"), F.size(choices).alias("n_choices"), F.size(passages).alias("n_passages"))
+
+
+# --- similarity
+
+
+def novelty_lexical_riskiest(spark: SparkSession, folder: str) -> DataFrame:
+    features = similarity.item_features(pipeline.items(spark, folder), ["item_ord"]).select("item_ord", "tokens")
+    return similarity.lexical_riskiest(features, similarity.seed_features(pipeline.seeds(spark, folder)), ["item_ord"])
+
+
+def own_seed_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    """Set measures between each item and the seed it was made from; a shuffled equi-join."""
+    i = similarity.item_features(pipeline.items(spark, folder), ["item_ord", "source_seed_id"])
+    s = similarity.seed_features(pipeline.seeds(spark, folder))
+    first = s.groupBy("source_id").agg(F.min_by(F.struct("tokens", "terms"), "ord").alias("s"))
+    joined = i.join(judging.broadcast_if_small(first), F.col("source_seed_id") == F.col("source_id"))
+    reuse = similarity.entity_reuse(F.col("terms"), F.col("s.terms"))
+    return joined.select("item_ord", "source_id", F.round(similarity.lexical_similarity(F.col("tokens"), F.col("s.tokens")), 6).alias("lexical"), F.round(reuse["share"], 6).alias("entity"), F.array_join(reuse["terms"], "|").alias("reused"))
+
+
+def own_seed_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    i = similarity.item_features(pipeline.items(spark, folder), ["item_ord", "source_seed_id"])
+    words = X.content_tokens(X.squeeze(F.col("source_question")))
+    s = similarity.number_rows(pipeline.seeds(spark, folder), ["seed_id", "source_question"]).groupBy("seed_id").agg(F.min_by("source_question", "ord").alias("source_question")).select("seed_id", words.alias("_w"))
+    passages = X.passage_texts(F.col("passage"), F.col("passages"))
+    own = pipeline.items(spark, folder).select("item_ord", "source_seed_id", X.content_tokens(X.item_text(F.col("stimulus"), passages, F.col("stem"), X.choice_texts(F.col("answer_groups"), F.col("stem")))).alias("_i"))
+    del i
+    return own.join(judging.broadcast_if_small(s), F.col("source_seed_id") == F.col("seed_id")).select("item_ord", "seed_id", F.round(similarity.phrase_similarity(F.col("_i"), F.col("_w")), 6).alias("phrase"))
+
+
+def novelty_full(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.scored(spark, folder)
+
+
+def novelty_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity.novelty_summary(pipeline.scored(spark, folder))
+
+
+def novelty_failure_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity.failure_reasons(pipeline.scored(spark, folder))
+
+
+def stored_novelty_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary over the scores the items carry, in range."""
+    own = pipeline.items(spark, folder).filter("novelty_score between 0 and 100 and not isnan(novelty_score)")
+    return similarity.novelty_summary(own.withColumn("novelty_pass", F.col("novelty_score") >= 75))
+
+
+# --- answers
+
+
+def json_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses per model by whether an object can be read out of them."""
+    r = table(spark, folder, "solver_responses").withColumn("_p", answers.salvage(answers.response_text(F.col("generation"), F.col("response"), F.col("answer"))))
+    return r.groupBy("model").agg(F.count(F.lit(1)).alias("responses"), F.count("_p").alias("parsed"))
+
+
+def graded_attempts(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.graded(spark, folder).select("item_ord", "resp_id", "model", "correct", F.col("parse_error").isNull().alias("parsed"))
+
+
+def predicted_answers(spark: SparkSession, folder: str) -> DataFrame:
+    g = pipeline.graded(spark, folder)
+
+    def shown(column: str):
+        return F.array_join(F.transform(column, lambda a: F.concat(F.coalesce(a["blank"], F.lit("-")), F.lit(":"), F.array_join(a["labels"], "+"))), ";")
+
+    return g.groupBy(shown("expected").alias("expected"), shown("predicted").alias("predicted"), "correct").agg(F.count(F.lit(1)).alias("attempts"))
+
+
+def item_accuracies(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.accuracies(spark, folder)
+
+
+def solver_model_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return answers.model_totals(pipeline.graded(spark, folder))
+
+
+def solver_overall(spark: SparkSession, folder: str) -> DataFrame:
+    return answers.solver_summary(pipeline.accuracies(spark, folder))
+
+
+def orphan_responses(spark: SparkSession, folder: str) -> DataFrame:
+    return answers.unknown_responses(pipeline.items(spark, folder), table(spark, folder, "solver_responses")).select("resp_id", "item_id")
+
+
+def response_rows_invalid(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses without item, model or any answer, by what they lack; nulls are absent keys."""
+    r = table(spark, folder, "solver_responses").select("resp_id", F.parse_json(F.to_json(F.struct("item_id", "model", "generation", "response", "answer"))).alias("record"))
+    return r.select("resp_id", jsonl.response_errors(F.col("record")).alias("problem")).filter("problem is not null")
+
+
+# --- generations
+
+
+def generation_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = generation.parse_generations(table(spark, folder, "raw_generations"))
+    return parsed.groupBy("model_name").agg(F.count(F.lit(1)).alias("generations"), F.count("items").alias("with_items"), F.coalesce(F.sum(F.size("items")), F.lit(0)).alias("n_items"))
+
+
+def failed_generations(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = generation.parse_generations(table(spark, folder, "raw_generations"))
+    return generation.failed_generations(parsed).groupBy("model_name").agg(F.count(F.lit(1)).alias("failed"))
+
 
+def explode_generated_items(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = generation.parse_generations(table(spark, folder, "raw_generations"))
+    rows = generation.explode_items(parsed, "v1")
+    names = ["id", "source_seed_id", "generation_model", "question_type"]
+    return rows.select("gen_id", "pos", *[V.text(F.try_element_at("item", F.lit(n))).alias(n) for n in names])
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+
+def redacted_items(spark: SparkSession, folder: str) -> DataFrame:
+    """What of each record stays: its keys, and whether any group still tells its answer."""
+    records = pipeline.line_records(spark, folder).withColumn("_r", generation.redacted(F.col("record")))
+    leaks = F.exists(V.list_of(F.try_element_at("_r", F.lit("answer_groups"))), lambda g: V.key(g, "correct_labels").isNotNull())
+    return records.select("line_no", F.array_join(F.array_sort(F.map_keys("_r")), ",").alias("keys"), leaks.alias("leaks"))
+
+
+def rendered_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    s = pipeline.seeds(spark, folder)
+    prompt = generation.render("Write {{ITEMS_PER_SEED}} items from: {{SEED_JSON}}", ITEMS_PER_SEED=F.lit("2"), SEED_JSON=F.coalesce("source_question", F.lit("")))
+    return s.select("seed_id", F.md5(prompt.cast("binary")).alias("prompt"), F.length(prompt).alias("n_chars"))
+
+
+# --- judging
+
+
+def judge_gate(spark: SparkSession, folder: str) -> DataFrame:
+    i = pipeline.items(spark, folder)
+    return i.groupBy("question_type").agg(F.count(F.lit(1)).alias("items"), F.count("judge").alias("judged"), F.count_if(judging.typed_accepts(F.col("judge"))).alias("accepted"))
+
+
+def judged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The accept gate on raw verdicts."""
+    r = pipeline.line_records(spark, folder)
+    judge = V.key(F.col("record"), "judge")
+    return r.select("line_no", judging.accepts(judge).alias("accepted"), V.is_object(judge).alias("judged"))
+
+
+def seed_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    numbered = similarity.number_rows(pipeline.seeds(spark, folder), ["seed_id", "source_question"])
+    joined = judging.with_seed(pipeline.items(spark, folder), judging.seed_map(numbered))
+    return joined.groupBy("source_seed_id").agg(F.count(F.lit(1)).alias("items"), F.max("seed.source_answer").alias("source_answer"))
+
+
+# --- rules and selection
+
+
+def rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.rule_counts(pipeline.line_records(spark, folder))
+
+
+def line_errors(spark: SparkSession, folder: str) -> DataFrame:
+    r = pipeline.line_records(spark, folder)
+    return r.select("line_no", F.explode(rules.error_texts(F.col("rule_errors"), F.col("line_no"))).alias("error"))
+
+
+def validation_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.validation_totals(pipeline.line_records(spark, folder))
+
+
+def item_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.rule_counts(rules.with_errors(pipeline.item_records(pipeline.items(spark, folder))))
+
+
+def gate_issues(spark: SparkSession, folder: str) -> DataFrame:
+    """Items per gate issue, without the rules."""
+    e = selection.evaluate(pipeline.items(spark, folder), V.texts(), STRICT)
+    return e.select(F.explode("filter_issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("items"))
+
+
+def hardness_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of each item that passes the gates (rules aside)."""
+    e = selection.evaluate(pipeline.items(spark, folder), V.texts(), GATES).filter("size(filter_issues) = 0")
+    return selection.ranked(e).select("item_ord", "rank")
+
+
+def prefix_mean_cutoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Fates under an accuracy target and no cap."""
+    e = selection.evaluate(pipeline.items(spark, folder), V.texts(), STRICT)
+    return selection.select(e, STRICT).select("item_ord", "fate")
+
+
+def selected_items(spark: SparkSession, folder: str) -> DataFrame:
+    return pipeline.selected(spark, folder, CAPPED).groupBy("fate").agg(F.count(F.lit(1)).alias("items"))
+
+
+def filter_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return selection.selection_summary(pipeline.selected(spark, folder, STRICT), STRICT)
+
+
+def rejection_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    return selection.rejection_reasons(pipeline.selected(spark, folder, STRICT))
+
+
+def hardest_accepted(spark: SparkSession, folder: str) -> DataFrame:
+    """A top-k report: the cap is the feature."""
+    return pipeline.selected(spark, folder, CAPPED).filter("fate = 'accepted'").select("item_ord", "rank")
+
+
+# --- audits
+
+
+def type_quota(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.quota(pipeline.items(spark, folder), F.col("question_type"), {"reading_comprehension": 15, "text_completion": 9, "sentence_equivalence": 6})
+
+
+def passage_sets(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.set_sizes(pipeline.items(spark, folder), "passage_id", F.col("passage"), 3)
+
+
+def choice_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.choice_counts(pipeline.items(spark, folder))
+
+
+def identifier_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.identifiers(pipeline.items(spark, folder), "^(gre|lsat)-(tc|se|rc|lr)-[0-9]{9}$")
+
+
+def field_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.field_rules(pipeline.items(spark, folder))
+
+
+def passage_words(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.word_range(pipeline.items(spark, folder), F.col("passage"), 60, 160)
+
+
+def passage_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.passage_counts(pipeline.items(spark, folder))
+
+
+def answer_balance(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.label_balance(pipeline.items(spark, folder))
+
+
+def score_scale(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.scores_in_scale(pipeline.items(spark, folder), F.col("judge.score"))
+
+
+def answer_contract(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.answer_contract(pipeline.graded(spark, folder))
+
+
+def items_per_generation(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.items_per_generation(generation.parse_generations(table(spark, folder, "raw_generations")), 2)
+
+
+def repeated_across_models(spark: SparkSession, folder: str) -> DataFrame:
+    out = audit.repeated_across(pipeline.items(spark, folder), F.coalesce("generation_model", F.lit("None")), F.col("stem"))
+    return out.groupBy("batches").agg(F.count(F.lit(1)).alias("texts"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    every = [
+        p3_found, p3_choices, jsonl_scan, record_identifiers, answer_key_flatten, normalized_texts, content_token_stats, abstract_structures,
+        seed_choices, distinctive_terms, main_texts, novelty_lexical_riskiest, own_seed_similarity, own_seed_phrases, novelty_full, novelty_summary,
+        novelty_failure_reasons, stored_novelty_summary, json_salvage, graded_attempts, predicted_answers, item_accuracies, solver_model_totals,
+        solver_overall, orphan_responses, response_rows_invalid, generation_outcomes, failed_generations, explode_generated_items, redacted_items,
+        rendered_prompts, judge_gate, judged_lines, seed_lookup, rule_counts, line_errors, validation_totals, item_rule_counts, gate_issues,
+        hardness_ranks, prefix_mean_cutoff, selected_items, filter_summary, rejection_histogram, hardest_accepted, type_quota, passage_sets,
+        choice_counts, identifier_audit, field_audit, passage_words, passage_counts, answer_balance, score_scale, answer_contract,
+        items_per_generation, repeated_across_models,
+    ]
+    return {f.__name__: f for f in every}
