@@ -5,6 +5,8 @@ Null text counts as empty. White space, digits and word borders are Unicode's.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ def _set(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body (or a lambda in it) uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
     return F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "), "^ | $", "")
@@ -45,18 +52,21 @@ def content_tokens(text: Column) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Distinct runs of ``n`` words as strings joined by GRAM; empty for fewer words."""
-    last = F.size(words) - (n - 1)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), GRAM))
-    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+
+    def runs(w: Column) -> Column:
+        last = F.size(w) - (n - 1)
+        return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), GRAM)))).otherwise(none)
+
+    return F.coalesce(let(words, runs), none)
 
 
 def labeled_choices(text: Column) -> Column:
     """Texts behind the labels ``A.`` to ``F.``, each up to the next label; trimmed of blanks, ; and , and not empty."""
     # a label needs white space (or the start) before and white space behind it
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)(^|\s)[A-F]\.\s+", "\u0002")
-    parts = F.split(marked, "\u0002")
-    bodies = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1))), lambda p: F.regexp_replace(squeeze(p), "^[ ;,]+|[ ;,]+$", ""))
-    return F.when(F.size(parts) > 1, F.filter(bodies, lambda b: b != "")).otherwise(F.array().cast("array<string>"))
+    bodies = F.transform(F.split(marked, "\u0002"), lambda p, i: F.when(i > 0, F.regexp_replace(squeeze(p), "^[ ;,]+|[ ;,]+$", "")))
+    return F.filter(bodies, lambda b: F.coalesce(b != "", F.lit(False)))
 
 
 def structure_text(text: Column) -> Column:
@@ -111,12 +121,8 @@ def choice_texts(answer_groups: Column, *fallbacks: Column) -> Column:
     """Texts of all choices of all groups; without any, the labelled choices of the first fallback text that has some."""
     none = F.array().cast("array<string>")
     inner = F.flatten(F.transform(answer_groups, lambda g: F.coalesce(F.transform(g["choices"], lambda c: c["text"]), none)))
-    own = F.filter(F.coalesce(inner, none), lambda t: t.isNotNull())
-    out = F.when(F.size(own) > 0, own)
-    for text in fallbacks:
-        parsed = labeled_choices(text)
-        out = out.when(F.size(parsed) > 0, parsed)
-    return out.otherwise(none)
+    ways = F.array(F.filter(F.coalesce(inner, none), lambda t: t.isNotNull()), *map(labeled_choices, fallbacks))
+    return F.coalesce(F.get(F.filter(ways, lambda w: F.size(w) > 0), F.lit(0)), none)
 
 
 def _kept(*texts: Column) -> list[Column]:

@@ -13,7 +13,7 @@ from examsift.functions import variants as V
 from examsift.operators.sizing import SALTS, hot_keys
 
 #: Depth to which labels nested in lists and objects are followed.
-DEPTH = 3
+DEPTH = 2
 #: Keys under which labels stand, and those under which lists of answers stand, in order of preference.
 LABEL_KEYS = ["labels", "label", "answer", "answers", "correct_labels"]
 LIST_KEYS = ["answers", "answer_groups", "responses"]
@@ -60,18 +60,22 @@ def _letters(text: Column) -> Column:
     return F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b[A-Z]\b"), 0)
 
 
+def _letters_within(v: Column) -> Column:
+    """Letters in all texts of a value without objects, read off its JSON (escapes are no letters)."""
+    return F.coalesce(_letters(F.regexp_replace(F.to_json(v), r"\\\\(?:u[0-9a-fA-F]{4}|.)", " ")), V.texts())
+
+
 def _label_list(v: Column, depth: int) -> Column:
-    of_text = F.when(V.is_string(v), _letters(V.string(v)))
+    holds_objects = F.coalesce(V.kind(v).rlike("OBJECT|VARIANT"), F.lit(False))
     if not depth:
-        return F.coalesce(of_text, V.texts())
-    of_list = F.flatten(F.transform(V.elements(v), lambda x: _label_list(x, depth - 1)))
-    of_object = F.when(V.is_object(v), _label_list(_first_key(v, LABEL_KEYS), depth - 1))
-    return F.coalesce(of_text, of_list, of_object, V.texts())
+        return F.when(holds_objects, V.texts()).otherwise(_letters_within(v))
+    inner = F.coalesce(V.elements(v), F.array(_first_key(v, LABEL_KEYS)))
+    return F.when(holds_objects, F.coalesce(F.flatten(F.transform(inner, lambda x: _label_list(x, depth - 1))), V.texts())).otherwise(_letters_within(v))
 
 
 def labels(v: Column, depth: int = DEPTH) -> Column:
     """Labels in a value: standing single letters of a text (whatever their case), of all elements of a list, or of
-    the first label key of an object."""
+    the first label key of an object. Objects are followed to ``depth`` levels, lists of texts to any."""
     return F.array_sort(F.array_distinct(_label_list(v, depth)))
 
 
@@ -91,33 +95,33 @@ def expected_of_record(record: Column) -> Column:
     return F.transform(kept, lambda g: _answer(blank_key(V.key(g, "blank")), labels(V.key(g, "correct_labels"))))
 
 
-def _listed_answers(parsed: Column, name: str) -> Column:
-    """Answers in the list under a key; entries that are no objects need labels to count. NULL if there are none."""
+def _listed_answers(entries: Column) -> Column:
+    """Answers in a list; entries that are no objects need labels to count."""
 
     def one(entry: Column) -> Column:
-        blank = F.coalesce(V.key(entry, "blank"), V.key(entry, "blank_index"))
-        found = labels(_first_key(entry, LABEL_KEYS), DEPTH - 1)
-        loose = labels(entry, 1)
-        return F.when(V.is_object(entry), _answer(blank_key(blank), found)).when(F.size(loose) > 0, _answer(F.lit(None), loose))
+        inner = V.is_object(entry)
+        blank = F.when(inner, blank_key(F.coalesce(V.key(entry, "blank"), V.key(entry, "blank_index"))))
+        return F.struct(inner.alias("inner"), _answer(blank, labels(entry)).alias("answer"))
 
-    found = F.filter(F.transform(V.elements(V.key(parsed, name)), one), lambda a: a.isNotNull())
-    return F.when(F.size(found) > 0, found)
+    found = F.filter(F.transform(entries, one), lambda a: a["inner"] | (F.size(a["answer"]["labels"]) > 0))
+    return F.transform(found, lambda a: a["answer"])
 
 
 def predicted_answers(parsed: Column, expected: Column) -> Column:
     """Answers of a parsed response: a list of answers, else labels at the top, else keys such as ``blank_2``."""
     single = labels(_first_key(parsed, SINGLE_KEYS))
     only_blank = F.when(F.size(expected) == 1, F.try_element_at(expected, F.lit(1))["blank"])
-    at_top = F.when(F.size(single) > 0, F.array(_answer(only_blank, single)))
 
     def numbered(entry: Column) -> Column:
         number = F.regexp_extract(F.lower(entry["key"]), r"(?U)^blank[_\s-]*(\d+)$", 1)
         key = F.coalesce(F.nullif(F.ltrim(number, F.lit("0")), F.lit("")), F.lit("0"))
-        found = labels(entry["value"])
-        return F.when((number != "") & (F.size(found) > 0), _answer(key, found))
+        return _answer(key, labels(entry["value"]))
 
-    by_key = F.filter(F.transform(F.map_entries(V.fields(parsed)), numbered), lambda a: a.isNotNull())
-    return F.coalesce(*[_listed_answers(parsed, k) for k in LIST_KEYS], at_top, by_key, F.array().cast(ANSWERS))
+    by_key = F.transform(F.filter(F.map_entries(V.fields(parsed)), lambda e: F.lower(e["key"]).rlike(r"(?U)^blank[_\s-]*\d+$")), numbered)
+    lists = F.transform(F.array(*[V.list_of(V.key(parsed, k)) for k in LIST_KEYS]), _listed_answers)
+    at_top = F.transform(F.filter(F.array(single), lambda x: F.size(x) > 0), lambda x: _answer(only_blank, x))
+    ways = F.concat(lists, F.array(at_top), F.array(F.filter(by_key, lambda a: F.size(a["labels"]) > 0)))
+    return F.coalesce(F.try_element_at(F.filter(ways, lambda w: F.size(w) > 0), F.lit(1)), F.array().cast(ANSWERS))
 
 
 def grade(expected: Column, predicted: Column) -> Column:

@@ -71,34 +71,36 @@ def entity_reuse(left: Column, right: Column) -> Column:
 # --- features
 
 
-def _feature_columns(text: Column, structure: Column, choices: Column) -> list[Column]:
-    words = X.content_tokens(text)
-    return [
-        F.array_distinct(words).alias("tokens"),
-        X.ngrams(words, 3).alias("grams3"),
-        X.ngrams(words, 4).alias("grams4"),
-        X.match_choices(choices).alias("choices"),
-        X.distinctive_terms(text).alias("terms"),
-        X.abstract_structure(structure).alias("structure"),
-    ]
+def _with_features(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Features from ``_text``, ``_structure`` and ``_choices``; each step is a projection of its own, so shared parts are computed once."""
+    worded = df.withColumn("_words", X.content_tokens(F.col("_text")))
+    return worded.select(
+        *keys,
+        F.array_distinct("_words").alias("tokens"),
+        X.ngrams(F.col("_words"), 3).alias("grams3"),
+        X.ngrams(F.col("_words"), 4).alias("grams4"),
+        X.match_choices(F.col("_choices")).alias("choices"),
+        X.distinctive_terms(F.col("_text")).alias("terms"),
+        X.abstract_structure(F.col("_structure")).alias("structure"),
+    )
 
 
 def item_features(items: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and the features of typed items."""
-    passages = X.passage_texts(F.col("passage"), F.col("passages"))
-    choices = X.choice_texts(F.col("answer_groups"), F.col("stem"))
-    text = X.item_text(F.col("stimulus"), passages, F.col("stem"), choices)
-    structure = X.item_structure_text(F.col("stimulus"), passages, F.col("stem"))
-    return items.select(*keys, *_feature_columns(text, structure, choices))
+    parts = items.withColumns({"_passages": X.passage_texts(F.col("passage"), F.col("passages")), "_choices": X.choice_texts(F.col("answer_groups"), F.col("stem"))})
+    text = X.item_text(F.col("stimulus"), F.col("_passages"), F.col("stem"), F.col("_choices"))
+    structure = X.item_structure_text(F.col("stimulus"), F.col("_passages"), F.col("stem"))
+    return _with_features(parts.withColumns({"_text": text, "_structure": structure}), keys)
 
 
 def seed_features(seeds: DataFrame) -> DataFrame:
     """(source_id, ord, features) of seeds, whose question holds body and choices. ``ord`` orders by id and text; a
     seed without id is called source-<ord>."""
     question = F.col("source_question")
-    ordered = number_rows(seeds, ["seed_id", "source_question"])
+    ordered = number_rows(seeds.select("seed_id", "source_question"), ["seed_id", "source_question"])
     ident = F.coalesce(F.when(F.col("seed_id") != "", F.col("seed_id")), F.concat(F.lit("source-"), F.col("ord").cast("string")))
-    return ordered.select(ident.alias("source_id"), "ord", *_feature_columns(X.squeeze(question), X.structure_text(question), X.labeled_choices(question)))
+    named = ordered.withColumns({"source_id": ident, "_text": X.squeeze(question), "_structure": X.structure_text(question), "_choices": X.labeled_choices(question)})
+    return _with_features(named, ["source_id", "ord"])
 
 
 def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
@@ -126,6 +128,8 @@ class SourceIndex:
             self.structures = sources["structure"].tolist()
             self.structure_sizes = np.array([len(x) for x in self.structures], float)
             self.structure_chars = np.array([_characters(x) for x in self.structures], float).reshape(len(self.ids), -1)
+            self.structure_bits = [_places(x) for x in self.structures]
+            self.matchers: dict[int, SequenceMatcher] = {}
             self.choices: list[str] = []
             self.choice_owners: list[set[int]] = []
             at: dict[str, int] = {}
@@ -138,7 +142,9 @@ class SourceIndex:
                     self.choice_owners[at[c]].add(owner)
             self.choice_at = at
             self.choice_sizes = np.array([len(c) for c in self.choices], float)
-            self.choice_chars = np.array([_characters(c) for c in self.choices], float).reshape(len(self.choices), -1)
+            chars = np.array([_characters(c) for c in self.choices], np.int16).reshape(len(self.choices), -1)
+            self.choice_columns = np.flatnonzero(chars.any(axis=0))  # characters that occur at all
+            self.choice_chars = chars[:, self.choice_columns]
             self.choice_words = [set(c.split()) for c in self.choices]
             self.word_choices: dict[str, list[int]] = {}
             for i, words in enumerate(self.choice_words):
@@ -186,13 +192,19 @@ class SourceIndex:
                     close.add(i)
             if self.choices:
                 # the matching characters are no more than the common ones, so this bounds the ratio
-                bound = 2 * np.minimum(self.choice_chars, _characters(choice)).sum(axis=1) / (self.choice_sizes + len(choice))
+                bound = 2 * np.minimum(self.choice_chars, _characters(choice)[self.choice_columns].astype(np.int16)).sum(axis=1) / (self.choice_sizes + len(choice))
                 for i in np.flatnonzero(bound >= NEAR_COPY_RATIO).tolist():
                     if i not in close and SequenceMatcher(None, choice, self.choices[i]).ratio() >= NEAR_COPY_RATIO:
                         close.add(i)
             self.known_choices[choice] = frozenset(o for i in close for o in self.choice_owners[i])
         return self.known_choices[choice]
 
+    def _structure_ratio(self, i: int, structure: str) -> float:
+        if i not in self.matchers:
+            self.matchers[i] = SequenceMatcher(None, "", self.structures[i])
+        self.matchers[i].set_seq1(structure)
+        return self.matchers[i].ratio()
+
     def riskiest_lexical(self, tokens: list[str]) -> tuple[int, float]:
         scores = np.round(self.lexical(tokens), 9)
         best = int(scores.argmax())
@@ -218,7 +230,15 @@ class SourceIndex:
         for i in np.argsort(-top, kind="stable").tolist():
             if top[i] < best - ROUNDING:
                 break
-            ratios[i] = SequenceMatcher(None, structure, self.structures[i]).ratio() if size and self.structures[i] else 0.0
+            if size and self.structures[i]:
+                # matching blocks form a common subsequence, so its length is a closer bound
+                whole = size + len(self.structures[i])
+                closer = 2 * _common_subsequence(self.structure_bits[i], len(self.structures[i]), structure) / whole
+                if known[i] + WEIGHTS["structure"] * closer < best - ROUNDING:
+                    continue
+                ratios[i] = self._structure_ratio(i, structure)
+            else:
+                ratios[i] = 0.0
             best = max(best, known[i] + WEIGHTS["structure"] * ratios[i])
         riskiest = min(ratios, key=lambda i: (novelty_of(known[i] + WEIGHTS["structure"] * ratios[i]), i))
         parts = [float(x) for x in (lexical[riskiest], phrase[riskiest], choice[riskiest], entity[riskiest], ratios[riskiest])]
@@ -234,6 +254,24 @@ def _characters(text: str) -> np.ndarray:
     return np.bincount(np.minimum(codes, 255), minlength=256)
 
 
+def _places(text: str) -> dict[str, int]:
+    """For each character the bits of the places where it stands."""
+    bits: dict[str, int] = {}
+    for i, c in enumerate(text):
+        bits[c] = bits.get(c, 0) | 1 << i
+    return bits
+
+
+def _common_subsequence(bits: dict[str, int], size: int, other: str) -> int:
+    """Length of the longest common subsequence, a word of bits at a time."""
+    full = (1 << size) - 1
+    open_ = full
+    for c in other:
+        hit = open_ & bits.get(c, 0)
+        open_ = ((open_ + hit) | (open_ - hit)) & full
+    return size - open_.bit_count()
+
+
 def _over(part: np.ndarray, whole: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.divide(part, whole, out=np.zeros_like(part), where=(sizes > 0) & (whole > 0))
 
@@ -251,26 +289,51 @@ def _blocks_of(sources: DataFrame, at_once: int) -> Iterator[pd.DataFrame]:
 
 
 _RISK = T.StructType([
-    T.StructField("source_id", T.StringType()),
+    T.StructField("novelty", T.DoubleType()),
     T.StructField("place", T.LongType()),
+    T.StructField("source_id", T.StringType()),
     *[T.StructField(c, T.DoubleType()) for c in COMPONENTS],
     T.StructField("copied", T.ArrayType(T.StringType())),
     T.StructField("reused", T.ArrayType(T.StringType())),
 ])
-_RISK_ARROW = pa.struct([("source_id", pa.string()), ("place", pa.int64()), *[(c, pa.float64()) for c in COMPONENTS], ("copied", pa.list_(pa.string())), ("reused", pa.list_(pa.string()))])
+_LEX = T.StructType([T.StructField("novelty", T.DoubleType()), T.StructField("place", T.LongType()), T.StructField("source_id", T.StringType())])
 
 
-def _risk(index: SourceIndex, before: int) -> Column:
-    @F.arrow_udf(_RISK)
-    def score(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for batch in batches:
-            rows = []
-            for values in zip(*(c.to_pylist() for c in batch)):
-                i, parts, copied, reused = index.riskiest(*values)
-                rows.append({"source_id": index.ids[i], "place": before + i, **dict(zip(COMPONENTS, parts)), "copied": copied, "reused": reused})
-            yield pa.array(rows, _RISK_ARROW)
+def _compared(rows: DataFrame, index: SourceIndex, before: int, kind: T.StructType) -> DataFrame:
+    """``rows`` with ``_risk``: the better of the one they have and the riskiest source of ``index``, whose sources
+    follow ``before`` earlier ones. Other columns pass through as they are."""
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    return score(*[F.col(f) for f in FEATURES])
+    names = [c for c in rows.columns if c != "_risk"]
+    schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("_risk", kind)])
+    arrow, full = to_arrow_type(kind), kind == _RISK
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            prior = column["_risk"].to_pylist() if "_risk" in column else [None] * batch.num_rows
+            found = []
+            for old, values in zip(prior, zip(*(column[f].to_pylist() for f in (FEATURES if full else FEATURES[:1])))):
+                if full:
+                    i, parts, copied, reused = index.riskiest(*values)
+                    new = {"novelty": novelty_of(sum(WEIGHTS[c] * x for c, x in zip(COMPONENTS, parts))), **dict(zip(COMPONENTS, parts)), "copied": copied, "reused": reused}
+                else:
+                    i, likeness = index.riskiest_lexical(*values)
+                    new = {"novelty": -likeness}
+                new |= {"place": before + i, "source_id": index.ids[i]}
+                found.append(old if old and old["novelty"] <= new["novelty"] else new)
+            yield pa.RecordBatch.from_arrays([*[column[n] for n in names], pa.array(found, arrow)], names=[*names, "_risk"])
+
+    return rows.mapInArrow(compare, schema)
+
+
+def _against(features: DataFrame, sources: DataFrame, at_once: int, kind: T.StructType) -> DataFrame:
+    """``features`` with ``_risk`` over all sources, null if there are none."""
+    rows, before = features, 0
+    for block in _blocks_of(sources, at_once):
+        rows = _compared(rows, SourceIndex(block, kind == _RISK), before, kind)
+        before += len(block)
+    return rows if before else rows.withColumn("_risk", F.lit(None).cast(kind))
 
 
 def _gate_reasons(score: Column, copied: Column, reused: Column, threshold: float) -> Column:
@@ -288,28 +351,16 @@ def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], thre
     wholly new: score 100, no source. More than ``at_once`` sources take several passes whose results are
     compared per row. The riskiest source is chosen by the score rounded to one place.
     """
-    rows = features
-    found = []
-    before = 0
-    for n, block in enumerate(_blocks_of(sources, at_once)):
-        rows = rows.withColumn(f"_r{n}", _risk(SourceIndex(block), before))
-        found.append(F.col(f"_r{n}"))
-        before += len(block)
-    one = F.lit(1).cast("double")
+    rows = _against(features.select(*keys, *FEATURES), sources, at_once, _RISK)
+    one = F.lit(1.0)
 
     def total(r: Column) -> Column:
-        # one place, like the comparison inside a block
         raw = 100.0 * (1.0 - sum((WEIGHTS[c] * r[c] for c in COMPONENTS[1:]), WEIGHTS["lexical"] * r["lexical"]))
         return F.least(F.lit(100.0), F.greatest(F.lit(0.0), raw))
 
-    if found:
-        ranked = F.array_min(F.array(*[F.struct(F.round(total(r), 1).alias("novelty"), r["place"].alias("place"), r.alias("risk")) for r in found]))["risk"]
-        rows = rows.withColumn("_risk", ranked)
-    else:
-        rows = rows.withColumn("_risk", F.lit(None).cast(_RISK))
     risk = F.col("_risk")
     none = F.array().cast("array<string>")
-    score = F.coalesce(F.round(total(risk), 1), F.lit(100.0))
+    score = F.coalesce(risk["novelty"], F.lit(100.0))
     copied, reused = F.coalesce(risk["copied"], none), F.coalesce(risk["reused"], none)
     reasons = _gate_reasons(score, copied, reused, threshold)
     parts = {"lexical": "lexical_novelty", "phrase": "phrase_novelty", "choice": "answer_choice_novelty", "entity": "entity_number_novelty", "structure": "structure_novelty"}
@@ -326,28 +377,10 @@ def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], thre
     )
 
 
-def _best_lexical(index: SourceIndex, before: int):
-    @F.arrow_udf(T.StructType([T.StructField("lexical", T.DoubleType()), T.StructField("place", T.LongType()), T.StructField("source_id", T.StringType())]))
-    def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            top = [index.riskiest_lexical(t) for t in batch.to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array([s for _, s in top], pa.float64()), pa.array([before + i for i, _ in top], pa.int64()), pa.array([index.ids[i] for i, _ in top], pa.string())], ["lexical", "place", "source_id"])
-
-    return best
-
-
 def lexical_riskiest(features: DataFrame, sources: DataFrame, keys: list[str], at_once: int = SOURCES_AT_ONCE) -> DataFrame:
     """``keys``, source_id and lexical (6 places): the lexically most similar source, ties to the earliest; null and 0 without sources."""
-    rows, found, before = features, [], 0
-    for n, block in enumerate(_blocks_of(sources.select("source_id", "ord", "tokens"), at_once)):
-        best = _best_lexical(SourceIndex(block, full=False), before)
-        rows = rows.withColumn(f"_r{n}", best(F.col("tokens")))
-        found.append(F.col(f"_r{n}"))
-        before += len(block)
-    if not found:
-        return rows.select(*keys, F.lit(None).cast("string").alias("source_id"), F.lit(0.0).alias("lexical"))
-    ranked = F.array_min(F.array(*[F.struct((-r["lexical"]).alias("lexical"), r["place"].alias("place"), r["source_id"].alias("source_id")) for r in found]))
-    return rows.withColumn("_best", ranked).select(*keys, "_best.source_id", F.round(-F.col("_best.lexical"), 6).alias("lexical"))
+    rows = _against(features.select(*keys, "tokens"), sources.select("source_id", "ord", "tokens"), at_once, _LEX)
+    return rows.select(*keys, "_risk.source_id", F.coalesce(F.round(-F.col("_risk.novelty"), 6), F.lit(0.0)).alias("lexical"))
 
 
 # --- summaries

@@ -41,7 +41,7 @@ def jsonl_scan(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "item_lines")
     parsed = jsonl.parse_lines(lines).groupBy(F.coalesce("line_error", F.lit("record")).alias("outcome")).agg(F.count(F.lit(1)).alias("n_lines"))
     blank = lines.filter(F.regexp_replace(F.coalesce("line", F.lit("")), r"(?U)\s+", "") == "").agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit("blank").alias("outcome"), "n_lines")
-    return parsed.unionByName(blank)
+    return parsed.unionByName(blank.filter("n_lines > 0"))
 
 
 def record_identifiers(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,6 +82,8 @@ def main_texts(spark: SparkSession, folder: str) -> DataFrame:
     i = pipeline.items(spark, folder)
     passages = X.passage_texts(F.col("passage"), F.col("passages"))
     choices = X.choice_texts(F.col("answer_groups"), F.col("stem"))
+    i = i.withColumns({"_p": passages, "_c": choices})
+    passages, choices = F.col("_p"), F.col("_c")
     return i.select("item_ord", F.md5(X.item_text(F.col("stimulus"), passages, F.col("stem"), choices).cast("binary")).alias("main_text"), F.md5(X.item_structure_text(F.col("stimulus"), passages, F.col("stem")).cast("binary")).alias("structure_text"), F.size(choices).alias("n_choices"), F.size(passages).alias("n_passages"))
 
 
@@ -104,13 +106,13 @@ def own_seed_similarity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def own_seed_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    i = similarity.item_features(pipeline.items(spark, folder), ["item_ord", "source_seed_id"])
-    words = X.content_tokens(X.squeeze(F.col("source_question")))
-    s = similarity.number_rows(pipeline.seeds(spark, folder), ["seed_id", "source_question"]).groupBy("seed_id").agg(F.min_by("source_question", "ord").alias("source_question")).select("seed_id", words.alias("_w"))
     passages = X.passage_texts(F.col("passage"), F.col("passages"))
-    own = pipeline.items(spark, folder).select("item_ord", "source_seed_id", X.content_tokens(X.item_text(F.col("stimulus"), passages, F.col("stem"), X.choice_texts(F.col("answer_groups"), F.col("stem")))).alias("_i"))
-    del i
-    return own.join(judging.broadcast_if_small(s), F.col("source_seed_id") == F.col("seed_id")).select("item_ord", "seed_id", F.round(similarity.phrase_similarity(F.col("_i"), F.col("_w")), 6).alias("phrase"))
+    text = X.item_text(F.col("stimulus"), passages, F.col("stem"), X.choice_texts(F.col("answer_groups"), F.col("stem")))
+    own = pipeline.items(spark, folder).select("item_ord", "source_seed_id", X.content_tokens(text).alias("_i"))
+    numbered = similarity.number_rows(pipeline.seeds(spark, folder), ["seed_id", "source_question"])
+    first = numbered.groupBy("seed_id").agg(F.min_by("source_question", "ord").alias("_q")).select("seed_id", X.content_tokens(X.squeeze(F.col("_q"))).alias("_w"))
+    joined = own.join(judging.broadcast_if_small(first), F.col("source_seed_id") == F.col("seed_id"))
+    return joined.select("item_ord", "seed_id", F.round(similarity.phrase_similarity(F.col("_i"), F.col("_w")), 6).alias("phrase"))
 
 
 def novelty_full(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,190 @@
-"""SQL for queries of the catalogue."""
+"""SQL (DuckDB) that gives the same rows as queries of the catalogue, by other means."""
 
 from __future__ import annotations
 
+from examsift.functions.constants import STOPWORDS
+
+
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _squeeze(x: str) -> str:
+    return rf"regexp_replace(regexp_replace(coalesce({x}, ''), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def _match(x: str) -> str:
+    inner = rf"regexp_replace(lower({_squeeze(x)}), '\[[^\]]*blank[^\]]*\]', 'blank', 'g')"
+    return _squeeze(f"regexp_replace({inner}, '[^a-z0-9%]+', ' ', 'g')")
+
+
+_NUMBER = r"\p{Nd}+(?:[.,:/-]\p{Nd}+)*(?:%| percent)?"
+
+
+def _content(x: str) -> str:
+    found = f"list_transform(regexp_extract_all(coalesce({x}, ''), '[A-Za-z][A-Za-z''-]*|{_NUMBER}'), lambda t: trim(lower(t), ''''))"
+    return f"list_filter({found}, lambda t: length(t) > 2 AND NOT list_contains({_list(STOPWORDS)}, t))"
+
+
+def _grams(w: str, n: int) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(len({w}) - {n - 2}, 1)), lambda i: array_to_string({w}[i:i + {n - 1}], chr(1))))"
+
+
+_ITEM_TEXTS = f"""
+parts AS (SELECT item_ord, source_seed_id, stem, stimulus,
+    list_filter(list_concat([passage], coalesce(list_transform(passages, lambda p: p.text), [])), lambda p: coalesce({_squeeze('p')} <> '', false)) AS ps,
+    list_filter(coalesce(flatten(list_transform(answer_groups, lambda g: coalesce(list_transform(g.choices, lambda c: c.text), []))), []), lambda t: t IS NOT NULL) AS cs
+    FROM generated_items),
+texts AS (SELECT item_ord, source_seed_id, ps, cs,
+    {_squeeze("array_to_string(list_filter(list_concat([CASE WHEN " + _squeeze("stimulus") + " <> '' THEN stimulus END], ps, [CASE WHEN " + _squeeze("stem") + " <> '' THEN stem END], cs), lambda t: t IS NOT NULL), ' ')")} AS main_text,
+    {_squeeze("array_to_string(list_filter(list_concat([CASE WHEN " + _squeeze("stimulus") + " <> '' THEN stimulus END], ps, [CASE WHEN " + _squeeze("stem") + " <> '' THEN stem END]), lambda t: t IS NOT NULL), ' ')")} AS structure_text
+    FROM parts)"""
+
+_SEEDS = "seeds AS (SELECT *, row_number() OVER (ORDER BY seed_id NULLS FIRST, source_question NULLS FIRST) AS ord FROM seed_records)"
+
+_ATTEMPTS = """
+own AS (SELECT item_ord, answer_groups, coalesce(nullif(id, ''), 'item-' || item_ord) AS item_id FROM generated_items),
+sent AS (SELECT item_id, resp_id, model, coalesce(generation, response, answer, '') AS raw FROM solver_responses),
+joined AS (SELECT item_ord, resp_id, model, raw, answer_groups FROM sent JOIN own USING (item_id))"""
+
+_FENCE = r"""trim(CASE WHEN trim(raw, ' ' || chr(10) || chr(13) || chr(9)) LIKE '```%'
+  THEN regexp_replace(regexp_replace(trim(raw, ' ' || chr(10) || chr(13) || chr(9)), '^```(?:json|JSON)?\s*', ''), '\s*```$', '') ELSE trim(raw, ' ' || chr(10) || chr(13) || chr(9)) END, ' ' || chr(10) || chr(13) || chr(9))"""
+_PARSED = """CASE WHEN json_valid(bare) THEN (CASE WHEN json_type(bare) = 'OBJECT' THEN bare END)
+  WHEN json_valid(regexp_extract(bare, '(?s)\\{.*\\}')) THEN regexp_extract(bare, '(?s)\\{.*\\}') END"""
+
+_GRADED = f"""
+WITH {_ATTEMPTS}, b AS (SELECT *, {_FENCE} AS bare FROM joined), q AS (SELECT *, {_PARSED} AS js FROM b),
+x AS (SELECT *, list_transform(list_filter(coalesce(answer_groups, []), lambda g: g IS NOT NULL), lambda g: struct_pack(b := g.blank::VARCHAR, l := list_sort(list_distinct(flatten(list_transform(coalesce(g.correct_labels, []), lambda c: coalesce(regexp_extract_all(upper(c), '\\b[A-Z]\\b'), []))))))) AS want FROM q),
+a AS (SELECT *, CASE WHEN js IS NULL THEN NULL
+   WHEN json_type(js, '$.answers') = 'ARRAY' AND json_array_length(js, '$.answers') > 0 THEN list_transform((js -> '$.answers')::JSON[], lambda e: struct_pack(
+      b := CASE WHEN json_type(e, '$.blank') = 'VARCHAR' THEN nullif(regexp_extract(e ->> '$.blank', '[0-9]+'), '') ELSE e ->> '$.blank' END,
+      l := list_sort(list_distinct(regexp_extract_all(upper(CASE WHEN json_type(e) = 'OBJECT' THEN coalesce(e -> '$.labels', e -> '$.label', e -> '$.answer')::VARCHAR ELSE e::VARCHAR END), '\\b[A-Z]\\b')))))
+   WHEN coalesce(js -> '$.labels', js -> '$.label', js -> '$.answer') IS NOT NULL AND len(regexp_extract_all(upper(coalesce(js -> '$.labels', js -> '$.label', js -> '$.answer')::VARCHAR), '\\b[A-Z]\\b')) > 0
+      THEN [struct_pack(b := CASE WHEN len(want) = 1 THEN want[1].b END, l := list_sort(list_distinct(regexp_extract_all(upper(coalesce(js -> '$.labels', js -> '$.label', js -> '$.answer')::VARCHAR), '\\b[A-Z]\\b'))))]
+   ELSE list_transform(list_filter(json_keys(js), lambda k: regexp_full_match(k, 'blank[_ -]*[0-9]+')), lambda k: struct_pack(b := regexp_extract(k, '[0-9]+'), l := list_sort(list_distinct(regexp_extract_all(upper((js -> ('$.' || k))::VARCHAR), '\\b[A-Z]\\b'))))) END AS got FROM x),
+graded AS (SELECT item_ord, resp_id, model, js IS NOT NULL AS parsed,
+  js IS NOT NULL AND len(want) = len(got) AND CASE WHEN len(want) = 1 THEN want[1].l = got[1].l ELSE list_sort(want) = list_sort(got) END AS correct FROM a)
+"""
+
+_RATED = """
+rated AS (SELECT *, coalesce(solver_accuracy, CASE WHEN len(solver_results) > 0 THEN len(list_filter(solver_results, lambda r: r.correct IS NOT DISTINCT FROM true)) / len(solver_results) END) AS acc FROM generated_items)"""
+
+
+def _issues(least_novelty: float, least_score: float, most_accuracy: float | None, unjudged: bool, unscored: bool, unsolved: bool) -> str:
+    checks = ["CASE WHEN judge IS NOT NULL AND judge.valid IS DISTINCT FROM true THEN 'judge: item is not valid' END", f"CASE WHEN judge IS NOT NULL AND judge.score < {least_score} THEN 'judge: score below {least_score:g}' END"]
+    checks += [] if unjudged else ["CASE WHEN judge IS NULL THEN 'judge: missing judge result' END"]
+    checks += [f"CASE WHEN NOT isnan(novelty_score) AND novelty_score < {least_novelty} THEN 'novelty: score below {least_novelty:g}' END"]
+    checks += [] if unscored else ["CASE WHEN novelty_score IS NULL THEN 'novelty: missing novelty_score' END"]
+    checks += [] if unsolved else ["CASE WHEN acc IS NULL THEN 'solver: missing solver results' END"]
+    checks += [] if most_accuracy is None else [f"CASE WHEN acc > {most_accuracy} THEN 'solver: item accuracy above {most_accuracy:g}' END"]
+    return f"list_filter([{', '.join(checks)}], lambda x: x IS NOT NULL)"
+
+
+_HARDNESS = """coalesce(acc, 1.0), coalesce(-difficulty, 0), CASE WHEN novelty_score IS NULL OR isnan(novelty_score) THEN 0 ELSE -novelty_score END,
+  coalesce(-judge.score, 0), coalesce(id, ''), item_ord"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    nodes = """
+WITH o AS (SELECT line_no, row_number() OVER () AS occ, line::JSON AS j FROM item_lines WHERE json_valid(line) AND json_type(line) = 'OBJECT'),
+a AS (SELECT occ, line_no, k, CASE WHEN json_type(j, '$.' || k) = 'VARCHAR' AND k <> 'passages' AND json_valid(j ->> ('$.' || k)) THEN (j ->> ('$.' || k))::JSON ELSE j -> ('$.' || k) END AS v
+      FROM o, (VALUES ('passages'), ('answer_groups'), ('solver_results'), ('judge')) AS t(k)),
+l AS (SELECT occ, line_no, k, CASE WHEN k = 'judge' THEN (CASE WHEN json_type(v) = 'OBJECT' THEN [v] END)
+        WHEN json_type(v) = 'ARRAY' THEN (v)::JSON[] WHEN json_type(v) = 'OBJECT' OR (json_type(v) = 'VARCHAR' AND k = 'passages') THEN [v] END AS e FROM a),
+e AS (SELECT occ, line_no, k, unnest(range(len(e)))::INT AS pos, unnest(e) AS x FROM l WHERE e IS NOT NULL),
+p AS (SELECT * FROM e WHERE json_type(x) = 'OBJECT' OR (k = 'passages' AND json_type(x) = 'VARCHAR')),
+inner_keys(k, kk, child, kinds) AS (VALUES ('answer_groups', 'choices', 'choice', 'OBJECT'), ('answer_groups', 'correct_labels', 'correct_label', 'VARCHAR'),
+   ('solver_results', 'expected', 'expected', 'OBJECT'), ('solver_results', 'predicted', 'predicted', 'OBJECT'), ('judge', 'issues', 'judge_issue', 'VARCHAR')),
+c AS (SELECT line_no, pos AS parent_pos, child, kinds, x -> ('$.' || kk) AS v FROM p JOIN inner_keys USING (k) WHERE json_type(x) = 'OBJECT'),
+cl AS (SELECT line_no, parent_pos, child, kinds, CASE WHEN json_type(v) = 'ARRAY' THEN v::JSON[]
+        WHEN json_type(v) = 'OBJECT' AND child = 'choice' AND NOT (list_contains(json_keys(v), 'label') AND list_contains(json_keys(v), 'text')) THEN list_transform(json_keys(v), lambda q: '{}'::JSON)
+        WHEN json_type(v) = kinds THEN [v] END AS e FROM c),
+ce AS (SELECT line_no, parent_pos, child, kinds, unnest(range(len(e)))::INT AS pos, unnest(e) AS x FROM cl WHERE e IS NOT NULL)
+"""
+    return {
+        "p3_found": nodes + """SELECT line_no, CASE k WHEN 'passages' THEN 'passage' WHEN 'answer_groups' THEN 'answer_group' WHEN 'solver_results' THEN 'solver_result' ELSE 'judge' END AS child, -1 AS parent_pos, pos FROM p
+UNION ALL SELECT line_no, child, parent_pos, pos FROM ce WHERE json_type(x) = kinds""",
+        "jsonl_scan": r"""
+WITH l AS (SELECT CASE WHEN regexp_full_match(coalesce(line, ''), '\s*') THEN 'blank' WHEN NOT json_valid(line) THEN 'invalid JSON' WHEN json_type(line) <> 'OBJECT' THEN 'row must be a JSON object' ELSE 'record' END AS outcome FROM item_lines)
+SELECT outcome, count(*) AS n_lines FROM l GROUP BY outcome""",
+        "record_identifiers": "SELECT item_ord, coalesce(nullif(id, ''), 'item-' || item_ord) AS item_key, coalesce(nullif(source_seed_id, ''), 'seed-' || item_ord) AS seed_name, regexp_replace(coalesce(generation_model, 'None'), '[^A-Za-z0-9_.-]+', '-', 'g') AS slug FROM generated_items",
+        "answer_key_flatten": "SELECT * FROM (VALUES ('arithmetic', 'Q1', 'C'), ('arithmetic', 'Q2', 'A'), ('arithmetic', 'Q3', 'E'), ('sequences', 'Q1', 'B'), ('sequences', 'Q2', 'D')) AS t(section, question, label)",
+        "normalized_texts": f"SELECT doc_id, md5({_squeeze('text')}) AS squeezed, md5({_match('text')}) AS matched FROM documents",
+        "content_token_stats": f"WITH t AS (SELECT doc_id, {_content('text')} AS w FROM documents) SELECT doc_id, len(w)::INT AS n_tokens, len(list_distinct(w))::INT AS n_distinct, len({_grams('w', 3)})::INT AS n_trigrams, len({_grams('w', 4)})::INT AS n_fourgrams FROM t",
+        "main_texts": f"WITH {_ITEM_TEXTS} SELECT item_ord, md5(main_text) AS main_text, md5(structure_text) AS structure_text, len(cs)::INT AS n_choices, len(ps)::INT AS n_passages FROM texts",
+        "novelty_lexical_riskiest": f"""
+WITH {_ITEM_TEXTS}, {_SEEDS},
+i AS (SELECT item_ord, list_distinct({_content('main_text')}) AS w FROM texts),
+s AS (SELECT coalesce(nullif(seed_id, ''), 'source-' || ord) AS source_id, ord, list_distinct({_content('source_question')}) AS w FROM seeds),
+it AS (SELECT item_ord, unnest(w) AS t FROM i), st AS (SELECT ord, unnest(w) AS t FROM s),
+c AS (SELECT item_ord, ord, count(*) AS common FROM it JOIN st USING (t) GROUP BY ALL),
+v AS (SELECT i.item_ord, s.ord, source_id, CASE WHEN common IS NULL THEN 0.0 ELSE least(1.0, 0.65 * (common / (len(i.w) + len(s.w) - common)) + 0.35 * (common / least(len(i.w), len(s.w)))) END AS lexical
+      FROM i CROSS JOIN s LEFT JOIN c ON c.item_ord = i.item_ord AND c.ord = s.ord)
+SELECT item_ord, source_id, round(lexical, 6) AS lexical FROM (SELECT *, row_number() OVER (PARTITION BY item_ord ORDER BY round(lexical, 9) DESC, ord) AS nth FROM v) WHERE nth = 1""",
+        "own_seed_phrases": f"""
+WITH {_ITEM_TEXTS}, {_SEEDS},
+s AS (SELECT seed_id, {_content('arg_min(source_question, ord)')} AS w FROM seeds GROUP BY seed_id),
+j AS (SELECT item_ord, seed_id, {_content('main_text')} AS a, s.w AS b FROM texts JOIN s ON source_seed_id = seed_id),
+g AS (SELECT item_ord, seed_id, {_grams('a', 3)} AS a3, {_grams('b', 3)} AS b3, {_grams('a', 4)} AS a4, {_grams('b', 4)} AS b4 FROM j),
+n AS (SELECT *, len(list_intersect(a3, b3)) AS c3, len(list_intersect(a4, b4)) AS c4 FROM g)
+SELECT item_ord, seed_id, round(coalesce(greatest(
+  CASE WHEN len(a3) > 0 AND len(b3) > 0 THEN greatest(c3 / (len(a3) + len(b3) - c3), 0.8 * (c3 / least(len(a3), len(b3)))) END,
+  CASE WHEN len(a4) > 0 AND len(b4) > 0 THEN greatest(c4 / (len(a4) + len(b4) - c4), 0.8 * (c4 / least(len(a4), len(b4)))) END), 0.0), 6) AS phrase FROM n""",
+        "stored_novelty_summary": """
+SELECT 75.0::DOUBLE AS threshold, count(*) AS total_items, count(*) FILTER (novelty_score >= 75) AS passed_items, count(*) FILTER (novelty_score < 75) AS failed_items,
+  round(avg(novelty_score), 1) AS average_novelty_score, round(min(novelty_score), 1) AS minimum_novelty_score FROM generated_items WHERE novelty_score BETWEEN 0 AND 100 AND NOT isnan(novelty_score)""",
+        "json_salvage": f"""
+WITH r AS (SELECT model, coalesce(generation, response, answer, '') AS raw FROM solver_responses), b AS (SELECT model, {_FENCE} AS bare FROM r)
+SELECT model, count(*) AS responses, count({_PARSED}) AS parsed FROM b GROUP BY model""",
+        "orphan_responses": "SELECT resp_id, item_id FROM solver_responses r WHERE NOT EXISTS (SELECT 1 FROM generated_items i WHERE coalesce(nullif(i.id, ''), 'item-' || i.item_ord) = r.item_id)",
+        "response_rows_invalid": """
+SELECT resp_id, CASE WHEN item_id IS NULL THEN 'response row missing item_id' WHEN model IS NULL THEN 'response row missing model' ELSE 'response row missing generation/response/answer' END AS problem
+FROM solver_responses WHERE item_id IS NULL OR model IS NULL OR coalesce(generation, response, answer) IS NULL""",
+        "judge_gate": "SELECT question_type, count(*) AS items, count(judge) AS judged, count(*) FILTER (judge.valid AND judge.score >= 4) AS accepted FROM generated_items GROUP BY question_type",
+        "seed_lookup": f"""
+WITH {_SEEDS}, m AS (SELECT seed_id, arg_max(struct_pack(a := source_answer), ord).a AS source_answer FROM seeds GROUP BY seed_id)
+SELECT source_seed_id, count(*) AS items, max(source_answer) AS source_answer FROM generated_items LEFT JOIN m ON source_seed_id = seed_id GROUP BY source_seed_id""",
+        "rendered_prompts": "SELECT seed_id, md5('Write 2 items from: ' || coalesce(source_question, '')) AS prompt, length('Write 2 items from: ' || coalesce(source_question, ''))::INT AS n_chars FROM seed_records",
+        "gate_issues": f"WITH {_RATED} SELECT issue, count(*) AS items FROM (SELECT unnest({_issues(75.0, 4.0, 0.9, False, False, False)}) AS issue FROM rated) GROUP BY issue",
+        "hardness_ranks": f"WITH {_RATED} SELECT item_ord, row_number() OVER (ORDER BY {_HARDNESS}) AS rank FROM rated WHERE len({_issues(75.0, 4.0, None, True, False, False)}) = 0",
+        "prefix_mean_cutoff": f"""
+WITH {_RATED}, e AS (SELECT *, len({_issues(75.0, 4.0, 0.9, False, False, False)}) AS n FROM rated),
+r AS (SELECT item_ord, acc, row_number() OVER (ORDER BY {_HARDNESS}) AS rank FROM e WHERE n = 0),
+m AS (SELECT item_ord, rank, sum(acc::DECIMAL(20,10)) OVER w AS s, count(acc) OVER w AS k FROM r WINDOW w AS (ORDER BY rank ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT coalesce(max(rank), 0) AS last FROM m WHERE k = 0 OR s <= k * 0.6::DECIMAL(20,10))
+SELECT item_ord, CASE WHEN rank <= last THEN 'accepted' ELSE 'easiest' END AS fate FROM m CROSS JOIN t UNION ALL SELECT item_ord, 'rejected' FROM e WHERE n > 0""",
+        "type_quota": """
+WITH x AS (SELECT question_type AS value, count(*) AS found FROM generated_items GROUP BY 1), q(value, expected) AS (VALUES ('reading_comprehension', 15), ('text_completion', 9), ('sentence_equivalence', 6))
+SELECT coalesce(x.value, q.value) AS value, coalesce(expected, 0)::BIGINT AS expected, coalesce(found, 0) AS found, coalesce(expected, 0) = coalesce(found, 0) AS holds FROM x FULL JOIN q ON x.value = q.value""",
+        "passage_sets": "SELECT passage_id, count(*) AS questions, count(DISTINCT coalesce(passage, chr(1))) AS texts, count(*) = 3 AND count(DISTINCT coalesce(passage, chr(1))) = 1 AS holds FROM generated_items WHERE passage_id IS NOT NULL GROUP BY passage_id",
+        "choice_counts": "WITH g AS (SELECT question_type, subtype, unnest(answer_groups) AS g FROM generated_items) SELECT question_type, subtype, coalesce(len(g.choices), 0)::INT AS choices, coalesce(len(g.correct_labels), 0)::INT AS correct, count(*) AS groups FROM g GROUP BY ALL",
+        "identifier_audit": """
+WITH i AS (SELECT nullif(id, '') AS id, count(*) AS n FROM generated_items GROUP BY 1)
+SELECT sum(n)::BIGINT AS items, coalesce(sum(n) FILTER (id IS NULL), 0)::BIGINT AS missing, count(*) FILTER (id IS NOT NULL AND NOT regexp_full_match(id, '(gre|lsat)-(tc|se|rc|lr)-[0-9]{9}')) AS malformed, count(*) FILTER (id IS NOT NULL AND n > 1) AS repeated FROM i""",
+        "field_audit": f"""
+SELECT 'difficulty 1 to 5' AS rule, count(*) FILTER (NOT coalesce(difficulty BETWEEN 1 AND 5, false)) AS broken FROM generated_items
+UNION ALL SELECT 'two to five tags', count(*) FILTER (NOT len(coalesce(skill_tags, [])) BETWEEN 2 AND 5) FROM generated_items
+UNION ALL SELECT 'tags in lower case', count(*) FILTER (len(list_filter(coalesce(skill_tags, []), lambda t: t <> lower(t))) > 0) FROM generated_items
+UNION ALL SELECT 'passage on reading items only', count(*) FILTER (coalesce(question_type = 'reading_comprehension', false) <> (coalesce({_squeeze('passage')} <> '', false) AND passage IS NOT NULL OR coalesce(len(passages) > 0, false))) FROM generated_items""",
+        "passage_words": f"""
+WITH w AS (SELECT CASE WHEN {_squeeze('passage')} <> '' THEN len(string_split({_squeeze('passage')}, ' ')) END AS n FROM generated_items)
+SELECT count(n) AS texts, count(*) FILTER (n < 60) AS short, count(*) FILTER (n > 160) AS long FROM w""",
+        "passage_counts": "SELECT subtype, len(passages)::INT AS passages, count(*) AS items FROM generated_items WHERE passages IS NOT NULL GROUP BY ALL",
+        "answer_balance": """
+WITH g AS (SELECT unnest(answer_groups) AS g FROM generated_items), l AS (SELECT unnest(g.correct_labels) AS label FROM g WHERE len(g.correct_labels) = 1)
+SELECT label, count(*) AS answers, round(count(*) / (SELECT count(*) FROM l), 6) AS share FROM l GROUP BY label""",
+        "score_scale": "SELECT judge.score AS score, count(*) AS items, judge.score BETWEEN 1 AND 5 AS in_scale FROM generated_items WHERE judge.score IS NOT NULL GROUP BY ALL",
+        "graded_attempts": _GRADED + "SELECT item_ord, resp_id, model, parsed, correct FROM graded",
+        "item_accuracies": _GRADED + """
+SELECT i.item_ord, count(resp_id) AS attempts, count(*) FILTER (correct) AS correct, round(count(*) FILTER (correct) / nullif(count(resp_id), 0), 4) AS solver_accuracy
+FROM generated_items i LEFT JOIN graded g ON g.item_ord = i.item_ord GROUP BY i.item_ord""",
+        "solver_model_totals": _GRADED + "SELECT coalesce(model, 'None') AS model, count(*) AS total, count(*) FILTER (correct) AS correct, round(count(*) FILTER (correct) / count(*), 4) AS accuracy FROM graded GROUP BY 1",
+        "solver_overall": _GRADED + """, p AS (SELECT i.item_ord, count(resp_id) AS n, count(*) FILTER (correct) AS k FROM generated_items i LEFT JOIN graded g ON g.item_ord = i.item_ord GROUP BY i.item_ord)
+SELECT count(*) AS total_items, sum(n)::BIGINT AS total_solver_attempts, round(sum(k) / sum(n), 4) AS overall_accuracy, round(avg(round(k / nullif(n, 0), 4)), 4) AS average_item_accuracy FROM p""",
+        "generation_outcomes": f"""
+WITH r AS (SELECT model_name, coalesce(generation, '') AS raw FROM raw_generations), b AS (SELECT model_name, {_FENCE} AS bare FROM r),
+q AS (SELECT model_name, CASE WHEN json_valid(bare) THEN bare WHEN json_valid(regexp_extract(bare, '(?s)\\{{.*\\}}')) THEN regexp_extract(bare, '(?s)\\{{.*\\}}') END AS js FROM b),
+l AS (SELECT model_name, CASE WHEN json_type(js) = 'ARRAY' THEN js::JSON[] WHEN json_type(js, '$.items') = 'ARRAY' THEN (js -> '$.items')::JSON[] END AS e FROM q),
+o AS (SELECT model_name, CASE WHEN len(list_filter(e, lambda x: json_type(x) <> 'OBJECT')) = 0 THEN e END AS e FROM l)
+SELECT model_name, count(*) AS generations, count(e) AS with_items, coalesce(sum(len(e)), 0)::BIGINT AS n_items FROM o GROUP BY model_name""",
+    }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from examsift.functions import variants as V
 from examsift.operators import answers, rules, selection, similarity
-from examsift.runtime import cut_lineage, table
+from examsift.runtime import cut_lineage, spread, table
 from examsift.sources.jsonl import parse_lines
 
 
@@ -35,7 +35,7 @@ def line_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Novelty of each item against all seeds."""
-    features = similarity.item_features(items(spark, folder), ["item_ord"])
+    features = similarity.item_features(spread(items(spark, folder)), ["item_ord"])
     return similarity.score_novelty(features, similarity.seed_features(seeds(spark, folder)), ["item_ord"])
 
 

@@ -15,6 +15,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that costs far more than moving its rows.
+
+    A table of enough partitions, as any large one is, stays as it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back.
 
