@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examsift.llm import copies, leakage, mixing, near_duplicates, rank_walk, repetition, sampling, tokenizing, truncation
-from examsift.runtime import table
+from examsift.runtime import spread
+from examsift.runtime import table as whole_table
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table over as many partitions as there are cores, at least: these queries work in Python."""
+    return spread(whole_table(spark, folder, name))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -82,7 +82,7 @@ def _walk_on_driver(states: DataFrame, names: list[str], damping: float, steps:
     pdf = states.toPandas()
     scores = pdf[names].to_numpy(dtype=float)
     pdf["stationarity"] = walk_states(scores, pdf["_n"].to_numpy(dtype=float), damping, steps, tolerance)
-    return states.sparkSession.createDataFrame(pdf[["_state", "stationarity"]], "_state bigint, stationarity double")
+    return states.sparkSession.createDataFrame(pdf[["_state", "stationarity"]], "_state string, stationarity double")
 
 
 def _walk_distributed(states: DataFrame, names: list[str], damping: float, steps: int, tolerance: float) -> DataFrame:
@@ -119,7 +119,7 @@ def rank_walk(items: DataFrame, scores: dict[str, Column], ident: str = "item_or
     """
     names = [f"_s{k}" for k in range(len(scores))]
     scored = items.select(F.col(f"`{ident}`").alias(ident), *[e.cast("double").alias(n) for n, e in zip(names, scores.values())])
-    key = F.xxhash64(*[F.coalesce(F.col(n).cast("string"), F.lit("-")) for n in names]).alias("_state")
+    key = F.concat_ws("|", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names])
     scored = cut_lineage(scored.withColumn("_state", key))
     states = cut_lineage(scored.groupBy("_state", *names).agg(F.count(F.lit(1)).cast("double").alias("_n")))
     few = states.limit(driver_states + 1).count() <= driver_states

@@ -116,18 +116,18 @@ def draw_sample(items: DataFrame, targets: DataFrame, one_in: int = 5, seed: int
     parts below the cell's threshold are taken and only the part on the threshold is sorted, so no cell,
     however large, is ever sorted in one task. Rows without ``ident`` cannot be drawn.
     """
-    plan = broadcast_if_small(sample_plan(items, targets, one_in, seed).select(F.col("question_type").alias("_t"), F.col("subtype").alias("_s"), F.col("difficulty").alias("_d"), "planned", "available"))
+    plan = broadcast_if_small(sample_plan(items, targets, one_in, seed).select(F.col("question_type").alias("_t"), F.col("subtype").alias("_s"), F.col("difficulty").alias("_d"), "planned", "available", F.monotonically_increasing_id().alias("_cell")))
     match = F.col("_t").eqNullSafe(F.col("question_type")) & F.col("_s").eqNullSafe(F.col("subtype")) & F.col("_d").eqNullSafe(F.col("difficulty"))
     order = F.xxhash64(F.lit(seed), F.col(ident))
     parts = F.greatest(F.lit(1), F.ceil(F.col("available") / F.lit(ROWS_A_PART)))
     rows = with_cells(items).filter(F.col(ident).isNotNull()).select(ident, *CELL).join(plan, match).filter("planned > 0")
     rows = rows.withColumn("_order", order).withColumn("_piece", F.floor((F.col("_order").cast("double") / F.lit(2.0**64) + 0.5) * parts).cast("long"))
-    rows = rows.withColumn("_cell", F.xxhash64("_t", "_s", "_d"))
+    rows = rows.select(ident, *CELL, "_order", "_piece", "_cell", "planned")
     counted = rows.groupBy("_cell", "_piece", "planned").count()
     upto = W.partitionBy("_cell").orderBy("_piece").rowsBetween(W.unboundedPreceding, W.currentRow)
-    state = counted.withColumn("_upto", F.sum("count").over(upto)).withColumn("_left", F.col("planned") - F.col("_upto") + F.col("count"))
-    state = state.filter("_left > 0").select("_cell", "_piece", "_left", (F.col("_left") >= F.col("count")).alias("_whole"))
-    chosen = rows.join(state, ["_cell", "_piece"])
-    nth = F.row_number().over(W.partitionBy("_cell", "_piece").orderBy("_order", ident))
-    edge = chosen.filter(~F.col("_whole")).withColumn("_nth", nth).filter("_nth <= _left").drop("_nth")
-    return chosen.filter("_whole").unionByName(edge).select(ident, *CELL)
+    state = counted.withColumn("_upto", F.sum("count").over(upto)).filter((F.col("_upto") >= F.col("planned")) & (F.col("_upto") - F.col("count") < F.col("planned")))
+    edges = broadcast_if_small(state.select("_cell", F.col("_piece").alias("_edge"), (F.col("planned") - F.col("_upto") + F.col("count")).alias("_left")))
+    placed = rows.join(edges, "_cell")  # one edge per cell: where its planned rows end
+    nth = F.row_number().over(W.partitionBy("_cell").orderBy("_order", ident))
+    edge = placed.filter("_piece = _edge").withColumn("_nth", nth).filter("_nth <= _left").drop("_nth")
+    return placed.filter("_piece < _edge").unionByName(edge).select(ident, *CELL)

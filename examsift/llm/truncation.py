@@ -30,7 +30,8 @@ EVIDENCE = {
     "value": 12.0,  # stops inside a JSON value: a complete text hardly ever does
     "word": 9.0,  # prose that stops without the end of a sentence
     "closed": -12.0,  # a closed JSON value, alone or fenced
-    "sentence": -4.5,  # prose that ends like a sentence: one cut in a hundred lands there
+    "trailing": 2.0,  # prose that ends in three dots: a mark of a cut, or a way of writing
+    "sentence": -8.0,  # prose that ends like a sentence, even at a limit
     "label": -6.0,  # a bare answer label
     "empty": -20.0,
 }
@@ -46,6 +47,8 @@ EXACT = 8192
 #: Characters at the end of a text in which marks and labels are looked for.
 TAIL = 120
 MARKS = re.compile(r"(?:\s*(?:…|\.{3,}|\[\s*(?:…|\.{3}|truncated|cut off|continued)\s*\]|\(\s*(?:…|\.{3}|truncated|cut off|continued)\s*\)|<\s*truncated\s*>))+\s*$", re.I)
+#: Three dots right behind a word.
+TRAILING = re.compile(r"\w\.\.\.\s*$")
 TOKEN = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?$)|[{}\[\]]', re.S)
 START = re.compile(r'\{(?=\s*(?:["}\w\']|$))|\[(?=\s*(?:[\[{"\]]|$))')
 FENCE = re.compile(r"\s*`{1,3}\w*\s*$")
@@ -60,6 +63,8 @@ def ending(text: str) -> tuple[str, bool, int]:
         return "empty", False, len(text)
     tail = text[-TAIL:]
     mark = MARKS.search(tail)
+    if TRAILING.search(tail):
+        mark = None
     if mark and not SENTENCE.search(tail[: mark.start()].rstrip()[-16:]):
         content, marked = text[: len(text) - len(tail) + mark.start()], True
     else:
@@ -102,7 +107,7 @@ def _kind(content: str) -> str:
         return "closed" if end else "word"
     rest = rest[-TAIL:]
     if SENTENCE.search(rest[-16:]):
-        return "sentence"
+        return "trailing" if rest.endswith("...") else "sentence"
     return "label" if LABEL.search(rest) else "word"
 
 
