@@ -62,7 +62,7 @@ def _letters(text: Column) -> Column:
 
 def _letters_within(v: Column) -> Column:
     """Letters in all texts of a value without objects, read off its JSON (escapes are no letters)."""
-    return F.coalesce(_letters(F.regexp_replace(F.to_json(v), r"\\\\(?:u[0-9a-fA-F]{4}|.)", " ")), V.texts())
+    return F.coalesce(_letters(F.regexp_replace(F.to_json(v), r"\\(?:u[0-9a-fA-F]{4}|.)", " ")), V.texts())
 
 
 def _label_list(v: Column, depth: int) -> Column:

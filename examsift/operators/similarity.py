@@ -127,7 +127,7 @@ class SourceIndex:
             self.term_lists = [set(x) for x in sources["terms"]]
             self.structures = sources["structure"].tolist()
             self.structure_sizes = np.array([len(x) for x in self.structures], float)
-            self.structure_chars = np.array([_characters(x) for x in self.structures], float).reshape(len(self.ids), -1)
+            self.structure_chars = np.array([_characters(x) for x in self.structures], float).reshape(len(self.ids), 256)
             self.structure_bits = [_places(x) for x in self.structures]
             self.matchers: dict[int, SequenceMatcher] = {}
             self.choices: list[str] = []
@@ -142,7 +142,7 @@ class SourceIndex:
                     self.choice_owners[at[c]].add(owner)
             self.choice_at = at
             self.choice_sizes = np.array([len(c) for c in self.choices], float)
-            chars = np.array([_characters(c) for c in self.choices], np.int16).reshape(len(self.choices), -1)
+            chars = np.array([_characters(c) for c in self.choices], np.int16).reshape(len(self.choices), 256)
             self.choice_columns = np.flatnonzero(chars.any(axis=0))  # characters that occur at all
             self.choice_chars = chars[:, self.choice_columns]
             self.choice_words = [set(c.split()) for c in self.choices]
@@ -368,7 +368,7 @@ def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], thre
         *keys,
         score.alias("novelty_score"),
         risk["source_id"].alias("max_similarity_source_id"),
-        F.coalesce(F.round(100.0 - total(risk), 1), F.lit(0.0)).alias("max_similarity_score"),
+        F.when(risk.isNotNull(), F.round(100.0 - total(risk), 1)).otherwise(0.0).alias("max_similarity_score"),
         F.struct(*[F.coalesce(F.round(100.0 * (one - risk[c]), 1), F.lit(100.0)).alias(n) for c, n in parts.items()]).alias("novelty_components"),
         (F.size(reasons) == 0).alias("novelty_pass"),
         F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("passes novelty gate"))).alias("novelty_reasons"),

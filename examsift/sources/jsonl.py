@@ -90,7 +90,7 @@ def write_summary(one_row: DataFrame, path: str, **more: DataFrame) -> dict:
     row = one_row.first()
     out = row.asDict(recursive=True) if row else {}
     for name, pairs in more.items():
-        out[name] = {str(r[0]): r[1] for r in pairs.collect()}  # histograms: a row per reason or model
+        out[name] = {str(r[0]): r[1].asDict(True) if hasattr(r[1], "asDict") else r[1] for r in pairs.collect()}  # a row per reason or model
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
         f.write(json.dumps(out, indent=2, sort_keys=True, ensure_ascii=False, default=str) + "\n")
