@@ -12,7 +12,7 @@ from examsift.functions import variants as V
 from examsift.operators import answers, audit, generation, judging, nested, rules, selection, similarity
 from examsift.plans import pipeline
 from examsift.plans.oracles import oracle_sql  # noqa: F401
-from examsift.runtime import table
+from examsift.runtime import work_table as table
 from examsift.sources import jsonl
 
 GATES = selection.Gates(allow_unjudged=True)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from examsift.functions import variants as V
 from examsift.operators import answers, rules, selection, similarity
-from examsift.runtime import cut_lineage, spread, table
+from examsift.runtime import cut_lineage
+from examsift.runtime import work_table as table
 from examsift.sources.jsonl import parse_lines
 
 
@@ -35,7 +35,7 @@ def line_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Novelty of each item against all seeds."""
-    features = similarity.item_features(spread(items(spark, folder)), ["item_ord"])
+    features = similarity.item_features(items(spark, folder), ["item_ord"])
     return similarity.score_novelty(features, similarity.seed_features(seeds(spark, folder)), ["item_ord"])
 
 
@@ -65,6 +65,3 @@ def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gat
     errors = F.transform("rule_errors", lambda e: e["message"])
     return selection.select(selection.evaluate(checked, errors, gates).drop("record", "rule_errors"), gates)
 
-
-def text_of(record: str, name: str):
-    return V.text(V.key(F.col(record), name))

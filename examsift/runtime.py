@@ -24,6 +24,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def work_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """``table``, spread over the cores if it has fewer partitions than there are."""
+    return spread(table(spark, folder, name))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back.
 

@@ -17,7 +17,7 @@ def test_commands(spark, tmp_path, monkeypatch, capsys):
     items = [GOOD["logical_reasoning"] | {"id": "one", "extra": {"k": [1]}}, GOOD["single"] | {"id": "two", "answer_groups": [group(None, ["B"])]}]
     (tmp_path / "items.jsonl").write_text("\n".join(map(json.dumps, items)) + "\n\n")
     (tmp_path / "seeds.jsonl").write_text(json.dumps({"seed_id": "s", "source_question": "Unlike anything. Choices: A. q"}))
-    (tmp_path / "responses.jsonl").write_text("\n".join(json.dumps({"item_id": i, "model": "m", "answer": "A"}) for i in ("one", "two", "gone")))
+    (tmp_path / "responses.jsonl").write_text("\n".join(json.dumps({"item_id": i, "model": "m", "answer": '{"answer": "A"}'}) for i in ("one", "two", "gone")))
     (tmp_path / "prompt.md").write_text("JUDGE {{ITEM_JSON}} by {{SEED_JSON}}")
     (tmp_path / "make.md").write_text("MAKE {{ITEMS_PER_SEED}} of {{SEED_JSON}}")
     at = lambda n: str(tmp_path / n)
