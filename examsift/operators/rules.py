@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examsift.functions import variants as V
+from examsift.functions.text import let
 from examsift.functions.constants import PASSAGE_SUBTYPES, QUESTION_TYPES, REASONING_SUBTYPES
 
 Rule = tuple[str, Column, Column | str]
@@ -49,19 +50,22 @@ def _choice_rules(choice: Column) -> Column:
 
 
 def _group_rules(group: Column) -> Column:
-    labels, correct, choices = _labels(group), V.key(group, "correct_labels"), V.key(group, "choices")
-    absent = F.filter(F.transform(V.list_of(correct), _shown), lambda c: ~F.array_contains(labels, c))
-    none = ~V.is_array(correct) | (F.size(V.list_of(correct)) == 0)
-    quoted = F.concat(F.lit("['"), F.array_join(absent, "', '"), F.lit("']"))
-    own = _messages(
-        ("V7", F.size(labels) == 0, "answer group has no labeled choices"),
-        ("V8", _repeats(labels), "duplicate choice labels in answer group"),
-        ("V9", none, "answer group missing correct_labels"),
-        ("V10", ~none & (F.size(absent) > 0), F.concat(F.lit("correct labels not found in choices: "), quoted)),
-        ("internal", choices.isNotNull() & ~V.is_array(choices), "choices must be a list"),
-    )
-    each = F.flatten(F.transform(V.list_of(choices), _choice_rules))
-    return F.when(~V.is_object(group), _messages(("V6", F.lit(True), "answer group must be an object"))).otherwise(F.concat(own, each))
+    correct, choices = V.key(group, "correct_labels"), V.key(group, "choices")
+
+    def own(known: Column) -> Column:
+        labels, given, listed = known["labels"], known["given"], known["choices"]
+        absent = F.filter(F.transform(given, _shown), lambda c: ~F.array_contains(labels, c))
+        rest = _messages(
+            ("V7", F.size(labels) == 0, "answer group has no labeled choices"),
+            ("V8", _repeats(labels), "duplicate choice labels in answer group"),
+            ("V9", F.size(given) == 0, "answer group missing correct_labels"),
+            ("internal", choices.isNotNull() & ~V.is_array(choices), "choices must be a list"),
+        )
+        lost = F.transform(F.filter(F.array(absent), lambda x: F.size(x) > 0), lambda x: F.concat(F.lit("V10\tcorrect labels not found in choices: ['"), F.array_join(x, "', '"), F.lit("']")))
+        return F.concat(rest, lost, F.flatten(F.transform(listed, _choice_rules)))
+
+    parts = F.struct(_labels(group).alias("labels"), V.list_of(correct).alias("given"), V.list_of(choices).alias("choices"))
+    return F.when(~V.is_object(group), _messages(("V6", F.lit(True), "answer group must be an object"))).otherwise(let(parts, own))
 
 
 def _passage_rules(passages: Column) -> Column:
@@ -152,19 +156,22 @@ REQUIRED = ["id", "question_type", "stem", "answer_groups", "explanation"]
 
 def rule_errors(record: Column) -> Column:
     """ARRAY<STRING> of "rule<TAB>message" of a record (VARIANT of an object)."""
-    asked, groups = V.key(record, "question_type"), V.key(record, "answer_groups")
-    listed = V.list_of(groups)
+    asked = V.key(record, "question_type")
     head = _messages(
         *[("V1", V.key(record, k).isNull(), f"missing required field '{k}'") for k in REQUIRED],
         ("V2", ~F.coalesce(V.string(asked).isin(QUESTION_TYPES), F.lit(False)), F.concat(F.lit("invalid question_type '"), _shown(asked), F.lit("'"))),
         ("V3", ~V.is_filled(V.key(record, "stem")), "stem must be a non-empty string"),
         ("V4", ~V.is_filled(V.key(record, "explanation")), "explanation must be a non-empty string"),
     )
-    of_type = V.texts()
-    for name, rules in BY_TYPE.items():
-        of_type = F.when(V.string(asked) == name, rules(record, listed)).otherwise(of_type)
-    rest = F.when(F.size(listed) == 0, _messages(("V5", F.lit(True), "answer_groups must be a non-empty list"))).otherwise(F.concat(F.flatten(F.transform(listed, _group_rules)), of_type))
-    return F.concat(head, rest)
+
+    def of_groups(known: Column) -> Column:
+        listed, of_type = known["groups"], V.texts()
+        for name, rules in BY_TYPE.items():
+            of_type = F.when(known["asked"] == name, rules(record, listed)).otherwise(of_type)
+        none = _messages(("V5", F.lit(True), "answer_groups must be a non-empty list"))
+        return F.when(F.size(listed) == 0, none).otherwise(F.concat(F.flatten(F.transform(listed, _group_rules)), of_type))
+
+    return F.concat(head, let(F.struct(V.list_of(V.key(record, "answer_groups")).alias("groups"), V.string(asked).alias("asked")), of_groups))
 
 
 def with_errors(records: DataFrame, record: str = "record", out: str = "rule_errors") -> DataFrame:
