@@ -102,6 +102,21 @@ cl AS (SELECT line_no, parent_pos, child, kinds, CASE WHEN json_type(v) = 'ARRAY
 ce AS (SELECT line_no, parent_pos, child, kinds, unnest(range(len(e)))::INT AS pos, unnest(e) AS x FROM cl WHERE e IS NOT NULL)
 """
     return {
+        "p3_choices": nodes.replace("lambda q: '{}'::JSON", "lambda q: json_object('label', q, 'text', v ->> ('$.\"' || q || '\"'))") + """SELECT line_no, parent_pos, pos, x ->> '$.label' AS label, x ->> '$.text' AS text FROM ce WHERE child = 'choice' AND json_type(x) = 'OBJECT'""",
+        "failed_generations": f"""
+WITH r AS (SELECT model_name, coalesce(generation, '') AS raw FROM raw_generations), b AS (SELECT model_name, {_FENCE} AS bare FROM r),
+q AS (SELECT model_name, CASE WHEN json_valid(bare) THEN bare WHEN json_valid(regexp_extract(bare, '(?s)\\{{.*\\}}')) THEN regexp_extract(bare, '(?s)\\{{.*\\}}') END AS js FROM b),
+l AS (SELECT model_name, CASE WHEN json_type(js) = 'ARRAY' THEN js::JSON[] WHEN json_type(js, '$.items') = 'ARRAY' THEN (js -> '$.items')::JSON[] END AS e FROM q)
+SELECT model_name, count(*) AS failed FROM l WHERE e IS NULL OR len(list_filter(e, lambda x: json_type(x) <> 'OBJECT')) > 0 GROUP BY model_name""",
+        "abstract_structures": rf"""
+WITH t AS (SELECT {_squeeze("string_split(regexp_replace(coalesce(source_question, ''), '(?i)\\bChoices\\s*:', chr(2)), chr(2))[1]")} AS t FROM seed_records),
+b AS (SELECT regexp_replace(t, '\[[^\]]*blank[^\]]*\]', ' BLANK ', 'gi') AS t FROM t),
+n AS (SELECT regexp_replace(t, '\b{_NUMBER}', ' NUM ', 'g') AS t FROM b), w AS (SELECT regexp_replace(t, '[A-Za-z]+', ' W ', 'g') AS t FROM n),
+x AS (SELECT regexp_replace(t, '(?:\s*W\s*)+', ' W ', 'g') AS t FROM w)
+SELECT {_squeeze("t")} AS structure, count(*) AS seeds FROM x GROUP BY 1""",
+        "repeated_across_models": f"""
+WITH f AS (SELECT {_match('stem')} AS form, count(DISTINCT coalesce(generation_model, 'None')) AS batches FROM generated_items GROUP BY 1)
+SELECT batches, count(*) AS texts FROM f WHERE batches > 1 GROUP BY batches""",
         "p3_found": nodes + """SELECT line_no, CASE k WHEN 'passages' THEN 'passage' WHEN 'answer_groups' THEN 'answer_group' WHEN 'solver_results' THEN 'solver_result' ELSE 'judge' END AS child, -1 AS parent_pos, pos FROM p
 UNION ALL SELECT line_no, child, parent_pos, pos FROM ce WHERE json_type(x) = kinds""",
         "jsonl_scan": r"""
