@@ -132,6 +132,12 @@ SELECT item_a, item_b FROM c JOIN n x ON x.item_ord = item_a JOIN n y ON y.item_
         "p7_found": _ITEM_FORM + "SELECT keep_ord, item_ord FROM (SELECT item_ord, min(item_ord) OVER (PARTITION BY stem_form, choice_forms) AS keep_ord FROM k) WHERE item_ord <> keep_ord",
         "p7_collapsed": _ITEM_FORM + "SELECT min(item_ord) AS item_ord, count(*) AS n_copies FROM k GROUP BY stem_form, choice_forms",
         "p8_round_trip": "SELECT doc_id FROM documents WHERE false",
+        "p10_shares": """
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+     g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
+     r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, gram ORDER BY i) AS nth FROM g) WHERE nth > 1),
+     c AS (SELECT doc_id, count(DISTINCT i + k) AS covered FROM r CROSS JOIN (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(covered, 0) AS n_repeated, coalesce(coalesce(covered, 0) / nullif(len(w), 0), 0.0) AS repeated_share FROM t LEFT JOIN c USING (doc_id)""",
         "p10_found": """
 WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),
      g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 10)),
