@@ -2,7 +2,7 @@
 
 Three kinds of evidence are put together for each text. (1) Its ending: an open JSON value, a broken
 word or sentence, or a complete end, after anything that was put behind a cut (ellipsis marks, closing
-fences) has been taken off. (2) The lengths of its source: a right-censored log-normal distribution is
+fences, quotes and brackets that close a JSON value) has been taken off. (2) The lengths of its source: a right-censored log-normal distribution is
 fitted by maximum likelihood, broken texts being the censored ones, and gives the number of texts that
 would end at a given length by themselves. (3) At lengths that occur far more often than that, the
 posterior probability that a text of that length was censored there.
@@ -29,12 +29,15 @@ from examsift.runtime import cut_lineage
 EVIDENCE = {
     "value": 12.0,  # stops inside a JSON value: a complete text hardly ever does
     "word": 9.0,  # prose that stops without the end of a sentence
+    "string": 9.0,  # a JSON value that closes right behind a broken string: closers were put behind the cut
     "closed": -12.0,  # a closed JSON value, alone or fenced
     "trailing": 2.0,  # prose that ends in three dots: a mark of a cut, or a way of writing
     "sentence": -8.0,  # prose that ends like a sentence, even at a limit
     "label": -6.0,  # a bare answer label
     "empty": -20.0,
 }
+#: Kinds that count as censored.
+BROKEN_ENDS = ("value", "word", "string")
 #: Weight of a mark such as an ellipsis behind an end that is not complete.
 MARK = 2.0
 #: A length is a candidate limit if it has at least LEAST texts and TIMES as many as expected and as its neighbours have.
@@ -53,6 +56,15 @@ TOKEN = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?$)|[{}\[\]]', re.S)
 START = re.compile(r'\{(?=\s*(?:["}\w\']|$))|\[(?=\s*(?:[\[{"\]]|$))')
 FENCE = re.compile(r"\s*`{1,3}\w*\s*$")
 SENTENCE = re.compile(r"[.!?。؟！？…][\"'”’»)\]*_`]*$")
+#: Ends within a JSON string that do not count, and marks there.
+BREAKS = re.compile(r"(?:\s|\\[nrt])+$")
+ESCAPED = re.compile(r"(?:\\u2026)+$")
+#: A sentence end with more text behind it.
+INNER = re.compile(r"[.!?][\"'”’)\]]*\s")
+KEY = re.compile(r'"(\w+)"\s*:\s*$')
+#: Keys of prose: their strings are sentences from SHORT words on; those of other keys from LONG words on, and
+#: those of choices and passages (NAMED) and of lists if they have a sentence end inside too.
+PROSE, NAMED, SHORT, LONG = {"explanation", "rationale", "reason", "reasoning", "stem", "stimulus", "passage"}, {"text", "label"}, 2, 6
 LABEL = re.compile(r"(?:^|:\s*)\(?[A-F]\)?(?:\s*(?:,|;|&|and|\s)\s*\(?[A-F]\)?)*$")
 
 
@@ -69,7 +81,45 @@ def ending(text: str) -> tuple[str, bool, int]:
         content, marked = text[: len(text) - len(tail) + mark.start()], True
     else:
         content, marked = text, False
-    return _kind(content.strip()), marked, len(content)
+    kind = _kind(content.strip())
+    if kind == "closed" and (inside := _last_string(content)):
+        return inside
+    return kind, marked, len(content)
+
+
+def _last_string(content: str) -> tuple[str, bool, int] | None:
+    """The same for the last string of a closed JSON value with only closers, fences and marks behind it, up to the
+    end of the string; None if there is none or it is no broken prose."""
+    bare = content.rstrip()
+    while (shorter := MARKS.sub("", FENCE.sub("", bare[-TAIL:]))) != bare[-TAIL:]:
+        bare = (bare[:-TAIL] + shorter).rstrip()
+    bare = bare.rstrip(" \t\r\n]}")
+    if not bare.endswith('"'):
+        return None
+    end = at = len(bare) - 1
+    while (at := bare.rfind('"', 0, at)) >= 0:
+        before = bare[max(0, at - TAIL) : at]
+        if (len(before) - len(before.rstrip("\\"))) % 2 == 0:
+            break
+    if at < 0:
+        return None
+    text = BREAKS.sub("", bare[at + 1 : end])
+    tail = text[-TAIL:]
+    mark = None if TRAILING.search(tail) else MARKS.search(tail) or ESCAPED.search(tail)
+    if mark:
+        text = text[: len(text) - len(tail) + mark.start()]
+        end = at + 1 + len(text)
+    key, words = KEY.search(before), len(text.split())
+    if key and key[1] not in NAMED:
+        prose = words >= (SHORT if key[1] in PROSE else LONG)
+    else:
+        prose = words >= LONG and bool(INNER.search(text))
+    last = text[-TAIL:].replace('\\"', '"')
+    if not prose:
+        return None
+    if SENTENCE.search(last[-16:]):
+        return ("trailing", False, end) if TRAILING.search(last) else None
+    return None if LABEL.search(last) else ("string", mark is not None, end)
 
 
 def _unfenced(text: str) -> str:
@@ -106,6 +156,8 @@ def _kind(content: str) -> str:
     if not rest:
         return "closed" if end else "word"
     rest = rest[-TAIL:]
+    if end and MARKS.fullmatch(rest):
+        return "closed"
     if SENTENCE.search(rest[-16:]):
         return "trailing" if rest.endswith("...") else "sentence"
     return "label" if LABEL.search(rest) else "word"
@@ -182,7 +234,7 @@ def judge_endings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     seen = texts.select("tbl", "row_key", "source", endings(F.col("text")).alias("_e"))
     seen = cut_lineage(seen.select("tbl", "row_key", "source", "_e.kind", "_e.marked", "_e.n_chars"))
-    broken = F.col("kind").isin("value", "word")
+    broken = F.col("kind").isin(*BROKEN_ENDS)
     cell = F.when(F.col("n_chars") <= EXACT, F.col("n_chars")).otherwise((EXACT * F.exp(F.round(F.log(F.col("n_chars") / F.lit(EXACT)) * 200) / 200)).cast("long"))
     single = seen.filter("n_chars > 0").groupBy("tbl", "source", cell.alias("cell"), "n_chars").agg(F.count(F.lit(1)).alias("n"), F.sum(broken.cast("long")).alias("n_broken"))
     cells = single.groupBy("tbl", "source", F.col("cell").alias("n_chars")).agg(F.sum("n").alias("n"), F.sum("n_broken").alias("n_broken"), F.max_by("n_chars", "n").alias("peak"))
@@ -192,7 +244,7 @@ def judge_endings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     joined = seen.join(named, (F.col("tbl") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     posterior = F.coalesce(F.try_element_at("at", F.col("n_chars")), F.col("base"), F.lit(0.01))
     evidence = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in EVIDENCE.items() for x in pair]), F.col("kind")), F.lit(EVIDENCE["empty"]))
-    mark = F.when(F.col("marked") & F.col("kind").isin("value", "word"), MARK).otherwise(0.0)
+    mark = F.when(F.col("marked") & F.col("kind").isin(*BROKEN_ENDS), MARK).otherwise(0.0)
     odds = evidence + mark + F.log(F.col("posterior") / (1 - F.col("posterior")))
     judged = joined.withColumn("posterior", posterior).withColumn("log_odds", odds)
     return judged.select("tbl", "row_key", "source", "kind", "posterior", "log_odds", (F.col("log_odds") > 0).alias("truncated")), fits

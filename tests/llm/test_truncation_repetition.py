@@ -38,6 +38,44 @@ def test_endings(text, kind, marked):
     assert tr.ending(text)[:2] == (kind, marked)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "marked", "behind"),
+    [
+        ('{"items": [{"explanation": "A is right. Nothing in Ordraenmoor ventu"}]}', "string", False, '"}]}'),
+        ('```json\n[{"explanation": "Tempting as it is, they test instead of Briwick"}]\n```', "string", False, '"}]\n```'),
+        ('{"explanation": "Because Orsimith to"}', "string", False, '"}'),
+        ('{"explanation": "A is right: anthems guided them, whereas eng…"\n }\n```', "string", True, '…"\n }\n```'),
+        ('{"explanation": "A is right: anthems guided them, whereas eng"} [...]', "string", False, '"} [...]'),
+        ('{"explanation": "A is right: anthems guided them, whereas eng"}…\n```', "string", False, '"}…\n```'),
+        ('{"explanation": "He said \\"no\\" to all of the"}', "string", False, '"}'),
+        ('{"passages": [{"text": "One whole sentence. And then a broken on"}]}', "string", False, '"}]}'),
+        ('{"explanation": "It says so in the text."}', "closed", False, ""),
+        ('{"explanation": "He said \\"no.\\""}', "closed", False, ""),
+        ('{"rationale": "So the answer is: B"}', "closed", False, ""),
+        ('{"explanation": "obvious"}', "closed", False, ""),
+        ('{"choices": [{"label": "A", "text": "a choice of words that is no sentence"}]}', "closed", False, ""),
+        ('{"answers": [{"blank": 1, "labels": ["B", "D"]}]}', "closed", False, ""),
+    ],
+)
+def test_closers_put_behind_a_cut(text, kind, marked, behind):
+    assert tr.ending(text) == (kind, marked, len(text) - len(behind))
+
+
+def test_closed_values_with_a_broken_string_are_found_and_censored(spark):
+    rng = random.Random(7)
+    rows, want = [], set()
+    for i in range(600):
+        text = '{"explanation": "' + " ".join(rng.choice(["able", "birds", "carry", "dusty", "eggs"]) for _ in range(rng.randint(10, 90))) + '."}'
+        if len(text) > 302:
+            text = text[:300] + '"}'
+            if text[299] != ".":
+                want.add(i)
+        rows.append(("t", i, "m", text))
+    df = spark.createDataFrame(rows, "tbl string, row_key bigint, source string, text string")
+    assert {r.row_key for r in tr.truncated_rows(df).collect()} == want and len(want) > 100
+    assert [r.limits for r in tr.truncation_rates(df).collect()] == [[300]]
+
+
 def test_censored_fit_recovers_the_distribution():
     rng = np.random.default_rng(1)
     lengths = np.exp(rng.normal(6.5, 0.6, 20_000))
