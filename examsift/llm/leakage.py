@@ -6,7 +6,8 @@ a longer one is cut into overlapping domains of bounded size, so that any window
 and the sizes of query and domain stay comparable. Domains are partitioned by size; the size bound of a
 partition turns the containment wanted into a Jaccard and so into the number of agreeing signature
 coordinates that makes a candidate. Candidates are checked by exact shingle containment, and what is
-left by aligning the words.
+left by aligning the words. In passages with blanks each filled blank breaks more shingles, so these passages
+are not estimated: the shingles that a text shares with them are counted within the stretch of a leak.
 
 Words are compared in lower case. Markup tags, quotation marks of lines, zero-width characters and
 escapes of JSON strings do not count, and what stands in a blank of a passage is free.
@@ -99,13 +100,21 @@ class PassageIndex:
         self.shared = max(3, self.query - (span // one_in) * WIDTH - (WIDTH - 1))
         hash_words = WordHash()
         self.sets = [shingles(hash_words(w), WIDTH) for w in self.words]
+        #: Passages with blanks between their words are counted exactly: (shingles that survive, shingles of a text they lie in).
+        self.blanked = {o: self._survivors(b) for o, b in enumerate(self.blanks) if len(b) >= span and any(b[:-1])}
+        own = [(self.sets[o], np.full(len(self.sets[o]), o, np.int64)) for o in self.blanked]
+        self.codes, self.code_owners = (np.concatenate(x) for x in zip(*own)) if own else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        by_code = np.argsort(self.codes, kind="stable")
+        self.codes, self.code_owners = self.codes[by_code], self.code_owners[by_code]
+        self.code_bits = np.zeros(1 << 22, bool)
+        self.code_bits[(self.codes >> np.uint64(42)).astype(np.int64)] = True
         rng = np.random.default_rng(20)
         self.factors = rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         keys, owners = [], []
         with np.errstate(over="ignore"):
             for k, factor in enumerate(self.factors):
                 for owner, s in enumerate(self.sets):
-                    if len(s):
+                    if len(s) and owner not in self.blanked:
                         values = s * factor
                         least = np.lib.stride_tricks.sliding_window_view(values, min(self.query, len(s))).min(axis=1)
                         least = np.unique(least)
@@ -129,6 +138,56 @@ class PassageIndex:
         self.bounds = [self.segment // 2, self.segment, self.segment * 3 // 2, self.segment * 2]
         self.needed = [agreements_needed(b, self.query, self.shared, COORDINATES) for b in self.bounds]
 
+    def _survivors(self, blanks: list[int]) -> tuple[int, int]:
+        """(fewest shingles that a leak of the passage keeps, most shingles of a text that it stretches over).
+
+        A filled blank breaks the shingles over it and an edit WIDTH more. Of a leak of twice the span
+        or more one half is a leak itself, so windows of one to two spans are all that count. One shingle
+        at least is asked for.
+        """
+        blank = np.array(blanks)
+        broken = np.concatenate([[0], np.cumsum(np.lib.stride_tricks.sliding_window_view(blank[:-1] > 0, WIDTH - 1).any(axis=1))])
+        filled = np.concatenate([[0], np.cumsum(blank)])
+        fewest, widest = self.query, 0
+        for n in range(self.span, min(2 * self.span, len(blanks) + 1)):
+            at, size, edits = np.arange(len(blanks) - n + 1), n - WIDTH + 1, n // self.one_in
+            fewest = min(fewest, size - edits * WIDTH - int((broken[at + size] - broken[at]).max()))
+            widest = max(widest, size + edits + FILL * int((filled[at + n - 1] - filled[at]).max()))
+        return max(1, fewest), widest
+
+    def counted(self, sets: list[np.ndarray]) -> dict[int, dict[int, list[tuple[int, int]]]]:
+        """For each text (by number) the passages with blanks, and ranges of its shingles that hold as many of the passage's
+        as every leak keeps: exact."""
+        found: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        if not len(self.codes) or not sum(map(len, sets)):
+            return found
+        whole = np.concatenate(sets)
+        hit = np.flatnonzero(self.code_bits[(whole >> np.uint64(42)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.codes, whole[hit]), np.searchsorted(self.codes, whole[hit], "right")
+        n = hi - lo
+        where = np.repeat(hit, n)
+        who = self.code_owners[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        text = np.searchsorted(offsets, where, "right") - 1
+        pair = text * len(self.names) + who
+        placed = np.unique(np.stack([pair, where]), axis=1) if len(pair) else np.empty((2, 0), np.int64)
+        pair, where = placed
+        firsts = np.flatnonzero(np.diff(pair, prepend=-1))
+        lasts = np.append(firsts[1:], len(pair))
+        least = np.array([self.blanked.get(o, (0, 0))[0] for o in range(len(self.names))])
+        enough = lasts - firsts >= least[pair[firsts] % len(self.names)]
+        for first, last in zip(firsts[enough].tolist(), lasts[enough].tolist()):
+            t, owner = divmod(int(pair[first]), len(self.names))
+            fewest, widest = self.blanked[owner]
+            at = where[first:last] - offsets[t]
+            ends = np.searchsorted(at, at + widest)
+            passed = -1
+            for start in at[ends - np.arange(len(at)) >= fewest].tolist():
+                if start > passed:
+                    found.setdefault(t, {}).setdefault(owner, []).append((max(0, start - widest + fewest), start + widest))
+                    passed = start + self.span  # leaks from there on still lie in the words that are aligned
+        return found
+
     @staticmethod
     def key(values: np.ndarray, coordinate: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -194,18 +253,19 @@ class PassageIndex:
                 pairs.setdefault(s - t, []).append(t)
         best = (0, 0)
         done: set[int] = set()
+        drift = DRIFT + FILL * max(0, sum(blanks[:-1]) - 1)
         for d, n in diagonal.most_common(6):
             if n < 4 or any(abs(d - x) <= 2 for x in done):
                 continue
             done.add(d)
-            best = max(best, self._chain(passage, blanks, pairs, d), key=lambda x: (x[0] >= self.span, x[0]))
+            best = max(best, self._chain(passage, blanks, pairs, d, drift), key=lambda x: (x[0] >= self.span, x[0]))
             if best[0] >= self.span:
                 break
         return best
 
-    def _chain(self, passage: list[str], blanks: list[int], pairs: dict[int, list[int]], around: int) -> tuple[int, int]:
+    def _chain(self, passage: list[str], blanks: list[int], pairs: dict[int, list[int]], around: int, drift: int = DRIFT) -> tuple[int, int]:
         runs = []  # (first word of the passage, first word of the text, length), maximal
-        for d in range(around - DRIFT, around + DRIFT + 1):
+        for d in range(around - drift, around + drift + 1):
             at = pairs.get(d)
             if not at:
                 continue
@@ -252,11 +312,11 @@ class PassageIndex:
             words = [WORD.findall(clean(t)) for t in texts[at : at + TEXTS_AT_ONCE]]
             sets = shingles_of(words, hash_words, WIDTH)
             part: list[list[tuple[int, int, int]]] = [[] for _ in words]
-            for n, owners in self.candidates(sets).items():
+            for n, owners in [*self.candidates(sets).items(), *self.counted(sets).items()]:
                 codes = sets[n].tolist()
                 for owner, domains in owners.items():
                     for lo, hi in domains:
-                        if self.contained(owner, codes[lo:hi]) < self.shared:
+                        if owner not in self.blanked and self.contained(owner, codes[lo:hi]) < self.shared:
                             continue
                         length, edits = self.aligned(owner, words[n][max(0, lo - self.span) : hi + WIDTH + self.span])
                         if length >= self.span:

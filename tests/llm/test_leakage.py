@@ -80,5 +80,31 @@ def test_search_equals_alignment_of_everything():
     assert sum(map(bool, found)) > 50
 
 
+def test_two_and_three_blanks_with_edits():
+    rng = random.Random(11)
+    bodies = []
+    for k in range(12):
+        w = rng.choices(WORDS, k=44)
+        for place in (14, 21, 27)[: 2 + k % 2]:
+            w[place] += " [blank_1]"
+        bodies.append((f"b{k}", " ".join(w)))
+    index = lk.PassageIndex(bodies)
+    texts, owners = [], []
+    for i in range(600):
+        k, size = rng.randrange(12), rng.choice([20, 20, 21, 22, 24, 30])
+        words, _ = lk.passage_words(bodies[k][1])
+        at = rng.randint(max(0, 28 - size), 13)
+        quote = words[at : at + size]
+        for place in rng.sample(range(1, size - 1), size // 8):
+            quote[place] = "other"
+        for place in (27, 21, 14)[1 - k % 2 :]:
+            if place - at + 1 < size:
+                quote[place - at + 1 : place - at + 1] = ["fill"] * rng.randint(1, lk.FILL)
+        owners.append(k)
+        texts.append(noise(rng.randint(30, 300), i) + " " + " ".join(quote) + " " + noise(rng.randint(30, 300), i + 1000))
+    missed = [i for i, (k, hits) in enumerate(zip(owners, index.search(texts))) if k not in {o for o, _, _ in hits}]
+    assert missed == []
+
+
 def test_agreements_needed_grow_with_overlap():
     assert lk.agreements_needed(36, 18, 10, 64) < lk.agreements_needed(18, 18, 10, 64) < 64
