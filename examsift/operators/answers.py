@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examsift.functions import variants as V
-from examsift.operators.sizing import SALTS, hot_keys
+from examsift.operators.sizing import SALTS, broadcast_if_small, hot_keys
+
+#: Attempts up to which an item's array holds them where they are also kept as a table.
+MOST_IN_ARRAY = 10_000
 
 #: Depth to which labels nested in lists and objects are followed.
 DEPTH = 2
@@ -198,16 +201,18 @@ def item_accuracy(items: DataFrame, graded: DataFrame) -> DataFrame:
     return out.select("item_ord", F.coalesce("attempts", F.lit(0)).alias("attempts"), F.coalesce("correct", F.lit(0)).alias("correct"), F.round(F.try_divide("correct", "attempts"), 4).alias("solver_accuracy"))
 
 
-def attach_results(items: DataFrame, graded: DataFrame, most: int = 10_000) -> DataFrame:
+def attach_results(items: DataFrame, graded: DataFrame, most: int | None = None) -> DataFrame:
     """``items`` with solver_results (in order of resp_id) and solver_accuracy from graded attempts.
 
-    The array holds an item's attempts; an item with more than ``most`` keeps them in the attempts table
-    only: its array is null and ``n_attempts`` tells their number. Its accuracy counts all of them.
+    The array holds all of an item's attempts. A caller that keeps ``graded`` beside the items may give
+    ``most``: an item with more attempts than that, whatever other items have, gets a null array and
+    ``n_attempts`` tells how many there are in ``graded``. Its accuracy counts all of them.
     """
     names = ["model", "raw_response", "parse_error", "correct", "expected", "predicted", "missing_blanks"]
     counts = graded.groupBy("item_ord").agg(F.count(F.lit(1)).alias("n_attempts"), F.round(F.avg(F.col("correct").eqNullSafe(True).cast("int")), 4).alias("_accuracy"))
-    large = hot_keys(graded, "item_ord", most)
-    usual = graded.filter(~F.col("item_ord").isin(large)) if large else graded
+    usual = graded
+    if most is not None:
+        usual = graded.join(broadcast_if_small(counts.filter(F.col("n_attempts") > most).select("item_ord")), "item_ord", "left_anti")
     lists = usual.groupBy("item_ord").agg(F.array_sort(F.collect_list(F.struct("resp_id", *names))).alias("_rows"))
     bare = items.drop("solver_results", "solver_accuracy", "n_attempts").join(counts, "item_ord", "left").join(lists, "item_ord", "left")
     results = F.transform("_rows", lambda r: F.struct(*[r[n].alias(n) for n in names]))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examsift.operators import answers, generation, judging, rules, selection, similarity
+from examsift.operators.sizing import broadcast_if_small
 from examsift.runtime import cut_lineage
 from examsift.sources import jsonl
 
@@ -97,7 +98,9 @@ def solve(spark: SparkSession, a: argparse.Namespace) -> int:
             sent = got if sent is None else sent.unionByName(got)
         sent = cut_lineage(sent.withColumn("resp_id", F.monotonically_increasing_id()))
     graded = cut_lineage(answers.attempts(rows, sent))
-    solved = answers.attach_results(rows, graded)
+    named = broadcast_if_small(rows.select("item_ord", answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id")))
+    jsonl.write_lines(graded.join(named, "item_ord"), a.attempts_output or a.output.rstrip("/") + "_attempts", ["item_ord", "resp_id"])
+    solved = answers.attach_results(rows, graded, answers.MOST_IN_ARRAY)
     write(with_fields(solved, ["solver_results", "solver_accuracy"]), a.output)
     per_item = answers.item_accuracy(rows, graded)
     jsonl.write_summary(answers.solver_summary(per_item), a.summary_output, models=answers.model_totals(graded).select("model", F.struct("total", "correct", "accuracy").alias("m")))
@@ -163,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
     calls = {"provider": "", "prompt": "", "model": "gpt-4o", "system_prompt": "", "no_cache": False, "no_response_format_json": False}
     command("validate", validate, output="")
     command("novelty", novelty, sources=[], output="scored", summary_output="novelty_summary.json", threshold=75.0)
-    command("solve", solve, output="solved", summary_output="solver_summary.json", responses=[], models=[], temperature=0.0, max_new_tokens=600, **calls)
+    command("solve", solve, output="solved", attempts_output="", summary_output="solver_summary.json", responses=[], models=[], temperature=0.0, max_new_tokens=600, **calls)
     c = command("filter", filter_items, output="accepted", rejected_output="rejected", summary_output="filter_summary.json", target_size=0, min_novelty=75.0, min_judge_score=4.0, max_dataset_solver_accuracy=0.85, enforce_solver_target=False, allow_unjudged=False, allow_unscored=False, allow_unsolved=False)
     c.add_argument("--max-item-solver-accuracy", type=float, default=None)
     command("judge", judge, accepted_output="accepted", reviewed_output="reviewed", seeds=[], min_score=4, temperature=0.0, max_new_tokens=900, **calls)

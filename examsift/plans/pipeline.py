@@ -58,10 +58,17 @@ def selected(spark: SparkSession, folder: str, gates: selection.Gates) -> DataFr
     return cut_lineage(selection.select(evaluated(spark, folder, gates), gates))
 
 
-def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gates) -> DataFrame:
-    """From items and recorded responses to the selection: grade, attach, validate, gate, rank, cap."""
-    solved = answers.attach_results(rows, answers.attempts(rows, responses))
+def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gates, with_attempts: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """From items and recorded responses to the selection: grade, attach, validate, gate, rank, cap.
+
+    Alone, the selection holds every attempt in its arrays. For items with very many attempts ask for
+    (selection, attempts) by ``with_attempts``: the second holds each graded attempt of each item, and arrays
+    of more than MOST_IN_ARRAY attempts are null in the first.
+    """
+    graded = answers.attempts(rows, responses)
+    solved = answers.attach_results(rows, graded, answers.MOST_IN_ARRAY if with_attempts else None)
     checked = rules.with_errors(item_records(solved))
     errors = F.transform("rule_errors", lambda e: e["message"])
-    return selection.select(selection.evaluate(checked, errors, gates).drop("record", "rule_errors"), gates)
+    chosen = selection.select(selection.evaluate(checked, errors, gates).drop("record", "rule_errors"), gates)
+    return (chosen, graded) if with_attempts else chosen
 

@@ -93,6 +93,21 @@ def test_attempts_accuracy_and_summaries(spark, monkeypatch):
     assert none.collect() == [] and answers.solver_summary(answers.item_accuracy(items.limit(0), none)).first().overall_accuracy is None
 
 
+def test_no_attempt_is_lost(spark):
+    items, responses = items_and_responses(spark)
+    many = spark.range(10, 10_011).selectExpr("id resp_id", "'lonely' item_id", "'m' model", "'{}' generation", "CAST(null AS string) response", "CAST(null AS string) answer")
+    graded = answers.attempts(items, responses.unionByName(many)).cache()
+    whole = {r.item_ord: r.n for r in answers.attach_results(items, graded).selectExpr("item_ord", "size(solver_results) n").collect()}
+    assert whole == {1: 1, 2: 2, 3: 1, 4: 10_001}
+    # beside other rows the same item is treated the same
+    padding = graded.filter("item_ord = 2").crossJoin(spark.range(1, 5)).selectExpr("id * 100 + item_ord item_ord", *graded.columns[1:])
+    for table in (graded, graded.unionByName(padding)):
+        for most in (2, 10_001):
+            rows = answers.attach_results(items, table, most).collect()
+            assert {r.item_ord: r.solver_results is None for r in rows} == {1: False, 2: False, 3: False, 4: most == 2}
+            assert {r.item_ord: r.n_attempts for r in rows} == whole
+
+
 GOOD = {
     "text_completion": {"id": "a", "question_type": "text_completion", "stem": "s", "explanation": "e", "answer_groups": [group(1, ["A"], 3)]},
     "sentence_equivalence": {"id": "a", "question_type": "sentence_equivalence", "stem": "s", "explanation": "e", "answer_groups": [group(1, ["A", "B"], 6)]},

@@ -12,6 +12,16 @@ def echo(texts, systems, parameters):
     return ['{"valid": true, "score": 5}' if "JUDGE" in t else '{"items": [{"stem": "new"}]}' if "MAKE" in t else '{"answer": "A"}' for t in texts]
 
 
+def test_solve_writes_each_attempt(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    monkeypatch.setattr(cli.answers, "MOST_IN_ARRAY", 2)
+    (tmp_path / "items.jsonl").write_text(json.dumps(GOOD["logical_reasoning"] | {"id": "hot"}))
+    (tmp_path / "responses.jsonl").write_text("\n".join(json.dumps({"item_id": "hot", "model": "m", "answer": json.dumps({"answer": x})}) for x in "AAB"))
+    assert cli.main(["solve", "--input", str(tmp_path / "items.jsonl"), "--responses", str(tmp_path / "responses.jsonl"), "--output", str(tmp_path / "solved"), "--summary-output", str(tmp_path / "s.json")]) == 0
+    assert lines(tmp_path / "solved")[0]["solver_results"] is None
+    assert [(x["item_id"], x["resp_id"], x["correct"]) for x in lines(tmp_path / "solved_attempts")] == [("hot", 1, True), ("hot", 2, True), ("hot", 3, False)]
+
+
 def test_commands(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(cli, "session", lambda: spark)
     items = [GOOD["logical_reasoning"] | {"id": "one", "extra": {"k": [1]}}, GOOD["single"] | {"id": "two", "answer_groups": [group(None, ["B"])]}]

@@ -80,6 +80,18 @@ def test_solve_and_filter_end_to_end(spark):
     assert next(r for r in out if r.id == "hard").solver_accuracy == 0.0
 
 
+def test_solve_and_filter_returns_the_attempts(spark, monkeypatch):
+    items = spark.createDataFrame([row(1, None, ident="hot"), row(2, None, ident="mid")], ITEM)
+    sent = [(i, "hot" if i < 5 else "mid", "m", json.dumps({"answer": "B"}), None, None) for i in range(7)]
+    responses = spark.createDataFrame(sent, "resp_id bigint, item_id string, model string, generation string, response string, answer string")
+    monkeypatch.setattr(pipeline.answers, "MOST_IN_ARRAY", 3)
+    alone = pipeline.solve_and_filter(items, responses, selection.Gates())
+    assert {r.id: len(r.solver_results) for r in alone.collect()} == {"hot": 5, "mid": 2}
+    chosen, attempts = pipeline.solve_and_filter(items, responses, selection.Gates(), with_attempts=True)
+    assert {r.id: r.solver_results and len(r.solver_results) for r in chosen.collect()} == {"hot": None, "mid": 2}
+    assert sorted((r.item_ord, r.resp_id) for r in attempts.collect()) == [(1 if i < 5 else 2, i) for i in range(7)]
+
+
 def test_running_sums_over_many_partitions(spark):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("v")).repartition(9)
     got = running_sums(df, [F.col("v").desc(), F.col("id")], {"s": F.col("id"), "n": F.lit(1).cast("long")}).collect()
