@@ -22,8 +22,8 @@ from examsift.operators.sizing import HOT_ROWS, smallest_of_key
 from examsift.runtime import cut_lineage, worker_state
 
 WORD = re.compile(r"[^\W_]+")
-#: Copies of one text up to which all their pairs are listed; beyond it each copy is paired with the first.
-LISTED_COPIES = 32
+#: Copies of one text that are paired with each other in one cell of a join; larger classes are split into blocks.
+COPIES_IN_BLOCK = 256
 #: Documents in a band's bucket beyond which the bucket is split over tasks.
 HOT_BUCKET = 200
 SPLIT = 16
@@ -222,25 +222,36 @@ def classes_of_copies(texts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return smallest_of_key(keyed, "_form", "id", hot_rows).select("id", "keep", "n_copies")
 
 
-def similar_records(texts: DataFrame, width: int = 5, percent: int = 80, rows: int = 4, listed: int = LISTED_COPIES, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _expanded(links: DataFrame, classes: DataFrame, side: str) -> DataFrame:
+    """``links`` with each record of the class in place of its name in column ``side``; names of no class stay."""
+    sizes = classes.filter("id = keep").select(F.col("keep").alias(side), "blocks")
+    cells = links.join(sizes, side, "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    members = classes.select(F.col("keep").alias(side), "block", F.col("id").alias("_id"))
+    found = cells.join(members, [side, "block"], "left").withColumn(side, F.coalesce("_id", F.when(F.col("blocks").isNull(), F.col(side))))
+    return found.filter(F.col(side).isNotNull()).select("a", "b")  # a block may be empty
+
+
+def similar_records(texts: DataFrame, width: int = 5, percent: int = 80, rows: int = 4, listed: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(a, b), a < b: all pairs of records at or above the threshold, copies included.
 
     Records with the same words are first collapsed to classes and only one text per class is
-    compared. Classes of at most ``listed`` copies are written out as all their pairs, and a link
-    between two such classes as all pairs across; in a larger class each copy is paired with its
-    first record only, and links go through that record (membership, not expansion).
+    compared. Classes are written out as all their pairs, and a link between two classes as all
+    pairs across; large classes in blocks, so that no task holds one. With ``listed``, in a class of
+    more copies than that each copy is paired with its first record only, and links go through that
+    record (membership, not expansion).
     """
     member = cut_lineage(classes_of_copies(texts, hot_rows))
     firsts = texts.join(member.filter("id = keep").select("id"), "id", "left_semi")
     links = similar_texts(firsts, width, percent, rows).select("a", "b")
     several = member.filter(F.col("n_copies") > 1)
-    few, many = several.filter(F.col("n_copies") <= listed), several.filter(F.col("n_copies") > listed)
-    one, two = few.select("keep", F.col("id").alias("a")), few.select("keep", F.col("id").alias("b"))
-    inside = one.join(two, "keep").filter("a < b").select("a", "b")
+    few, many = (several, several.limit(0)) if listed is None else (several.filter(F.col("n_copies") <= listed), several.filter(F.col("n_copies") > listed))
+    few = few.withColumn("blocks", F.ceil(F.col("n_copies") / COPIES_IN_BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    one = few.select("keep", F.col("id").alias("a"), F.col("block").alias("i"), F.explode(every).alias("j"))
+    two = few.select("keep", F.col("id").alias("b"), F.explode(every).alias("i"), F.col("block").alias("j"))
+    inside = one.join(two, ["keep", "i", "j"]).filter("a < b").select("a", "b")
     star = many.filter("id <> keep").select(F.col("keep").alias("a"), F.col("id").alias("b"))
-    of = few.select("keep", "id")
-    left = links.join(of.select(F.col("keep").alias("a"), F.col("id").alias("a2")), "a", "left").select("b", F.coalesce("a2", "a").alias("a"))
-    both = left.join(of.select(F.col("keep").alias("b"), F.col("id").alias("b2")), "b", "left").select("a", F.coalesce("b2", "b").alias("b"))
+    both = _expanded(_expanded(links, few, "a"), few, "b")
     across = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return inside.unionByName(star).unionByName(across)
 

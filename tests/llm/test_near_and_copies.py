@@ -55,6 +55,18 @@ def test_large_classes_are_listed_through_their_first_record(spark):
         assert {tuple(r) for r in nd.similar_records(df, 3, 60, hot_rows=hot).collect()} == brute(rows, 3, 60)
 
 
+def test_every_pair_of_large_classes_is_listed(spark, monkeypatch):
+    rng = random.Random(6)
+    text = " ".join(rng.choices(WORDS, k=40))
+    near = edited(text, rng, 1)
+    rows = [(i, text + " ." * i) for i in range(40)] + [(100 + i, near + " !" * i) for i in range(34)] + [(200, edited(text, rng, 1))]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    for block in (nd.COPIES_IN_BLOCK, 3):
+        monkeypatch.setattr(nd, "COPIES_IN_BLOCK", block)
+        got = [tuple(r) for r in nd.similar_records(df, 3, 60).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(rows, 3, 60)
+
+
 def test_hot_buckets_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(nd, "HOT_BUCKET", 3)
     rows = corpus(2, 25)
