@@ -42,7 +42,7 @@ BROKEN_ENDS = ("value", "word", "string")
 MARK = 2.0
 #: A length is a candidate limit if it has at least LEAST texts and TIMES as many as expected and as its neighbours have.
 LEAST, TIMES = 8, 5.0
-#: Share of broken ends that a candidate limit shows at least; lengths of set phrases show next to none.
+#: Share of broken ends, or of ends in three dots, that a candidate limit shows at least; lengths of set phrases show next to none.
 BROKEN = 0.2
 #: Lengths up to EXACT are counted singly, longer ones in bins of one part in 200, so a source has a bounded number of bins.
 EXACT = 8192
@@ -52,6 +52,7 @@ TAIL = 120
 MARKS = re.compile(r"(?:\s*(?:…|\.{3,}|\[\s*(?:…|\.{3}|truncated|cut off|continued)\s*\]|\(\s*(?:…|\.{3}|truncated|cut off|continued)\s*\)|<\s*truncated\s*>))+\s*$", re.I)
 #: Three dots right behind a word.
 TRAILING = re.compile(r"\w\.\.\.\s*$")
+DOTS = re.compile(r"\.\.\.\s*$")
 TOKEN = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?$)|[{}\[\]]', re.S)
 START = re.compile(r'\{(?=\s*(?:["}\w\']|$))|\[(?=\s*(?:[\[{"\]]|$))')
 FENCE = re.compile(r"\s*`{1,3}\w*\s*$")
@@ -84,7 +85,8 @@ def ending(text: str) -> tuple[str, bool, int]:
     kind = _kind(content.strip())
     if kind == "closed" and (inside := _last_string(content)):
         return inside
-    return kind, marked, len(content)
+    # three dots may stand behind a cut: the length is looked up without them
+    return kind, marked, len(DOTS.sub("", content)) if kind == "trailing" else len(content)
 
 
 def _last_string(content: str) -> tuple[str, bool, int] | None:
@@ -118,7 +120,7 @@ def _last_string(content: str) -> tuple[str, bool, int] | None:
     if not prose:
         return None
     if SENTENCE.search(last[-16:]):
-        return ("trailing", False, end) if TRAILING.search(last) else None
+        return ("trailing", False, at + 1 + len(DOTS.sub("", text))) if TRAILING.search(last) else None
     return None if LABEL.search(last) else ("string", mark is not None, end)
 
 
@@ -201,19 +203,19 @@ def fit_censored(lengths: np.ndarray, weights: np.ndarray, censored: np.ndarray)
 
 def _limits(group: pd.DataFrame) -> pd.DataFrame:
     """Of one source's counts by length: the fit, the rate of broken ends elsewhere, and the candidate limits."""
-    lengths, counts, broken = (group[c].to_numpy(float) for c in ("n_chars", "n", "n_broken"))
+    lengths, counts, broken, maybe = (group[c].to_numpy(float) for c in ("n_chars", "n", "n_broken", "n_maybe"))
     x = np.concatenate([lengths, lengths])
     w = np.concatenate([counts - broken, broken])
     censored = np.repeat([False, True], len(lengths))
     keep = w > 0
     mu, sigma = fit_censored(x[keep], w[keep], censored[keep])
     order = np.argsort(lengths)
-    lengths, counts, broken, peak = lengths[order], counts[order], broken[order], group["peak"].to_numpy(float)[order]
+    lengths, counts, broken, maybe, peak = lengths[order], counts[order], broken[order], maybe[order], group["peak"].to_numpy(float)[order]
     total = counts.sum()
     density = np.exp(-(((np.log(np.maximum(peak, 1)) - mu) / sigma) ** 2) / 2) / (np.maximum(peak, 1) * sigma * math.sqrt(2 * math.pi))
     expected = total * density
     cells, posteriors = [], []
-    for i in np.flatnonzero((counts >= LEAST) & (broken >= BROKEN * counts) & (counts >= TIMES * expected)):
+    for i in np.flatnonzero((counts >= LEAST) & (broken + maybe >= BROKEN * counts) & (counts >= TIMES * expected)):
         near = (np.abs(lengths - lengths[i]) <= 25) & (lengths != lengths[i])
         around = counts[near].sum() / 50
         if counts[i] >= TIMES * max(around, 0.2):
@@ -236,8 +238,8 @@ def judge_endings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = cut_lineage(seen.select("tbl", "row_key", "source", "_e.kind", "_e.marked", "_e.n_chars"))
     broken = F.col("kind").isin(*BROKEN_ENDS)
     cell = F.when(F.col("n_chars") <= EXACT, F.col("n_chars")).otherwise((EXACT * F.exp(F.round(F.log(F.col("n_chars") / F.lit(EXACT)) * 200) / 200)).cast("long"))
-    single = seen.filter("n_chars > 0").groupBy("tbl", "source", cell.alias("cell"), "n_chars").agg(F.count(F.lit(1)).alias("n"), F.sum(broken.cast("long")).alias("n_broken"))
-    cells = single.groupBy("tbl", "source", F.col("cell").alias("n_chars")).agg(F.sum("n").alias("n"), F.sum("n_broken").alias("n_broken"), F.max_by("n_chars", "n").alias("peak"))
+    single = seen.filter("n_chars > 0").groupBy("tbl", "source", cell.alias("cell"), "n_chars").agg(F.count(F.lit(1)).alias("n"), F.sum(broken.cast("long")).alias("n_broken"), F.sum((F.col("kind") == "trailing").cast("long")).alias("n_maybe"))
+    cells = single.groupBy("tbl", "source", F.col("cell").alias("n_chars")).agg(F.sum("n").alias("n"), F.sum("n_broken").alias("n_broken"), F.sum("n_maybe").alias("n_maybe"), F.max_by("n_chars", "n").alias("peak"))
     kind = "tbl string, source string, mu double, sigma double, base double, limits array<bigint>, posteriors array<double>"
     fits = cut_lineage(cells.groupBy("tbl", "source").applyInPandas(_limits, kind))
     named = broadcast_if_small(fits.select(F.col("tbl").alias("_t"), F.col("source").alias("_s"), "base", F.map_from_arrays("limits", "posteriors").alias("at")))

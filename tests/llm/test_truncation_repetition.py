@@ -76,6 +76,20 @@ def test_closed_values_with_a_broken_string_are_found_and_censored(spark):
     assert [r.limits for r in tr.truncation_rates(df).collect()] == [[300]]
 
 
+def test_three_dots_at_a_limit_are_cuts(spark):
+    rng = random.Random(8)
+    rows, want = [], set()
+    for i in range(900):
+        text = "".join(rng.choice("abcdefgh") if k % 7 else " " for k in range(1, rng.randint(60, 700))) + "."
+        if len(text) > 300:
+            text = text[:300] + "..."
+            want.add(i)
+        rows.append(("t", i, "dots", text))
+    df = spark.createDataFrame(rows + [("t", 5000, "dots", "It goes on and on...")], "tbl string, row_key bigint, source string, text string")
+    assert {r.row_key for r in tr.truncated_rows(df).collect()} == want and len(want) > 100
+    assert [r.limits for r in tr.truncation_rates(df).collect()] == [[300]]
+
+
 def test_censored_fit_recovers_the_distribution():
     rng = np.random.default_rng(1)
     lengths = np.exp(rng.normal(6.5, 0.6, 20_000))
