@@ -248,7 +248,7 @@ def validation_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def item_rule_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return rules.rule_counts(rules.with_errors(pipeline.item_records(pipeline.items(spark, folder))))
+    return rules.rule_counts(rules.item_errors(pipeline.items(spark, folder)))
 
 
 def gate_issues(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from examsift.functions.constants import STOPWORDS
+from examsift.plans import rule_sql
 
 
 def _list(words: list[str]) -> str:
@@ -85,6 +86,10 @@ _HARDNESS = """coalesce(acc, 1.0), coalesce(-difficulty, 0), CASE WHEN novelty_s
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | rule_sql.oracle_sql()
+
+
+def _own_sql() -> dict[str, str]:
     nodes = """
 WITH o AS (SELECT line_no, row_number() OVER () AS occ, line::JSON AS j FROM item_lines WHERE json_valid(line) AND json_type(line) = 'OBJECT'),
 a AS (SELECT occ, line_no, k, CASE WHEN json_type(j, '$.' || k) = 'VARCHAR' AND k <> 'passages' AND json_valid(j ->> ('$.' || k)) THEN (j ->> ('$.' || k))::JSON ELSE j -> ('$.' || k) END AS v

@@ -19,14 +19,6 @@ def seeds(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "seed_records")
 
 
-def item_records(rows: DataFrame) -> DataFrame:
-    """Typed items with ``record``, the VARIANT of their JSON form, for rules that look at raw records.
-
-    Null columns are left out of the record, as a writer of JSON lines would leave them.
-    """
-    return rows.withColumn("record", F.parse_json(F.to_json(F.struct(*[c for c in rows.columns if c != "record"]))))
-
-
 def line_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records of item_lines that are objects, with rule errors."""
     parsed = parse_lines(table(spark, folder, "item_lines").select("file_name", "line_no", "line"))
@@ -49,9 +41,9 @@ def accuracies(spark: SparkSession, folder: str) -> DataFrame:
 
 def evaluated(spark: SparkSession, folder: str, gates: selection.Gates) -> DataFrame:
     """Items with rule errors and gate issues."""
-    checked = rules.with_errors(item_records(items(spark, folder)))
+    checked = rules.item_errors(items(spark, folder))
     errors = F.transform("rule_errors", lambda e: e["message"])
-    return selection.evaluate(checked, errors, gates).drop("record", "rule_errors")
+    return selection.evaluate(checked, errors, gates).drop("rule_errors")
 
 
 def selected(spark: SparkSession, folder: str, gates: selection.Gates) -> DataFrame:
@@ -67,8 +59,8 @@ def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gat
     """
     graded = answers.attempts(rows, responses)
     solved = answers.attach_results(rows, graded, answers.MOST_IN_ARRAY if with_attempts else None)
-    checked = rules.with_errors(item_records(solved))
+    checked = rules.item_errors(solved)
     errors = F.transform("rule_errors", lambda e: e["message"])
-    chosen = selection.select(selection.evaluate(checked, errors, gates).drop("record", "rule_errors"), gates)
+    chosen = selection.select(selection.evaluate(checked, errors, gates).drop("rule_errors"), gates)
     return (chosen, graded) if with_attempts else chosen
 
