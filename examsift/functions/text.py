@@ -125,16 +125,17 @@ def choice_texts(answer_groups: Column, *fallbacks: Column) -> Column:
     return F.coalesce(F.get(F.filter(ways, lambda w: F.size(w) > 0), F.lit(0)), none)
 
 
-def _kept(*texts: Column) -> list[Column]:
+def kept(*texts: Column) -> list[Column]:
+    """The texts that are not blank, the others null."""
     return [F.when(squeeze(t) != "", t) for t in texts]
 
 
 def item_text(stimulus: Column, passages: Column, stem: Column, choices: Column) -> Column:
     """Main text of an item: what is not blank of stimulus, passages, stem and choices."""
-    (stimulus, stem) = _kept(stimulus, stem)
+    (stimulus, stem) = kept(stimulus, stem)
     return squeeze(F.concat_ws(" ", stimulus, passages, stem, choices))
 
 
 def item_structure_text(stimulus: Column, passages: Column, stem: Column) -> Column:
-    (stimulus, stem) = _kept(stimulus, stem)
+    (stimulus, stem) = kept(stimulus, stem)
     return squeeze(F.concat_ws(" ", stimulus, passages, stem))

@@ -89,12 +89,6 @@ def is_filled(v: Column) -> Column:
     return F.coalesce(F.regexp_replace(string(v), r"(?U)\s+", "") != "", F.lit(False))
 
 
-def truthy(v: Column) -> Column:
-    """Not missing, null, false, zero, or an empty string, array or object."""
-    empty = is_null(v) | is_false(v) | F.coalesce(number(v) == 0, F.lit(False)) | F.coalesce(string(v) == "", F.lit(False))
-    return ~(empty | F.coalesce(F.size(elements(v)) == 0, F.lit(False)) | F.coalesce(F.size(fields(v)) == 0, F.lit(False)))
-
-
 def list_of(v: Column) -> Column:
     """Elements of an array; an empty array for anything else."""
     return F.coalesce(elements(v), F.array().cast("array<variant>"))

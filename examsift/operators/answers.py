@@ -1,29 +1,43 @@
-"""Reading answers out of model responses and grading them, as Column expressions over VARIANT.
+"""Reading answers out of model responses and grading them.
 
 An answer is STRUCT<blank STRING, labels ARRAY<STRING>>: blank numbers are written as text ("1"), labels
-are single capital letters, sorted and distinct.
+are single capital letters, sorted and distinct. A response is read once, in Arrow batches, where it
+is stored; grading against the answers expected is a Column expression after the join.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from examsift.functions import variants as V
-from examsift.operators.sizing import SALTS, broadcast_if_small, hot_keys
+from examsift.operators.sizing import SALTS, broadcast_if_small, flag_hot, hot_keys
 
-#: Attempts up to which an item's array holds them where they are also kept as a table.
+#: Attempts a chunk of an item's results holds, about.
 MOST_IN_ARRAY = 10_000
 
-#: Depth to which labels nested in lists and objects are followed.
-DEPTH = 2
 #: Keys under which labels stand, and those under which lists of answers stand, in order of preference.
 LABEL_KEYS = ["labels", "label", "answer", "answers", "correct_labels"]
 LIST_KEYS = ["answers", "answer_groups", "responses"]
 SINGLE_KEYS = ["labels", "label", "answer"]
 
-RESULTS = "array<struct<model:string,raw_response:string,parse_error:string,correct:boolean,expected:array<struct<blank:string,labels:array<string>>>,predicted:array<struct<blank:string,labels:array<string>>>,missing_blanks:array<string>>>"
+RESULTS = "array<struct<model:string,raw_response:string,parsed_answer:string,parse_error:string,correct:boolean,expected:array<struct<blank:string,labels:array<string>>>,predicted:array<struct<blank:string,labels:array<string>>>,missing_blanks:array<string>>>"
 ANSWERS = "array<struct<blank:string,labels:array<string>>>"
+_ANSWERS = T.ArrayType(T.StructType([T.StructField("blank", T.StringType()), T.StructField("labels", T.ArrayType(T.StringType()))]))
+#: What is read out of a response; ``at_top`` tells labels that stand without a list or blank.
+READ = T.StructType([T.StructField("parse_error", T.StringType()), T.StructField("parsed_answer", T.StringType()), T.StructField("at_top", T.BooleanType()), T.StructField("answers", _ANSWERS)])
+
+LETTER = re.compile(r"\b[A-Z]\b")
+DIGITS = re.compile(r"\d+")
+BLANK_KEY = re.compile(r"blank[_\s-]*(\d+)")
+FENCE = re.compile(r"```(?:json)?\s*(.*?)\s*(?:```)?", re.I | re.S)
 
 
 def unfence(text: Column) -> Column:
@@ -44,44 +58,120 @@ def salvage(text: Column, only_objects: bool = True) -> Column:
     return F.when(V.is_object(found), found) if only_objects else found
 
 
-def blank_key(v: Column) -> Column:
-    """Number of a blank as text; NULL for none. The first digits of a text count, else its lower case."""
-    as_text = F.lower(F.trim(V.text(v)))
-    digits = F.regexp_extract(as_text, r"(?U)\d+", 0)
-    plain = F.when(as_text.isin("", "null", "none"), None).when(digits != "", F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0"))).otherwise(as_text)
-    flag = F.when(V.is_true(v), "1").when(V.is_false(v), "0")
-    whole = F.when(V.kind(v) == "BIGINT", F.try_variant_get(v, "$", "bigint").cast("string"))
-    return F.when(V.is_null(v), None).otherwise(F.coalesce(flag, whole, plain))
-
-
-def _first_key(v: Column, keys: list[str]) -> Column:
-    """Value of the first of ``keys`` an object has, null values too."""
-    return F.coalesce(*[V.key(v, k) for k in keys])
+# --- reading in Python, once per response
+
+
+def labels_in(value: Any) -> list[str]:
+    """Labels in a value, at any depth: standing single letters of a text (whatever their case), of all elements of a
+    list, or of the first label key of an object; sorted and distinct."""
+    found: set[str] = set()
+    left = [value]
+    while left:
+        x = left.pop()
+        if isinstance(x, str):
+            found.update(LETTER.findall(x.upper()))
+        elif isinstance(x, list):
+            left += x
+        elif isinstance(x, dict):
+            left += [x[k] for k in LABEL_KEYS if k in x][:1]
+    return sorted(found)
+
+
+def blank_name(value: Any) -> str | None:
+    """Number of a blank as text; None for none. The first digits of a text count, else its lower case."""
+    if isinstance(value, bool):
+        return str(int(value))
+    if value is None or isinstance(value, int):
+        return None if value is None else str(value)
+    text = (value if isinstance(value, str) else json.dumps(value)).strip().lower()
+    digits = DIGITS.search(text)
+    return str(int(digits[0])) if digits else None if text in ("", "null", "none") else text
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
+def parse_response(text: str) -> dict:
+    """The JSON object of a response: the whole text (without a code fence), else what stands from the first { to the
+    last }. Raises ValueError with the reason."""
+    bare = text.strip()
+    if bare.startswith("```"):
+        bare = FENCE.fullmatch(bare)[1].strip()
+    try:
+        found = json.loads(bare, parse_constant=_no_constant)
+    except ValueError:
+        first, last = bare.find("{"), bare.rfind("}")
+        if not 0 <= first < last:
+            raise
+        found = json.loads(bare[first : last + 1], parse_constant=_no_constant)
+    if not isinstance(found, dict):
+        raise ValueError("response must be a JSON object")
+    return found
+
+
+def answers_in(found: dict) -> tuple[bool, list[tuple[str | None, list[str]]]]:
+    """(labels stand at the top, answers as (blank, labels)): a list of answers, else labels at the top, else keys such
+    as ``blank_2``. In lists, entries that are no objects need labels to count."""
+    for key in LIST_KEYS:
+        listed = []
+        for entry in found[key] if isinstance(found.get(key), list) else ():
+            labels = labels_in(entry)
+            if isinstance(entry, dict):
+                listed.append((blank_name(entry.get("blank", entry.get("blank_index"))), labels))
+            elif labels:
+                listed.append((None, labels))
+        if listed:
+            return False, listed
+    for key in SINGLE_KEYS:
+        if key in found:
+            if labels := labels_in(found[key]):
+                return True, [(None, labels)]
+            break
+    numbered = [(m, labels_in(v)) for k, v in found.items() if (m := BLANK_KEY.fullmatch(k.lower()))]
+    return False, [(str(int(m[1])), labels) for m, labels in numbered if labels]
+
+
+def read_response(text: Column) -> Column:
+    """STRUCT READ of a response. Without a JSON object there is a parse_error and no answer."""
+
+    @F.arrow_udf(READ)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("blank", pa.string()), ("labels", pa.list_(pa.string()))]))
+        for batch in batches:
+            errors, parsed, tops, found = [], [], [], []
+            for x in batch.to_pylist():
+                error = whole = None
+                top, answers = False, []
+                try:
+                    record = parse_response(x or "")
+                    top, answers = answers_in(record)
+                    whole = json.dumps(record, ensure_ascii=False, sort_keys=True)
+                except (ValueError, RecursionError) as problem:
+                    error = str(problem) or "nested too deep"
+                errors.append(error)
+                parsed.append(whole)
+                tops.append(top)
+                found.append([{"blank": b, "labels": n} for b, n in answers])
+            columns = [pa.array(errors, pa.string()), pa.array(parsed, pa.string()), pa.array(tops, pa.bool_()), pa.array(found, kind)]
+            yield pa.StructArray.from_arrays(columns, ["parse_error", "parsed_answer", "at_top", "answers"])
+
+    return read(text)
+
+
+def predicted_answers(read: Column, expected: Column) -> Column:
+    """Answers of a response that was read; labels at the top belong to the only blank asked for."""
+    only = F.when(F.size(expected) == 1, F.try_element_at(expected, F.lit(1))["blank"])
+    return F.when(read["at_top"], F.transform(read["answers"], lambda a: _answer(only, a["labels"]))).otherwise(read["answers"])
+
+
+# --- answers expected, and grading
 
 
 def _letters(text: Column) -> Column:
     return F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b[A-Z]\b"), 0)
 
 
-def _letters_within(v: Column) -> Column:
-    """Letters in all texts of a value without objects, read off its JSON (escapes are no letters)."""
-    return F.coalesce(_letters(F.regexp_replace(F.to_json(v), r"\\(?:u[0-9a-fA-F]{4}|.)", " ")), V.texts())
-
-
-def _label_list(v: Column, depth: int) -> Column:
-    holds_objects = F.coalesce(V.kind(v).rlike("OBJECT|VARIANT"), F.lit(False))
-    if not depth:
-        return F.when(holds_objects, V.texts()).otherwise(_letters_within(v))
-    inner = F.coalesce(V.elements(v), F.array(_first_key(v, LABEL_KEYS)))
-    return F.when(holds_objects, F.coalesce(F.flatten(F.transform(inner, lambda x: _label_list(x, depth - 1))), V.texts())).otherwise(_letters_within(v))
-
-
-def labels(v: Column, depth: int = DEPTH) -> Column:
-    """Labels in a value: standing single letters of a text (whatever their case), of all elements of a list, or of
-    the first label key of an object. Objects are followed to ``depth`` levels, lists of texts to any."""
-    return F.array_sort(F.array_distinct(_label_list(v, depth)))
-
-
 def _answer(blank: Column, found: Column) -> Column:
     return F.struct(blank.cast("string").alias("blank"), found.cast("array<string>").alias("labels"))
 
@@ -92,41 +182,6 @@ def expected_answers(groups: Column) -> Column:
     return F.transform(kept, lambda g: _answer(g["blank"], F.array_sort(F.array_distinct(F.flatten(F.transform(F.coalesce(g["correct_labels"], V.texts()), lambda x: F.coalesce(_letters(x), V.texts())))))))
 
 
-def expected_of_record(record: Column) -> Column:
-    """The same for the groups of a VARIANT record."""
-    kept = F.filter(V.list_of(V.key(record, "answer_groups")), V.is_object)
-    return F.transform(kept, lambda g: _answer(blank_key(V.key(g, "blank")), labels(V.key(g, "correct_labels"))))
-
-
-def _listed_answers(entries: Column) -> Column:
-    """Answers in a list; entries that are no objects need labels to count."""
-
-    def one(entry: Column) -> Column:
-        inner = V.is_object(entry)
-        blank = F.when(inner, blank_key(F.coalesce(V.key(entry, "blank"), V.key(entry, "blank_index"))))
-        return F.struct(inner.alias("inner"), _answer(blank, labels(entry)).alias("answer"))
-
-    found = F.filter(F.transform(entries, one), lambda a: a["inner"] | (F.size(a["answer"]["labels"]) > 0))
-    return F.transform(found, lambda a: a["answer"])
-
-
-def predicted_answers(parsed: Column, expected: Column) -> Column:
-    """Answers of a parsed response: a list of answers, else labels at the top, else keys such as ``blank_2``."""
-    single = labels(_first_key(parsed, SINGLE_KEYS))
-    only_blank = F.when(F.size(expected) == 1, F.try_element_at(expected, F.lit(1))["blank"])
-
-    def numbered(entry: Column) -> Column:
-        number = F.regexp_extract(F.lower(entry["key"]), r"(?U)^blank[_\s-]*(\d+)$", 1)
-        key = F.coalesce(F.nullif(F.ltrim(number, F.lit("0")), F.lit("")), F.lit("0"))
-        return _answer(key, labels(entry["value"]))
-
-    by_key = F.transform(F.filter(F.map_entries(V.fields(parsed)), lambda e: F.lower(e["key"]).rlike(r"(?U)^blank[_\s-]*\d+$")), numbered)
-    lists = F.transform(F.array(*[V.list_of(V.key(parsed, k)) for k in LIST_KEYS]), _listed_answers)
-    at_top = F.transform(F.filter(F.array(single), lambda x: F.size(x) > 0), lambda x: _answer(only_blank, x))
-    ways = F.concat(lists, F.array(at_top), F.array(F.filter(by_key, lambda a: F.size(a["labels"]) > 0)))
-    return F.coalesce(F.try_element_at(F.filter(ways, lambda w: F.size(w) > 0), F.lit(1)), F.array().cast(ANSWERS))
-
-
 def grade(expected: Column, predicted: Column) -> Column:
     """STRUCT<correct, missing_blanks>: expected answers in order take the first free prediction for their blank.
 
@@ -156,42 +211,53 @@ def response_text(generation: Column, response: Column, answer: Column) -> Colum
     return F.coalesce(generation, response, answer, F.lit(""))
 
 
+def record_response(record: Column) -> Column:
+    """The same for a record (VARIANT): the first of the three keys that is there, with any value; objects as JSON."""
+    shown = [F.when(V.key(record, k).isNotNull(), F.coalesce(V.text(V.key(record, k)), F.lit("None"))) for k in ("generation", "response", "answer")]
+    return F.coalesce(*shown, F.lit(""))
+
+
 def item_key(ident: Column, ord_: Column) -> Column:
     """Identifier of an item: its own if not null or empty, else item-<ord>."""
     return F.coalesce(F.nullif(ident, F.lit("")), F.concat(F.lit("item-"), ord_.cast("string")))
 
 
 def grade_rows(joined: DataFrame) -> DataFrame:
-    """Rows of (…, answer_groups, raw_response) with parse_error, expected, predicted, correct, missing_blanks.
+    """Rows of (…, answer_groups, read) with parse_error, parsed_answer, expected, predicted, correct, missing_blanks.
 
-    The response is parsed once; a response without a JSON object is wrong and has a parse_error.
+    A response without a JSON object is wrong and has a parse_error.
     """
-    parsed = joined.withColumns({"_parsed": salvage(F.col("raw_response")), "expected": expected_answers(F.col("answer_groups"))})
-    broken = F.col("_parsed").isNull()
-    found = parsed.withColumn("predicted", F.when(broken, F.array().cast(ANSWERS)).otherwise(predicted_answers(F.col("_parsed"), F.col("expected"))))
+    asked = joined.withColumn("expected", expected_answers(F.col("answer_groups")))
+    found = asked.withColumn("predicted", predicted_answers(F.col("read"), F.col("expected")))
     graded = found.withColumn("_g", grade(F.col("expected"), F.col("predicted")))
+    broken = F.col("read.parse_error").isNotNull()
     return graded.withColumns({
-        "parse_error": F.when(broken, F.lit("no JSON object found")),
+        "parse_error": F.col("read.parse_error"),
+        "parsed_answer": F.col("read.parsed_answer"),
         "correct": ~broken & F.col("_g.correct"),
         "missing_blanks": F.when(~broken, F.col("_g.missing_blanks")),
-    }).drop("_parsed", "_g")
+    }).drop("read", "_g")
+
+
+def read_rows(responses: DataFrame) -> DataFrame:
+    """Responses with raw_response (made of the typed texts where it is not there; absent keys are nulls in them) and read."""
+    sent = responses.filter(F.col("item_id").isNotNull()).withColumn("raw_response", F.col("raw_response") if "raw_response" in responses.columns else response_text(F.col("generation"), F.col("response"), F.col("answer")))
+    return sent.drop("generation", "response", "answer").withColumn("read", read_response(F.col("raw_response")))
 
 
 def attempts(items: DataFrame, responses: DataFrame) -> DataFrame:
     """(item_ord, resp_id, model, raw_response, …graded): each response with each item of its id.
 
-    A shuffled inner join on the id. Items with the same id all get the response; responses for unknown
-    items are dropped. A hot item id spreads over tasks by a salt on the response side, the few item rows
-    of that id being repeated once per salt.
+    Responses are read where they are stored; then a shuffled inner join on the id. Items with the same id all get the
+    response; responses for unknown items are dropped. A hot item id spreads over tasks by a salt on the
+    response side, the few item rows of that id being repeated once per salt.
     """
     own = items.select("item_ord", "answer_groups", item_key(F.col("id"), F.col("item_ord")).alias("item_id"))
-    sent = responses.filter(F.col("item_id").isNotNull()).select("item_id", "resp_id", "model", response_text(F.col("generation"), F.col("response"), F.col("answer")).alias("raw_response"))
-    hot = hot_keys(sent, "item_id")
-    is_hot = F.col("item_id").isin(hot) if hot else F.lit(False)
-    salted = sent.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("resp_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
-    spread = own.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    joined = salted.join(spread, ["item_id", "_salt"]).drop("_salt")
-    return grade_rows(joined).select("item_ord", "resp_id", "model", "raw_response", "parse_error", "correct", "expected", "predicted", "missing_blanks")
+    hot = hot_keys(responses.select("item_id"), "item_id")
+    salted = flag_hot(read_rows(responses).select("item_id", "resp_id", "model", "raw_response", "read"), "item_id", hot).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("resp_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    spread = flag_hot(own, "item_id", hot).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    joined = salted.drop("_hot").join(spread.drop("_hot"), ["item_id", "_salt"]).drop("_salt")
+    return grade_rows(joined).select("item_ord", "resp_id", "model", "raw_response", "parsed_answer", "parse_error", "correct", "expected", "predicted", "missing_blanks")
 
 
 def item_accuracy(items: DataFrame, graded: DataFrame) -> DataFrame:
@@ -201,28 +267,45 @@ def item_accuracy(items: DataFrame, graded: DataFrame) -> DataFrame:
     return out.select("item_ord", F.coalesce("attempts", F.lit(0)).alias("attempts"), F.coalesce("correct", F.lit(0)).alias("correct"), F.round(F.try_divide("correct", "attempts"), 4).alias("solver_accuracy"))
 
 
-def attach_results(items: DataFrame, graded: DataFrame, most: int | None = None) -> DataFrame:
-    """``items`` with solver_results (in order of resp_id) and solver_accuracy from graded attempts.
+_RESULT = ["model", "raw_response", "parsed_answer", "parse_error", "correct", "expected", "predicted", "missing_blanks"]
+
 
-    The array holds all of an item's attempts. A caller that keeps ``graded`` beside the items may give
-    ``most``: an item with more attempts than that, whatever other items have, gets a null array and
-    ``n_attempts`` tells how many there are in ``graded``. Its accuracy counts all of them.
+def _counts(graded: DataFrame) -> DataFrame:
+    return graded.groupBy("item_ord").agg(F.count(F.lit(1)).alias("n_attempts"), F.round(F.avg(F.col("correct").eqNullSafe(True).cast("int")), 4).alias("solver_accuracy"))
+
+
+def result_chunks(graded: DataFrame, most: int | None = MOST_IN_ARRAY) -> DataFrame:
+    """(item_ord, chunk, solver_results): the attempts of each item in arrays of about ``most``, each in order of resp_id.
+
+    An item of at most ``most`` attempts (any number, if None) has one chunk, 0. More are dealt to chunks by a hash of resp_id, so no
+    task holds all attempts of a hot item and none is left out.
     """
-    names = ["model", "raw_response", "parse_error", "correct", "expected", "predicted", "missing_blanks"]
-    counts = graded.groupBy("item_ord").agg(F.count(F.lit(1)).alias("n_attempts"), F.round(F.avg(F.col("correct").eqNullSafe(True).cast("int")), 4).alias("_accuracy"))
-    usual = graded
+    chunk, rows = F.lit(0), graded
     if most is not None:
-        usual = graded.join(broadcast_if_small(counts.filter(F.col("n_attempts") > most).select("item_ord")), "item_ord", "left_anti")
-    lists = usual.groupBy("item_ord").agg(F.array_sort(F.collect_list(F.struct("resp_id", *names))).alias("_rows"))
-    bare = items.drop("solver_results", "solver_accuracy", "n_attempts").join(counts, "item_ord", "left").join(lists, "item_ord", "left")
-    results = F.transform("_rows", lambda r: F.struct(*[r[n].alias(n) for n in names]))
-    return bare.withColumns({"solver_results": F.when(F.col("n_attempts").isNull(), F.array().cast(RESULTS)).otherwise(results), "solver_accuracy": F.col("_accuracy"), "n_attempts": F.coalesce("n_attempts", F.lit(0))}).drop("_accuracy", "_rows")
+        chunks = F.ceil(F.col("n_attempts") / most).cast("int")
+        many = broadcast_if_small(_counts(graded).filter(F.col("n_attempts") > most).select("item_ord", chunks.alias("_chunks")))
+        rows, chunk = graded.join(many, "item_ord", "left"), F.coalesce(F.pmod(F.xxhash64("resp_id"), F.col("_chunks")), F.lit(0))
+    lists = rows.groupBy("item_ord", chunk.cast("int").alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("resp_id", *_RESULT))).alias("_rows"))
+    return lists.select("item_ord", "chunk", F.transform("_rows", lambda r: F.struct(*[r[n].alias(n) for n in _RESULT])).alias("solver_results"))
+
+
+def attach_results(items: DataFrame, graded: DataFrame, most: int | None = None) -> DataFrame:
+    """``items`` with solver_results, n_attempts and solver_accuracy from graded attempts; no attempts give an empty array.
+
+    The array holds all of an item's attempts. A caller that keeps ``graded`` or its ``result_chunks`` beside the items may
+    give ``most``: an item of more attempts then has the first of its chunks in the array, and n_attempts tells how
+    many there are. The accuracy counts all of them.
+    """
+    first = result_chunks(graded, most).filter("chunk = 0").drop("chunk")
+    bare = items.drop("solver_results", "solver_accuracy", "n_attempts").join(_counts(graded), "item_ord", "left").join(first, "item_ord", "left")
+    return bare.withColumns({"solver_results": F.coalesce("solver_results", F.array().cast(RESULTS)), "n_attempts": F.coalesce("n_attempts", F.lit(0))})
 
 
 def unknown_responses(items: DataFrame, responses: DataFrame) -> DataFrame:
-    """Responses whose item_id names no item (null ids too)."""
-    own = items.select(item_key(F.col("id"), F.col("item_ord")).alias("item_id")).distinct()
-    return responses.join(own, "item_id", "left_anti")
+    """Responses whose item_id names no item (null ids too). Only distinct ids are compared with the items', so a hot id is one row."""
+    own = items.select(item_key(F.col("id"), F.col("item_ord")).alias("item_id"))
+    unknown = responses.filter(F.col("item_id").isNotNull()).select("item_id").distinct().join(own, "item_id", "left_anti")
+    return responses.join(broadcast_if_small(unknown), "item_id", "left_semi").unionByName(responses.filter(F.col("item_id").isNull()))
 
 
 def model_totals(graded: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +23,6 @@ def seed_name(seed_id: Column, ord_: Column) -> Column:
     return F.coalesce(F.nullif(seed_id, F.lit("")), F.concat(F.lit("seed-"), ord_.cast("string")))
 
 
-def first_text(generation: Column) -> Column:
-    """Text of a generation given as VARIANT: a list gives its first element (empty text for an empty list)."""
-    listed = V.elements(generation)
-    return F.when(listed.isNotNull(), F.coalesce(V.text(F.try_element_at(listed, F.lit(1))), F.lit(""))).otherwise(F.coalesce(V.text(generation), F.lit("")))
-
-
 def listed_items(parsed: Column) -> Column:
     """ARRAY<VARIANT> of a generation: a bare list, or the list under ``items``; NULL for any other shape."""
     return F.coalesce(V.elements(parsed), V.elements(V.key(parsed, "items")))
@@ -92,6 +89,11 @@ def pipeline_name(model: Column) -> Column:
     return F.regexp_replace(model, "[^A-Za-z0-9_.-]+", "-")
 
 
+def slug(model: str) -> str:
+    """The same for a name on the driver."""
+    return re.sub("[^A-Za-z0-9_.-]+", "-", model)
+
+
 def model_list(asked: list[str] | None, environment: dict[str, str], fallback: str = "gpt-4o") -> list[str]:
     """Models to ask: those given (parts separated by commas), else OPENAI_SOLVER_MODELS, else OPENAI_MODEL or ``fallback``."""
     def parts(texts: list[str]) -> list[str]:
@@ -132,11 +134,29 @@ def generate(requests: DataFrame, provider: Provider, parameters: dict, keys: li
     return requests.mapInPandas(ask, kind)
 
 
-def replay(requests: DataFrame, recorded: DataFrame, keys: list[str]) -> DataFrame:
-    """The same from recorded generations, for runs without a model; unknown requests get null."""
-    return requests.select(*keys).join(recorded.select(*keys, "generation"), keys, "left")
+def request_hash(parameters: dict) -> Column:
+    """Hash of a request (instruction and system_prompt) and of the parameters it is made with."""
+    made_with = json.dumps(parameters, sort_keys=True)
+    return F.sha2(F.concat_ws("\u0001", F.lit(made_with), F.coalesce("system_prompt", F.lit("")), F.coalesce("instruction", F.lit(""))), 256)
+
 
+def generate_cached(requests: DataFrame, provider: Provider, parameters: dict, keys: list[str], cache: str) -> DataFrame:
+    """``generate`` with a cache: a folder of Parquet files (request_hash, generation).
 
-def remember(generations: DataFrame, path: str, request_hash: Column) -> None:
-    """Append generations to a Parquet cache keyed by a hash of model, prompt and parameters."""
-    generations.withColumn("request_hash", request_hash).write.mode("append").parquet(path)
+    Only requests without an answer there are sent, each once however often it occurs; their answers (not failed
+    calls) are appended, then all requests are answered from the folder.
+    """
+    spark = requests.sparkSession
+    hashed = requests.withColumn("request_hash", request_hash(parameters))
+
+    def known() -> DataFrame:
+        try:
+            rows = spark.read.parquet(cache)
+        except AnalysisException:  # nothing kept so far
+            rows = spark.createDataFrame([], "request_hash string, generation string")
+        return rows.groupBy("request_hash").agg(F.min("generation").alias("generation"))
+
+    new = hashed.join(known(), "request_hash", "left_anti").dropDuplicates(["request_hash"])
+    made = generate(new, provider, parameters, ["request_hash"])
+    made.filter("generation is not null").select("request_hash", "generation").write.mode("append").parquet(cache)
+    return hashed.join(known(), "request_hash", "left").select(*keys, "generation")

@@ -11,8 +11,10 @@ from examsift.operators.sizing import broadcast_if_small
 
 
 def seed_map(seeds: DataFrame, ord_: str = "ord") -> DataFrame:
-    """(key, seed…): one seed per key (seed_id, else seed-<ord>); of seeds with the same key the last one."""
-    key = F.coalesce(F.nullif("seed_id", F.lit("")), F.concat(F.lit("seed-"), F.col(ord_).cast("string")))
+    """(key, seed…): one seed per key (seed_id, else question_id if there is such a column, else seed-<ord>); of seeds with
+    the same key the last one."""
+    own = [F.nullif(n, F.lit("")) for n in ("seed_id", "question_id") if n in seeds.columns]
+    key = F.coalesce(*own, F.concat(F.lit("seed-"), F.col(ord_).cast("string")))
     names = [c for c in seeds.columns if c != ord_]
     last = seeds.withColumn("key", key).groupBy("key").agg(F.max_by(F.struct(*names), ord_).alias("seed"))
     return last.select("key", *[F.col(f"seed.{n}").alias(n) for n in names])

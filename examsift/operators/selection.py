@@ -87,9 +87,15 @@ def hardness_order() -> list[Column]:
 
 
 def ranked(candidates: DataFrame) -> DataFrame:
-    """Candidates with ``rank`` by hardness and the running count and sum of their accuracies; no single-task sort."""
+    """(item_ord, _accuracy, rank, _known, _sum) of candidates: rank by hardness and the running count and sum of accuracies.
+
+    Only the columns of the order are sorted and written, whatever else the rows hold; item_ord tells rows apart.
+    """
+    names = [f"_o{k}" for k in range(len(hardness_order()))]
+    lean = candidates.select("item_ord", "_accuracy", *[e.alias(n) for e, n in zip(hardness_order(), names)])
     exact = F.col("_accuracy").cast("decimal(20,10)")
-    return running_sums(candidates, hardness_order(), {"rank": F.lit(1).cast("long"), "_known": F.when(exact.isNotNull(), 1).otherwise(0).cast("long"), "_sum": exact})
+    placed = running_sums(lean, [F.col(n) for n in names], {"rank": F.lit(1).cast("long"), "_known": F.when(exact.isNotNull(), 1).otherwise(0).cast("long"), "_sum": exact})
+    return placed.select("item_ord", "_accuracy", "rank", "_known", "_sum")
 
 
 def select(evaluated: DataFrame, gates: Gates) -> DataFrame:
@@ -98,22 +104,24 @@ def select(evaluated: DataFrame, gates: Gates) -> DataFrame:
 
     The accuracy target keeps the longest prefix of the hardness order whose mean accuracy is unknown or
     within the target; since the order starts with the hardest, that is what dropping the easiest item
-    until the mean fits leaves.
+    until the mean fits leaves. Ranks are found on narrow rows and joined back by item_ord, which tells rows apart;
+    rejected rows are not moved.
     """
-    evaluated = cut_lineage(evaluated)
     issues = F.size("filter_issues") > 0
-    out = ranked(evaluated.filter(~issues))
+    placed = ranked(evaluated.filter(~issues))
     capped = F.col("rank") <= gates.target_size if gates.target_size else F.lit(True)
     if gates.enforce_target:
+        placed = cut_lineage(placed)
         fits = (F.col("_known") == 0) | (F.col("_sum") <= F.col("_known") * F.lit(str(gates.max_dataset_accuracy)).cast("decimal(20,10)"))
-        last = out.filter(capped & fits).agg(F.max("rank")).first()[0] or 0
+        last = placed.filter(capped & fits).agg(F.max("rank")).first()[0] or 0
         fate = F.when(~capped, "overflow").when(F.col("rank") <= last, "accepted").otherwise("easiest")
-        said = F.array(F.lit(f"solver: removed to meet dataset accuracy target {gates.max_dataset_accuracy:g}"))
-        out = out.withColumn("fate", fate).withColumn("filter_issues", F.when(F.col("fate") == "easiest", said).otherwise(F.col("filter_issues")))
     else:
-        out = out.withColumn("fate", F.when(capped, "accepted").otherwise("overflow"))
+        fate = F.when(capped, "accepted").otherwise("overflow")
+    out = evaluated.filter(~issues).join(placed.select("item_ord", "rank", fate.alias("fate")), "item_ord")
+    said = F.array(F.lit(f"solver: removed to meet dataset accuracy target {gates.max_dataset_accuracy:g}"))
+    out = out.withColumn("filter_issues", F.when(F.col("fate") == "easiest", said).otherwise(F.col("filter_issues")))
     rejected = evaluated.filter(issues).withColumns({"rank": F.lit(None).cast("long"), "fate": F.lit("rejected")})
-    return out.drop("_known", "_sum").unionByName(rejected)
+    return out.unionByName(rejected)
 
 
 def selection_summary(selected: DataFrame, gates: Gates) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examsift.functions import text as X
+from examsift.functions import variants as V
 from examsift.functions.constants import NEAR_COPY_RATIO, NEAR_COPY_TOKENS, NOVELTY_THRESHOLD, WEIGHTS
 
 #: Sources compared in one pass.
@@ -103,6 +104,52 @@ def seed_features(seeds: DataFrame) -> DataFrame:
     return _with_features(named, ["source_id", "ord"])
 
 
+#: Fields of a record that texts are taken from.
+RECORD = ", ".join(f"{n} variant" for n in ["seed_id", "id", "question_id", "source_seed_id", "source_question", "question", "stem", "stimulus", "passage", "passages", "answer_groups"])
+
+
+def record_texts(records: DataFrame, line: str = "line") -> DataFrame:
+    """``records`` (JSON objects in ``line``) with ``_text``, ``_structure`` and ``_choices`` of each, whatever its shape.
+
+    A string source_question is the whole text of a record; any other record has its stimulus, passages (strings or
+    objects), stem, question and choices. Without choices in its groups those labelled in the first of
+    source_question, question and stem count. Fields of other kinds than expected add nothing.
+    """
+    r = records.withColumn("_r", F.from_json(line, RECORD))
+    names = ["source_question", "question", "stem", "stimulus", "passage"]
+    r = r.withColumns({f"_{n}": V.string(F.col(f"_r.{n}")) for n in names})
+    none = F.array().cast("array<string>")
+
+    def text_of(p: Column) -> Column:
+        return F.coalesce(V.string(p), V.string(V.key(p, "text")))
+
+    passages = F.filter(F.concat(F.array("_passage"), F.transform(V.list_of(F.col("_r.passages")), text_of)), lambda p: F.coalesce(X.squeeze(p) != "", F.lit(False)))
+    inner = F.flatten(F.transform(V.list_of(F.col("_r.answer_groups")), lambda g: F.transform(V.list_of(V.key(g, "choices")), lambda c: V.string(V.key(c, "text")))))
+    r = r.withColumns({"_passages": passages, "_inner": F.coalesce(F.filter(inner, lambda t: t.isNotNull()), none)})
+    ways = F.array("_inner", *[X.labeled_choices(F.col(f"_{n}")) for n in names[:3]])
+    r = r.withColumn("_choices", F.coalesce(F.get(F.filter(ways, lambda w: F.size(w) > 0), F.lit(0)), none))
+    (question,) = X.kept(F.col("_question"))
+    whole = F.when(F.col("_source_question").isNotNull(), X.squeeze(F.col("_source_question"))).otherwise(
+        X.item_text(F.col("_stimulus"), F.col("_passages"), F.col("_stem"), F.concat(F.array_compact(F.array(question)), F.col("_choices")))
+    )
+    shape = F.when(F.col("_source_question").isNotNull(), X.structure_text(F.col("_source_question"))).otherwise(X.item_structure_text(F.col("_stimulus"), F.col("_passages"), F.col("_stem")))
+    return r.withColumns({"_text": whole, "_structure": shape}).drop(*[f"_{n}" for n in names], "_passages", "_inner")
+
+
+def record_features(records: DataFrame, keys: list[str], line: str = "line") -> DataFrame:
+    """``keys`` and the features of raw item records."""
+    return _with_features(record_texts(records, line), keys)
+
+
+def source_record_features(records: DataFrame, ord_: str = "ord", line: str = "line") -> DataFrame:
+    """(source_id, ord, features) of raw source records, seeds or items: named by the first of seed_id, id, question_id and
+    source_seed_id that is neither null nor empty, else source-<ord>."""
+    texts = record_texts(records, line)
+    names = [F.nullif(V.text(F.col(f"_r.{n}")), F.lit("")) for n in ("seed_id", "id", "question_id", "source_seed_id")]
+    named = texts.withColumns({"source_id": F.coalesce(*names, F.concat(F.lit("source-"), F.col(ord_).cast("string"))), "ord": F.col(ord_)})
+    return _with_features(named, ["source_id", "ord"])
+
+
 def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` with ``ord``, the 1-based place in the order of ``order`` (nulls first), by range-partitioned running counts."""
     from examsift.operators.prefix import running_sums
@@ -116,10 +163,10 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
 class SourceIndex:
     """Posting lists of the features of some sources."""
 
-    def __init__(self, sources: pd.DataFrame, full: bool = True):
+    def __init__(self, sources: pd.DataFrame, full: bool = True, ratios: bool = True):
         sources = sources.sort_values("ord")
         self.ids = sources["source_id"].tolist()
-        self.full = full
+        self.full, self.ratios = full, ratios
         self.tokens, self.n_tokens = self._postings(sources["tokens"])
         if full:
             self.grams = [self._postings(sources[c]) for c in ("grams3", "grams4")]
@@ -190,7 +237,7 @@ class SourceIndex:
                 both = len(words & other)
                 if both / (len(words) + len(other) - both) >= NEAR_COPY_TOKENS:
                     close.add(i)
-            if self.choices:
+            if self.choices and self.ratios:
                 # the matching characters are no more than the common ones, so this bounds the ratio
                 bound = 2 * np.minimum(self.choice_chars, _characters(choice)[self.choice_columns].astype(np.int16)).sum(axis=1) / (self.choice_sizes + len(choice))
                 for i in np.flatnonzero(bound >= NEAR_COPY_RATIO).tolist():
@@ -220,7 +267,7 @@ class SourceIndex:
             copied[list(found)] += 1
         choice = copied / len(choices) if choices else copied
         known = WEIGHTS["lexical"] * lexical + WEIGHTS["phrase"] * phrase + WEIGHTS["choice"] * choice + WEIGHTS["entity"] * entity
-        size = len(structure)
+        size = len(structure) if self.ratios else 0
         bound = np.zeros(len(self.ids))
         if size:
             common = np.minimum(self.structure_chars, _characters(structure)).sum(axis=1)
@@ -292,6 +339,7 @@ _RISK = T.StructType([
     T.StructField("novelty", T.DoubleType()),
     T.StructField("place", T.LongType()),
     T.StructField("source_id", T.StringType()),
+    T.StructField("similarity", T.DoubleType()),
     *[T.StructField(c, T.DoubleType()) for c in COMPONENTS],
     T.StructField("copied", T.ArrayType(T.StringType())),
     T.StructField("reused", T.ArrayType(T.StringType())),
@@ -316,7 +364,8 @@ def _compared(rows: DataFrame, index: SourceIndex, before: int, kind: T.StructTy
             for old, values in zip(prior, zip(*(column[f].to_pylist() for f in (FEATURES if full else FEATURES[:1])))):
                 if full:
                     i, parts, copied, reused = index.riskiest(*values)
-                    new = {"novelty": novelty_of(sum(WEIGHTS[c] * x for c, x in zip(COMPONENTS, parts))), **dict(zip(COMPONENTS, parts)), "copied": copied, "reused": reused}
+                    likeness = sum(WEIGHTS[c] * x for c, x in zip(COMPONENTS, parts))
+                    new = {"novelty": novelty_of(likeness), "similarity": round(100 * min(1.0, max(0.0, likeness)), 1), **{c: novelty_of(x) for c, x in zip(COMPONENTS, parts)}, "copied": copied, "reused": reused}
                 else:
                     i, likeness = index.riskiest_lexical(*values)
                     new = {"novelty": -likeness}
@@ -327,11 +376,11 @@ def _compared(rows: DataFrame, index: SourceIndex, before: int, kind: T.StructTy
     return rows.mapInArrow(compare, schema)
 
 
-def _against(features: DataFrame, sources: DataFrame, at_once: int, kind: T.StructType) -> DataFrame:
+def _against(features: DataFrame, sources: DataFrame, at_once: int, kind: T.StructType, ratios: bool = True) -> DataFrame:
     """``features`` with ``_risk`` over all sources, null if there are none."""
     rows, before = features, 0
     for block in _blocks_of(sources, at_once):
-        rows = _compared(rows, SourceIndex(block, kind == _RISK), before, kind)
+        rows = _compared(rows, SourceIndex(block, kind == _RISK, ratios), before, kind)
         before += len(block)
     return rows if before else rows.withColumn("_risk", F.lit(None).cast(kind))
 
@@ -344,20 +393,17 @@ def _gate_reasons(score: Column, copied: Column, reused: Column, threshold: floa
     ))
 
 
-def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], threshold: float = NOVELTY_THRESHOLD, at_once: int = SOURCES_AT_ONCE) -> DataFrame:
+def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], threshold: float = NOVELTY_THRESHOLD, at_once: int = SOURCES_AT_ONCE, ratios: bool = True) -> DataFrame:
     """``keys`` and the novelty columns of each item against its riskiest source.
 
+    Scores, similarities and components are rounded alike (half to even on the exact value). Without ``ratios`` nothing
+    is compared by its sequence: structures count as unlike, choices as copied only by equality or their words.
+
     ``features`` are item features with ``keys``, ``sources`` source features. Without any source an item is
     wholly new: score 100, no source. More than ``at_once`` sources take several passes whose results are
     compared per row. The riskiest source is chosen by the score rounded to one place.
     """
-    rows = _against(features.select(*keys, *FEATURES), sources, at_once, _RISK)
-    one = F.lit(1.0)
-
-    def total(r: Column) -> Column:
-        raw = 100.0 * (1.0 - sum((WEIGHTS[c] * r[c] for c in COMPONENTS[1:]), WEIGHTS["lexical"] * r["lexical"]))
-        return F.least(F.lit(100.0), F.greatest(F.lit(0.0), raw))
-
+    rows = _against(features.select(*keys, *FEATURES), sources, at_once, _RISK, ratios)
     risk = F.col("_risk")
     none = F.array().cast("array<string>")
     score = F.coalesce(risk["novelty"], F.lit(100.0))
@@ -368,8 +414,8 @@ def score_novelty(features: DataFrame, sources: DataFrame, keys: list[str], thre
         *keys,
         score.alias("novelty_score"),
         risk["source_id"].alias("max_similarity_source_id"),
-        F.when(risk.isNotNull(), F.round(100.0 - total(risk), 1)).otherwise(0.0).alias("max_similarity_score"),
-        F.struct(*[F.coalesce(F.round(100.0 * (one - risk[c]), 1), F.lit(100.0)).alias(n) for c, n in parts.items()]).alias("novelty_components"),
+        F.coalesce(risk["similarity"], F.lit(0.0)).alias("max_similarity_score"),
+        F.struct(*[F.coalesce(risk[c], F.lit(100.0)).alias(n) for c, n in parts.items()]).alias("novelty_components"),
         (F.size(reasons) == 0).alias("novelty_pass"),
         F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("passes novelty gate"))).alias("novelty_reasons"),
         copied.alias("copied_answer_choices"),

@@ -3,7 +3,8 @@
     python -m examsift.plans.cli filter --input items.jsonl --output out --target-size 30
 
 Every command reads JSON lines, writes folders of JSON lines and a summary file, and exits with 1 on an error.
-Model calls need a provider: ``--provider module:function``; without one, recorded responses are replayed.
+Model calls need a provider: ``--provider module:function`` gives texts for (instructions, system prompts, parameters).
+Its answers are kept in ``--cache`` and not asked for again, unless ``--no-cache`` is given.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ ITEM = """id string, question_type string, subtype string, difficulty double, st
 answer_groups array<struct<blank:int,choices:array<struct<label:string,text:string>>,correct_labels:array<string>>>, source_seed_id string, novelty_score double, novelty_pass boolean,
 novelty_reasons array<string>, solver_accuracy double, solver_results array<struct<model:string,raw_response:string,parse_error:string,correct:boolean>>, judge struct<valid:boolean,score:double>"""
 RESPONSE = "item_id string, model string, generation string, response string, answer string"
-SEED = "seed_id string, source_question string, source_answer string, question_type string"
+SEED = "seed_id string, question_id string, source_question string, source_answer string, question_type string"
 
 
 def session() -> SparkSession:
@@ -33,13 +34,19 @@ def session() -> SparkSession:
     return SparkSession.builder.appName("examsift").config("spark.sql.variant.allowDuplicateKeys", "true").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
+#: Prompts used where none is given.
+PROMPTS = {
+    "generate": "Write {{ITEMS_PER_SEED}} new exam items of the same question type as this seed, without reusing its wording. Answer with one JSON object {\"items\": [...]}.\n\n{{SEED_JSON}}",
+    "judge": "Judge the exam item against the seed it was made from. Answer with one JSON object with valid, score (1 to 5), issues and reason.\n\nSeed: {{SEED_JSON}}\n\nItem: {{ITEM_JSON}}",
+    "solve": "Answer this exam item. Answer with one JSON object {\"answers\": [{\"blank\": ..., \"labels\": [...]}]}.\n\n{{ITEM_JSON}}",
+}
+SYSTEM = {"generate": "You write exam items as JSON.", "judge": "You review exam items as JSON.", "solve": "You answer exam items as JSON."}
+
+
 def read(spark: SparkSession, paths: list[str], kind: str, ord_: str) -> DataFrame:
     """Typed records with ``record`` (VARIANT), ``line`` and ``ord_``: the 1-based number of the record over all files."""
-    lines = jsonl.parse_lines(jsonl.read_lines(spark, paths), strict=True)
-    from examsift.operators.prefix import running_sums
-
-    numbered = running_sums(lines, [F.col("file_idx"), F.col("line_no")], {ord_: F.lit(1).cast("long")})
-    return numbered.select("*", F.from_json("line", kind).alias("_t")).select(ord_, "file_idx", "line_no", "line", "record", "_t.*")
+    rows = jsonl.read_records(spark, paths, ord_)
+    return rows.select("*", F.from_json("line", kind).alias("_t")).select(ord_, "file_idx", "line_no", "line", "record", "_t.*")
 
 
 def with_fields(df: DataFrame, added: list[str]) -> DataFrame:
@@ -54,7 +61,7 @@ def write(df: DataFrame, path: str) -> None:
 
 
 def validate(spark: SparkSession, a: argparse.Namespace) -> int:
-    checked = cut_lineage(rules.with_errors(jsonl.parse_lines(jsonl.read_lines(spark, a.input), strict=True)))
+    checked = cut_lineage(rules.with_errors(jsonl.parse_lines(jsonl.read_lines(spark, a.input), strict=True)).select("line_no", "rule_errors"))
     totals = rules.validation_totals(checked).first()
     errors = checked.filter(F.size("rule_errors") > 0).select("line_no", F.explode(rules.error_texts(F.col("rule_errors"), F.col("line_no"))).alias("value"))
     if a.output:
@@ -64,36 +71,56 @@ def validate(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def novelty(spark: SparkSession, a: argparse.Namespace) -> int:
-    rows = read(spark, a.input, ITEM, "item_ord")
-    seeds = read(spark, a.sources, SEED, "_n").select("seed_id", "source_question") if a.sources else spark.createDataFrame([], SEED).select("seed_id", "source_question")
-    scored = cut_lineage(similarity.score_novelty(similarity.item_features(rows, ["item_ord"]), similarity.seed_features(seeds), ["item_ord"], a.threshold))
+    rows = jsonl.read_records(spark, a.input, "item_ord")
+    sources = jsonl.read_records(spark, a.sources, "ord").select("ord", "line")
+    scored = cut_lineage(similarity.score_novelty(similarity.record_features(rows, ["item_ord"]), similarity.source_record_features(sources), ["item_ord"], a.threshold))
     names = [c for c in scored.columns if c != "item_ord"]
     write(with_fields(rows.select("item_ord", "line").join(scored, "item_ord"), names), a.output)
     jsonl.write_summary(similarity.novelty_summary(scored, a.threshold), a.summary_output, failure_reasons=similarity.failure_reasons(scored))
+    print(f"novelty of {scored.count()} items in {a.output}")
     return 0
 
 
+def _template(a: argparse.Namespace) -> str:
+    return jsonl.read_text(a.prompt) if a.prompt else PROMPTS[a.command]
+
+
+def provider_of(name: str) -> generation.Provider:
+    """The function ``module:function``, imported only when it is asked for."""
+    module, _, function = name.partition(":")
+    if not module or not function:
+        raise ValueError("model calls need --provider module:function")
+    try:
+        return getattr(importlib.import_module(module), function)
+    except ImportError as problem:
+        raise ValueError(f"provider {name} cannot be imported ({problem}); install its package or check the name") from problem
+
+
 def _generate(spark: SparkSession, requests: DataFrame, a: argparse.Namespace) -> DataFrame:
-    module, _, name = a.provider.partition(":")
-    provider = getattr(importlib.import_module(module), name)
     parameters = {"temperature": a.temperature, "max_new_tokens": a.max_new_tokens, "model": a.model, "json": not a.no_response_format_json}
-    return cut_lineage(generation.generate(generation.require_rows(requests, "input records"), provider, parameters, [c for c in requests.columns if c not in ("instruction", "system_prompt")]))
+    asked, keys = generation.require_rows(requests, "input records"), [c for c in requests.columns if c not in ("instruction", "system_prompt")]
+    provider = provider_of(a.provider)
+    use_cache = a.cache and not a.no_cache
+    made = cut_lineage(generation.generate_cached(asked, provider, parameters, keys, a.cache) if use_cache else generation.generate(asked, provider, parameters, keys))
+    if a.distiset_dir:
+        made.write.mode("overwrite").parquet(os.path.join(a.distiset_dir, generation.slug(a.model)))
+    return made
 
 
 def solve(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = read(spark, a.input, ITEM, "item_ord")
     if a.responses:
-        sent = read(spark, a.responses, RESPONSE, "resp_id")
+        sent = read(spark, a.responses, RESPONSE, "resp_id").withColumn("raw_response", answers.record_response(F.col("record")))
         bad = sent.filter(jsonl.response_errors(F.col("record")).isNotNull()).select("resp_id", jsonl.response_errors(F.col("record")).alias("e")).orderBy("resp_id").first()
         if bad:
             raise ValueError(f"{a.responses[0]}:{bad.resp_id}: {bad.e}")
     else:
-        template = jsonl.read_text(a.prompt)
+        template = _template(a)
         sent = None
         for model in generation.model_list(a.models, dict(os.environ)):
             a.model = model
             prompt = generation.render(template, ITEM_JSON=F.to_json(generation.redacted(F.col("record"))))
-            asked = rows.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), F.lit(model).alias("model"), prompt.alias("instruction"), F.lit(a.system_prompt).alias("system_prompt"))
+            asked = rows.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), F.lit(model).alias("model"), prompt.alias("instruction"), F.lit(a.system_prompt or SYSTEM[a.command]).alias("system_prompt"))
             got = _generate(spark, asked, a).withColumns({"response": F.lit(None).cast("string"), "answer": F.lit(None).cast("string")})
             sent = got if sent is None else sent.unionByName(got)
         sent = cut_lineage(sent.withColumn("resp_id", F.monotonically_increasing_id()))
@@ -109,21 +136,24 @@ def solve(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def filter_items(spark: SparkSession, a: argparse.Namespace) -> int:
     gates = selection.Gates(a.target_size, a.min_novelty, a.min_judge_score, a.max_dataset_solver_accuracy, a.max_item_solver_accuracy, a.enforce_solver_target, a.allow_unjudged, a.allow_unscored, a.allow_unsolved)
-    rows = rules.with_errors(read(spark, a.input, ITEM, "item_ord"))
-    out = cut_lineage(selection.select(selection.evaluate(rows, rules.error_texts(F.col("rule_errors"), F.col("item_ord")), gates), gates))
-    kept = out.filter("fate = 'accepted'")
+    rows = read(spark, a.input, ITEM, "item_ord")
+    evaluated = selection.evaluate(rules.with_errors(rows), rules.error_texts(F.col("rule_errors"), F.col("item_ord")), gates)
+    out = cut_lineage(selection.select(evaluated, gates).select("item_ord", "rank", "fate", "_accuracy", "filter_issues"))
+    lines = rows.select("item_ord", "line")
+    kept = lines.join(out.filter("fate = 'accepted'").select("item_ord", "rank"), "item_ord")
     kept.orderBy("rank").select(F.col("line").alias("value")).write.mode("overwrite").text(a.output)
-    write(with_fields(out.filter("fate in ('rejected', 'easiest')"), ["filter_issues"]), a.rejected_output)
-    jsonl.write_summary(selection.selection_summary(out, gates), a.summary_output, rejection_reasons=selection.rejection_reasons(out))
+    write(with_fields(lines.join(out.filter("fate in ('rejected', 'easiest')").select("item_ord", "filter_issues"), "item_ord"), ["filter_issues"]), a.rejected_output)
+    summary = jsonl.write_summary(selection.selection_summary(out, gates), a.summary_output, rejection_reasons=selection.rejection_reasons(out))
+    print(f"{summary['accepted_items']} of {summary['input_items']} items accepted")
     return 0
 
 
 def judge(spark: SparkSession, a: argparse.Namespace) -> int:
     rows = read(spark, a.input, ITEM, "item_ord")
-    seeds = judging.seed_map(read(spark, a.seeds, SEED, "ord").select("ord", "seed_id", "line")) if a.seeds else spark.createDataFrame([], "key string, line string")
+    seeds = judging.seed_map(read(spark, a.seeds, SEED, "ord").select("ord", "seed_id", "question_id", "line")) if a.seeds else spark.createDataFrame([], "key string, line string")
     with_seed = judging.with_seed(rows.withColumnRenamed("judge", "_judge"), seeds)
-    prompt = generation.render(jsonl.read_text(a.prompt), SEED_JSON=F.coalesce("seed.line", F.lit("{}")), ITEM_JSON=F.col("line"))
-    asked = with_seed.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), prompt.alias("instruction"), F.lit(a.system_prompt).alias("system_prompt"))
+    prompt = generation.render(_template(a), SEED_JSON=F.coalesce("seed.line", F.lit("{}")), ITEM_JSON=F.col("line"))
+    asked = with_seed.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), prompt.alias("instruction"), F.lit(a.system_prompt or SYSTEM[a.command]).alias("system_prompt"))
     reviewed = cut_lineage(judging.review(_generate(spark, asked, a), rows.select("item_ord", "id", "line")).select(F.col("item.line").alias("line"), "judge", F.col("item.item_ord").alias("item_ord")))
     write(with_fields(reviewed, ["judge"]), a.reviewed_output)
     write(with_fields(reviewed.filter(judging.accepts(F.col("judge"), a.min_score)), ["judge"]), a.accepted_output)
@@ -132,8 +162,8 @@ def judge(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def generate(spark: SparkSession, a: argparse.Namespace) -> int:
     seeds = generation.require_rows(read(spark, a.input, SEED, "ord"), "seeds")
-    prompt = generation.render(jsonl.read_text(a.prompt), SEED_JSON=F.col("line"), ITEMS_PER_SEED=F.lit(str(a.items_per_seed)))
-    asked = seeds.select("ord", generation.seed_name(F.col("seed_id"), F.col("ord")).alias("seed_id"), "question_type", F.lit(a.model).alias("model_name"), prompt.alias("instruction"), F.lit(a.system_prompt).alias("system_prompt"))
+    prompt = generation.render(_template(a), SEED_JSON=F.col("line"), ITEMS_PER_SEED=F.lit(str(a.items_per_seed)))
+    asked = seeds.select("ord", generation.seed_name(F.col("seed_id"), F.col("ord")).alias("seed_id"), "question_type", F.lit(a.model).alias("model_name"), prompt.alias("instruction"), F.lit(a.system_prompt or SYSTEM[a.command]).alias("system_prompt"))
     parsed = cut_lineage(generation.parse_generations(_generate(spark, asked, a)))
     if a.raw_output:
         jsonl.write_lines(parsed.select("seed_id", "question_type", "model_name", "generation"), a.raw_output)
@@ -163,7 +193,7 @@ def parser() -> argparse.ArgumentParser:
                 c.add_argument(option, default=default, type=type(default) if default is not None else None)
         return c
 
-    calls = {"provider": "", "prompt": "", "model": "gpt-4o", "system_prompt": "", "no_cache": False, "no_response_format_json": False}
+    calls = {"provider": "", "prompt": "", "model": "gpt-4o", "system_prompt": "", "cache": "", "no_cache": False, "distiset_dir": "", "no_response_format_json": False}
     command("validate", validate, output="")
     command("novelty", novelty, sources=[], output="scored", summary_output="novelty_summary.json", threshold=75.0)
     command("solve", solve, output="solved", attempts_output="", summary_output="solver_summary.json", responses=[], models=[], temperature=0.0, max_new_tokens=600, **calls)

@@ -85,6 +85,18 @@ _HARDNESS = """coalesce(acc, 1.0), coalesce(-difficulty, 0), CASE WHEN novelty_s
   coalesce(-judge.score, 0), coalesce(id, ''), item_ord"""
 
 
+def _selected(issues: str, target: int, most: float) -> str:
+    """WITH … f: items with acc, rank, fate and their issues (rules included)."""
+    return rule_sql.item_errors() + f""", {_RATED},
+e AS (SELECT r.*, list_concat(coalesce(s.said, []), {issues}) AS issues FROM rated r LEFT JOIN (SELECT ord, list('schema: ' || message) AS said FROM errors GROUP BY ord) s ON s.ord = r.item_ord),
+k AS (SELECT *, row_number() OVER (ORDER BY {_HARDNESS}) AS rank FROM e WHERE len(issues) = 0),
+m AS (SELECT *, sum(acc::DECIMAL(20,10)) OVER w AS total, count(acc) OVER w AS known FROM k WINDOW w AS (ORDER BY rank ROWS UNBOUNDED PRECEDING)),
+z AS (SELECT coalesce(max(rank), 0) AS last FROM m WHERE (known = 0 OR total <= known * {most}::DECIMAL(20,10)) AND rank <= {target or 10**15}),
+f AS (SELECT item_ord, acc, rank, CASE WHEN rank > {target or 10**15} THEN 'overflow' WHEN rank <= last THEN 'accepted' ELSE 'easiest' END AS fate, CASE WHEN rank > last THEN ['solver: removed to meet dataset accuracy target {most:g}'] ELSE issues END AS issues FROM m CROSS JOIN z
+  UNION ALL SELECT item_ord, acc, NULL, 'rejected', issues FROM e WHERE len(issues) > 0)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return _own_sql() | rule_sql.oracle_sql()
 
@@ -106,7 +118,15 @@ cl AS (SELECT line_no, parent_pos, child, kinds, CASE WHEN json_type(v) = 'ARRAY
         WHEN json_type(v) = kinds THEN [v] END AS e FROM c),
 ce AS (SELECT line_no, parent_pos, child, kinds, unnest(range(len(e)))::INT AS pos, unnest(e) AS x FROM cl WHERE e IS NOT NULL)
 """
+    capped = _selected(_issues(75.0, 4.0, None, True, True, True), 50, 0.3)
+    strict = _selected(_issues(75.0, 4.0, 0.9, False, False, False), 0, 0.6)
     return {
+        "selected_items": capped + "SELECT fate, count(*) AS items FROM f GROUP BY fate",
+        "hardest_accepted": capped + "SELECT item_ord, rank FROM f WHERE fate = 'accepted'",
+        "filter_summary": strict + """SELECT count(*) AS input_items, count(rank) AS candidate_items, count(*) FILTER (fate = 'accepted') AS accepted_items, count(*) FILTER (fate IN ('rejected', 'easiest')) AS rejected_items,
+  NULL::INT AS target_size, 75.0::DOUBLE AS min_novelty, 4.0::DOUBLE AS min_judge_score, 0.6::DOUBLE AS max_dataset_solver_accuracy, round(avg(acc) FILTER (fate = 'accepted'), 4) AS dataset_solver_accuracy,
+  coalesce(avg(acc) FILTER (fate = 'accepted') <= 0.6, false) AS solver_accuracy_target_met, true AS enforced_solver_target FROM f""",
+        "rejection_histogram": strict + "SELECT reason, count(*) AS items FROM (SELECT unnest(issues) AS reason FROM f WHERE fate IN ('rejected', 'easiest')) GROUP BY reason",
         "p3_choices": nodes.replace("lambda q: '{}'::JSON", "lambda q: json_object('label', q, 'text', v ->> ('$.\"' || q || '\"'))") + """SELECT line_no, parent_pos, pos, x ->> '$.label' AS label, x ->> '$.text' AS text FROM ce WHERE child = 'choice' AND json_type(x) = 'OBJECT'""",
         "failed_generations": f"""
 WITH r AS (SELECT model_name, coalesce(generation, '') AS raw FROM raw_generations), b AS (SELECT model_name, {_FENCE} AS bare FROM r),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examsift.operators import answers, rules, selection, similarity
-from examsift.runtime import cut_lineage
 from examsift.runtime import work_table as table
 from examsift.sources.jsonl import parse_lines
 
@@ -47,7 +46,7 @@ def evaluated(spark: SparkSession, folder: str, gates: selection.Gates) -> DataF
 
 
 def selected(spark: SparkSession, folder: str, gates: selection.Gates) -> DataFrame:
-    return cut_lineage(selection.select(evaluated(spark, folder, gates), gates))
+    return selection.select(evaluated(spark, folder, gates), gates)
 
 
 def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gates, with_attempts: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -55,7 +54,7 @@ def solve_and_filter(rows: DataFrame, responses: DataFrame, gates: selection.Gat
 
     Alone, the selection holds every attempt in its arrays. For items with very many attempts ask for
     (selection, attempts) by ``with_attempts``: the second holds each graded attempt of each item, and arrays
-    of more than MOST_IN_ARRAY attempts are null in the first.
+    of more than MOST_IN_ARRAY attempts are only the first chunk of them in the first.
     """
     graded = answers.attempts(rows, responses)
     solved = answers.attach_results(rows, graded, answers.MOST_IN_ARRAY if with_attempts else None)

@@ -92,6 +92,11 @@ errors AS ({each})
 """
 
 
+def item_errors() -> str:
+    """WITH … errors(ord, rule, message) of generated_items."""
+    return _errors(_ITEMS, True)
+
+
 def oracle_sql() -> dict[str, str]:
     lines, items = _errors(_LINES, False), _errors(_ITEMS, True)
     counts = "SELECT rule, sum(n)::BIGINT AS errors, count(*) AS records FROM (SELECT rule, ord, count(*) AS n FROM errors GROUP BY rule, ord) GROUP BY rule"

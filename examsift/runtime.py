@@ -32,12 +32,14 @@ def work_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and read it back.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Only where the session names none (a
-    local test) a temporary folder is used.
+    The folder is the one named in ``spark.checkpoint.dir``. Only a local session may name none: it gets a
+    temporary folder. On a cluster that is an error, since executors would not share such a folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="examsift-checkpoint-"))
     return df.checkpoint(eager=True)
 

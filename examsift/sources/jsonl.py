@@ -7,29 +7,51 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from examsift.functions import variants as V
-from examsift.operators.prefix import running_sums
+from examsift.operators.sizing import broadcast_if_small
 
 
-def read_lines(spark: SparkSession, paths: list[str] | str, numbered: bool = True) -> DataFrame:
-    """(file_idx, line_no, line): the lines of files, the physical line number starting at 1.
+SPLIT = ["file_idx", "_file", "_start"]
+
 
-    Files keep the order given. With ``numbered`` the number comes from the line's place in its file: a
-    count of the lines before it, by ranges of the file, in parallel; else it is null. An empty list of paths gives no line.
+def _numbered(rows: DataFrame, out: str, per: list[str]) -> DataFrame:
+    """``rows`` of file splits (SPLIT) with ``out``: the 1-based place in the order of the files, counted anew for each ``per``.
+
+    A split's rows stand one behind the other in one task, so their places in it are differences of
+    increasing ids; the rows before a split come from counts, one per split. No line is moved.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    marked = rows.withColumn("_at", F.monotonically_increasing_id())
+    splits = marked.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = W.partitionBy(*per).orderBy(*SPLIT).rowsBetween(W.unboundedPreceding, -1)  # one row per split
+    placed = splits.select(*SPLIT, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return marked.join(broadcast_if_small(placed), SPLIT).withColumn(out, F.col("_at") + F.col("_shift")).drop("_at", "_shift")
+
+
+def _split_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(SPLIT…, line_no, line) of files."""
     out = None
-    for n, path in enumerate(paths):
-        own = spark.read.text(path).select(F.lit(n).alias("file_idx"), F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+    for n, path in enumerate([paths] if isinstance(paths, str) else paths):
+        own = spark.read.text(path).select(F.lit(n).alias("file_idx"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("value").alias("line"))
         out = own if out is None else out.unionByName(own)
     if out is None:
-        return spark.createDataFrame([], "file_idx int, line_no bigint, line string")
-    if not numbered:
-        return out.select("file_idx", F.lit(None).cast("bigint").alias("line_no"), "line")
-    placed = running_sums(out, [F.col("file_idx"), F.col("_file"), F.col("_start"), F.col("_at")], {"_n": F.lit(1).cast("long")})
-    before = placed.groupBy("file_idx").agg((F.min("_n") - 1).alias("_before"))
-    return placed.join(F.broadcast(before), "file_idx").select("file_idx", (F.col("_n") - F.col("_before")).alias("line_no"), "line")  # a row per path
+        return spark.createDataFrame([], "file_idx int, _file string, _start bigint, line string, line_no bigint")
+    return _numbered(out, "line_no", ["file_idx"])
+
+
+def read_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(file_idx, line_no, line): the lines of files, the physical line number starting at 1.
+
+    Files keep the order given; blank lines count. An empty list of paths gives no line.
+    """
+    return _split_lines(spark, paths).select("file_idx", "line_no", "line")
+
+
+def read_records(spark: SparkSession, paths: list[str] | str, ord_: str) -> DataFrame:
+    """(file_idx, line_no, line, record, ``ord_``): records of files, numbered from 1 over all files; a broken line is an error."""
+    lines = parse_lines(_split_lines(spark, paths), strict=True)
+    return _numbered(lines, ord_, []).drop("_file", "_start", "line_error")
 
 
 def parse_lines(lines: DataFrame, line: str = "line", strict: bool = False) -> DataFrame:
@@ -79,12 +101,6 @@ def write_lines(df: DataFrame, path: str, order: list[str] | None = None) -> Non
     ordered.select(to_line(df.columns).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_split(selected: DataFrame, folder: str, order: list[str] | None = None) -> None:
-    """Accepted and rejected items as two sinks, each without the other's rows."""
-    write_lines(selected.filter("fate = 'accepted'").drop("fate", "filter_issues", "rank", "_accuracy"), os.path.join(folder, "accepted"), order)
-    write_lines(selected.filter("fate in ('rejected', 'easiest')").drop("fate", "rank", "_accuracy"), os.path.join(folder, "rejected"), order)
-
-
 def write_summary(one_row: DataFrame, path: str, **more: DataFrame) -> dict:
     """Write a one-row summary as indented JSON with sorted keys; each further (name, value) table becomes a map in it."""
     row = one_row.first()

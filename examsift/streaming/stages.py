@@ -23,11 +23,10 @@ def validate_stream(lines: DataFrame) -> DataFrame:
     return rules.with_errors(parse_lines(lines)).drop("record")
 
 
-def grade_stream(responses: DataFrame, items: DataFrame) -> DataFrame:
-    """Graded responses: a stream of responses joined with a table of items."""
+def grade_stream(responses: DataFrame, items: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Graded responses with the columns ``more`` of the response: a stream of responses joined with a table of items."""
     own = items.select("item_ord", "answer_groups", answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"))
-    sent = responses.select("item_id", "resp_id", "model", answers.response_text(F.col("generation"), F.col("response"), F.col("answer")).alias("raw_response"))
-    return answers.grade_rows(sent.join(own, "item_id")).select("item_ord", "resp_id", "model", "parse_error", "correct")
+    return answers.grade_rows(answers.read_rows(responses).join(own, "item_id")).select("item_ord", "resp_id", "model", "parse_error", "correct", *more)
 
 
 def accuracy_by_window(graded: DataFrame, event_time: str, window: str = "1 hour", late: str = "1 day") -> DataFrame:

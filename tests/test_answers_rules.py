@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from examsift.operators import answers, generation, judging, rules
+from examsift.operators import answers, generation, judging, rules, sizing
 from examsift.sources import jsonl
 
 GROUPS = "array<struct<blank:int,choices:array<struct<label:string,text:string>>,correct_labels:array<string>>>"
@@ -15,7 +15,7 @@ def group(blank, correct, n=5):
 
 def graded(spark, groups, raw):
     df = spark.createDataFrame([(groups, raw)], f"answer_groups {GROUPS}, raw_response string")
-    return answers.grade_rows(df).first()
+    return answers.grade_rows(df.withColumn("read", answers.read_response(F.col("raw_response")))).first()
 
 
 TWO = [group(1, ["A"]), group(2, ["D"])]
@@ -57,15 +57,30 @@ def test_graded_details(spark):
 
 
 @pytest.mark.parametrize(("value", "want"), [("null", None), ('"None"', None), ("3", "3"), ('"Blank 07"', "7"), ('"Middle"', "middle"), ("true", "1"), ('""', None)])
-def test_blank_keys(spark, value, want):
-    df = spark.createDataFrame([(value,)], "v string").select(answers.blank_key(F.parse_json("v")).alias("k"))
-    assert df.first().k == want
+def test_blank_names(value, want):
+    assert answers.blank_name(json.loads(value)) == want
 
 
-@pytest.mark.parametrize(("value", "want"), [('"a, b"', ["A", "B"]), ('["B", ["A", "B"]]', ["A", "B"]), ('{"label": "D"}', ["D"]), ('[{"label": "C"}, "A"]', ["A", "C"]), ("5", []), ("null", []), ('"word"', []), ('"x\\nB"', ["B", "X"])])
-def test_labels(spark, value, want):
-    df = spark.createDataFrame([(value,)], "v string").select(answers.labels(F.parse_json("v")).alias("k"))
-    assert df.first().k == want
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [('"a, b"', ["A", "B"]), ('["B", ["A", "B"]]', ["A", "B"]), ('{"label": "D"}', ["D"]), ('[{"label": "C"}, "A"]', ["A", "C"]), ("5", []), ("null", []), ('"word"', []), ('"x\\nB"', ["B", "X"]),
+     ('{"answer":{"labels":{"label":{"answer":"B"}}}}', ["B"]), ('{"labels": null, "label": "A"}', []), ('{"other": "A"}', [])],
+)
+def test_labels(value, want):
+    assert answers.labels_in(json.loads(value)) == want
+
+
+def test_labels_at_any_depth(spark):
+    deep = '{"answer": ' + '{"labels": [' * 150 + '"c"' + "]}" * 150 + "}"
+    assert graded(spark, [group(None, ["C"])], deep).correct is True
+    assert graded(spark, [group(None, ["C"])], '{"answer":{"labels":{"label":{"answer":"C"}}}}').correct is True
+    assert graded(spark, [group(None, ["C"])], "[" * 100_000).parse_error
+
+
+def test_response_of_a_record(spark):
+    rows = [('{"generation": "g", "answer": "a"}', "g"), ('{"response": null, "answer": "a"}', "None"), ('{"answer": {"label": "B"}}', '{"label":"B"}'), ("{}", "")]
+    df = spark.createDataFrame(rows, "line string, want string").withColumn("got", answers.record_response(F.parse_json("line")))
+    assert all(r.got == r.want for r in df.collect())
 
 
 def items_and_responses(spark):
@@ -87,6 +102,10 @@ def test_attempts_accuracy_and_summaries(spark, monkeypatch):
     assert (total.total_items, total.total_solver_attempts, total.overall_accuracy, total.average_item_accuracy) == (4, 4, 0.5, 0.5)
     assert {r.model: (r.total, r.correct) for r in answers.model_totals(got).collect()} == {"m": (3, 1), "None": (1, 1)}
     assert sorted(r.resp_id for r in answers.unknown_responses(items, responses).collect()) == [3, 5]
+    monkeypatch.setattr(sizing, "AS_LITERALS", 1)  # and with the hot ids joined
+    monkeypatch.setattr(answers, "hot_keys", lambda *a: ["x", "item-2"])
+    assert sorted(map(str, answers.attempts(items, responses).collect())) == sorted(map(str, got.collect()))
+    monkeypatch.undo()
     attached = {r.item_ord: r for r in answers.attach_results(items, got).collect()}
     assert [x.model for x in attached[2].solver_results] == [None, "m"] and attached[4].solver_results == [] and attached[4].solver_accuracy is None
     none = answers.attempts(items, responses.limit(0))
@@ -97,15 +116,14 @@ def test_no_attempt_is_lost(spark):
     items, responses = items_and_responses(spark)
     many = spark.range(10, 10_011).selectExpr("id resp_id", "'lonely' item_id", "'m' model", "'{}' generation", "CAST(null AS string) response", "CAST(null AS string) answer")
     graded = answers.attempts(items, responses.unionByName(many)).cache()
-    whole = {r.item_ord: r.n for r in answers.attach_results(items, graded).selectExpr("item_ord", "size(solver_results) n").collect()}
-    assert whole == {1: 1, 2: 2, 3: 1, 4: 10_001}
-    # beside other rows the same item is treated the same
-    padding = graded.filter("item_ord = 2").crossJoin(spark.range(1, 5)).selectExpr("id * 100 + item_ord item_ord", *graded.columns[1:])
-    for table in (graded, graded.unionByName(padding)):
-        for most in (2, 10_001):
-            rows = answers.attach_results(items, table, most).collect()
-            assert {r.item_ord: r.solver_results is None for r in rows} == {1: False, 2: False, 3: False, 4: most == 2}
-            assert {r.item_ord: r.n_attempts for r in rows} == whole
+    assert {r.item_ord: r.n_attempts for r in answers.attach_results(items, graded).collect()} == {1: 1, 2: 2, 3: 1, 4: 10_001}
+    for most in (1_000, 10_001):
+        chunks = answers.result_chunks(graded, most).selectExpr("item_ord", "chunk", "size(solver_results) n").collect()
+        assert sum(r.n for r in chunks) == graded.count() and max(r.chunk for r in chunks) == (10 if most == 1_000 else 0)
+        assert all(r.n < 1.3 * most for r in chunks)
+        rows = answers.attach_results(items, graded, most).collect()
+        assert all(r.solver_results is not None and r.n_attempts >= len(r.solver_results) for r in rows)
+        assert (len(next(r for r in rows if r.item_ord == 4).solver_results) == 10_001) == (most == 10_001)
 
 
 GOOD = {
