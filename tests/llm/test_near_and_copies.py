@@ -44,15 +44,25 @@ def test_similar_records_equal_brute_force(spark):
     assert set(got) == brute(rows, 3, 60) | {(9003, 9004)}  # the same two words are copies
 
 
-def test_large_classes_are_listed_through_their_first_record(spark):
+def test_groups_equal_brute_force(spark):
     rng = random.Random(5)
     text = " ".join(rng.choices(WORDS, k=40))
-    rows = [(i, text + " ." * i) for i in range(10)] + [(100, edited(text, rng, 1))]
+    chain = [" ".join(f"c{i}" for i in range(4 * k, 4 * k + 30)) for k in range(12)]  # each like the next only
+    rows = corpus(4, 20) + [(1000 + i, text + " ." * i) for i in range(10)] + [(1100, edited(text, rng, 1)), (1200, None), (1201, "one")]
+    rows += [(1300 + 7 * k % 12, t) for k, t in enumerate(chain)]
     df = spark.createDataFrame(rows, "id bigint, text string")
+    pairs = brute(rows, 3, 60)
+    group = {i: i for i, _ in rows}
+    for _ in rows:
+        for a, b in pairs:
+            group[a] = group[b] = min(group[a], group[b])
     for hot in (20_000, 0):  # with and without the salted way for hot keys
-        got = {tuple(r) for r in nd.similar_records(df, 3, 60, listed=5, hot_rows=hot).collect()}
-        assert got == {(0, i) for i in range(1, 10)} | {(0, 100)}
-        assert {tuple(r) for r in nd.similar_records(df, 3, 60, hot_rows=hot).collect()} == brute(rows, 3, 60)
+        got = {r.id: r for r in nd.similar_groups(df, 3, 60, hot_rows=hot).collect()}
+        assert {i: r.group for i, r in got.items()} == group
+        assert {i: r.links for i, r in got.items()} == {i: sum(i in p for p in pairs) for i, _ in rows}
+        assert got[1005]["class"] == 1000 and got[1100]["class"] == 1100
+        assert {tuple(r) for r in nd.similar_records(df, 3, 60, hot_rows=hot).collect()} == pairs
+    assert len({group[1300 + k] for k in range(12)}) == 1
 
 
 def test_every_pair_of_large_classes_is_listed(spark, monkeypatch):
@@ -68,8 +78,8 @@ def test_every_pair_of_large_classes_is_listed(spark, monkeypatch):
 
 
 def test_hot_buckets_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(nd, "HOT_BUCKET", 3)
-    rows = corpus(2, 25)
+    monkeypatch.setattr(nd, "HOT_BUCKET", 2)
+    rows = corpus(2, 25) + [(5000 + i, " ".join(WORDS[:60] + WORDS[100 + i : 110 + i])) for i in range(30)]
     df = spark.createDataFrame(rows, "id bigint, text string")
     assert {tuple(r) for r in nd.similar_records(df, 3, 60).collect()} == brute(rows, 3, 60)
 
