@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,11 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.similar_items(table(spark, folder, "generated_items"))
 
 
+def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Each item with the class of its copies, its group of near duplicates and the number of items it is linked to."""
+    return near_duplicates.item_groups(table(spark, folder, "generated_items"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.unmet_cells(table(spark, folder, "generated_items"), table(spark, folder, "sample_targets"))
 
@@ -37,6 +43,24 @@ def p5_plan(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.sample_plan(table(spark, folder, "generated_items"), table(spark, folder, "sample_targets"))
 
 
+def p5_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: cells, those short of rows and of room, rows planned, and the deviation from the targets that is left."""
+    plan = sampling.sample_plan(table(spark, folder, "generated_items"), table(spark, folder, "sample_targets"))
+    return plan.agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(F.col("short") == "rows").alias("short_of_rows"), F.count_if(F.col("short") == "size").alias("short_of_size"),
+        F.sum("wanted").alias("wanted"), F.sum("planned").alias("planned"), F.sum(F.abs(F.col("planned") - F.greatest("wanted", "min_rows"))).alias("deviation"),
+    )
+
+
+def p5_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Per cell of the plan: whether its sample holds the rows planned, and no row twice."""
+    plan = sampling.sample_plan(table(spark, folder, "generated_items"), table(spark, folder, "sample_targets"))
+    drawn = p5_sample(spark, folder).groupBy(*sampling.CELL).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("item_ord").alias("items"))
+    both = plan.join(drawn, sampling.CELL, "left")
+    holds = (F.coalesce("n", F.lit(0)) == F.col("planned")) & (F.coalesce("n", F.lit(0)) == F.coalesce("items", F.lit(0)))
+    return both.select(*sampling.CELL, "available", "wanted", "met", "short", holds.alias("holds"))
+
+
 def p5_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.draw_sample(table(spark, folder, "generated_items"), table(spark, folder, "sample_targets"))
 
@@ -97,7 +121,7 @@ def p10_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = [p1_found, p1_items_leaked, p2_order, p4_found, p5_found, p5_plan, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p8_ids, p8_round_trip, p9_found, p9_mixture, p9_shares, p10_found, p10_shares, p10_lines]
+    every = [p1_found, p1_items_leaked, p2_order, p4_found, p4_groups, p5_found, p5_plan, p5_totals, p5_cells, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p8_ids, p8_round_trip, p9_found, p9_mixture, p9_shares, p10_found, p10_shares, p10_lines]
     return {f.__name__: f for f in every}
 
 
@@ -111,6 +135,21 @@ WITH t AS (SELECT regexp_replace(regexp_replace(lower(question_type), '^\\s+|\\s
      s AS (SELECT count(*) // 5 AS n FROM generated_items)
 """
 
+# floors that exceed the sample are shared out by largest remainders; otherwise every cell gets what is due, as far as it has it
+_P5_PLAN = _P5_CELLS + """, a AS (SELECT t.*, coalesce(i.n, 0) AS available, target_bp * s.n // 10000 AS wanted, greatest(min_rows, target_bp * s.n // 10000) AS due, least(min_rows, coalesce(i.n, 0)) AS held, s.n AS size,
+    sum(least(min_rows, coalesce(i.n, 0))) OVER () AS floors FROM t CROSS JOIN s LEFT JOIN i USING (question_type, subtype, difficulty)),
+h AS (SELECT *, row_number() OVER (ORDER BY held * size % greatest(floors, 1) DESC, question_type, subtype, difficulty) <= size - sum(held * size // greatest(floors, 1)) OVER () AS more FROM a),
+k AS (SELECT *, held * size // greatest(floors, 1) + more::INT AS share FROM h),
+m AS (SELECT *, CASE WHEN available < due THEN 'rows' WHEN floors > size AND share < due THEN 'size' END AS short FROM k)
+"""
+
+_P4_PAIRS = """
+t AS (SELECT item_ord, list_filter(regexp_split_to_array(lower(concat(coalesce(stem, ''), ' ', coalesce(stimulus, ''), ' ', coalesce(explanation, ''))), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM generated_items),
+     g AS (SELECT DISTINCT item_ord, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram FROM t WHERE len(w) >= 3),
+     n AS (SELECT item_ord, count(*) AS n FROM g GROUP BY 1),
+     c AS (SELECT a.item_ord AS item_a, b.item_ord AS item_b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.item_ord < b.item_ord GROUP BY 1, 2),
+     pairs AS (SELECT item_a, item_b FROM c JOIN n x ON x.item_ord = item_a JOIN n y ON y.item_ord = item_b WHERE common * 100 >= 60 * (x.n + y.n - common))"""
+
 _ITEM_FORM = """
 WITH k AS (SELECT item_ord,
   regexp_replace(lower(coalesce(stem, '')), '[^\\p{L}\\p{N}]+', '', 'g') AS stem_form,
@@ -120,18 +159,47 @@ WITH k AS (SELECT item_ord,
 """
 
 
+def _re(pattern: str) -> str:
+    """A Python pattern in RE2's terms (letters and digits are Unicode's), as a SQL string."""
+    word, space = "\\p{L}\\p{N}_", "\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}"
+    out = pattern.replace("[\\W_]", "[^\\p{L}\\p{N}]").replace("[\\w ", f"[{word} ").replace("\\w", f"[{word}]").replace("\\W", f"[^{word}]").replace("\\s", f"[{space}]").replace("\\d", "\\p{Nd}").replace("\\u2028\\u2029", "\\x{2028}\\x{2029}")
+    return out.replace("'", "''")
+
+
+_LINES = ", ".join(f"regexp_full_match(line, '{'(?i)' if r.flags & re.I else ''}{_re(r.pattern)}') AS {n}" for n, r in repetition.LINE_RULES.items())
+_P10_LINES = f"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS k, unnest(ls) AS line FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '{_re(repetition.BREAK.pattern)}') AS ls FROM documents)),
+w AS (SELECT doc_id, k, line, list_filter(regexp_split_to_array(lower(line), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS own, {_LINES} FROM l),
+p AS (SELECT *, coalesce(sum(len(own)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM w),
+t AS (SELECT doc_id, flatten(list(own ORDER BY k)) AS w FROM w GROUP BY doc_id),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, gram ORDER BY i) AS nth FROM g) WHERE nth > 1),
+c AS (SELECT DISTINCT doc_id, i + j AS pos FROM r CROSS JOIN (SELECT unnest(range(0, 5)) AS j)),
+n AS (SELECT p.doc_id, k, count(*) AS repeated FROM p JOIN c ON c.doc_id = p.doc_id AND pos > before AND pos <= before + len(own) GROUP BY ALL),
+v AS (SELECT p.*, coalesce(repeated, 0) AS repeated, CASE WHEN regexp_full_match(line, '{_re(chr(92) + "s*")}') THEN 'blank' WHEN punctuation THEN 'punctuation' WHEN navigation THEN 'navigation' WHEN boilerplate THEN 'boilerplate' WHEN repeated > 0 THEN 'repetition' END AS failed
+      FROM p LEFT JOIN n USING (doc_id, k)),
+d AS (SELECT doc_id, count(*) FILTER (failed IS DISTINCT FROM 'blank') AS n_lines, sum(len(own))::BIGINT AS n_words, sum(repeated)::BIGINT AS n_repeated, count(*) FILTER (failed = 'punctuation') AS by_punctuation, count(*) FILTER (failed = 'navigation') AS by_navigation,
+      count(*) FILTER (failed = 'boilerplate') AS by_boilerplate, count(*) FILTER (failed = 'repetition') AS by_repetition, coalesce(sum(len(own)) FILTER (failed <> 'blank'), 0)::BIGINT AS words_lost,
+      coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (failed IS NULL OR failed = 'blank'), '') AS cleaned FROM v GROUP BY doc_id)
+SELECT * REPLACE (CASE WHEN NOT (n_words > 0 AND words_lost * 100 >= n_words * 30) THEN cleaned END AS cleaned), n_words > 0 AND words_lost * 100 >= n_words * 30 AS rejected FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "p4_found": """
-WITH t AS (SELECT item_ord, list_filter(regexp_split_to_array(lower(concat(coalesce(stem, ''), ' ', coalesce(stimulus, ''), ' ', coalesce(explanation, ''))), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM generated_items),
-     g AS (SELECT DISTINCT item_ord, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram FROM t WHERE len(w) >= 3),
-     n AS (SELECT item_ord, count(*) AS n FROM g GROUP BY 1),
-     c AS (SELECT a.item_ord AS item_a, b.item_ord AS item_b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.item_ord < b.item_ord GROUP BY 1, 2)
-SELECT item_a, item_b FROM c JOIN n x ON x.item_ord = item_a JOIN n y ON y.item_ord = item_b WHERE common * 100 >= 60 * (x.n + y.n - common)""",
+        "p4_found": f"WITH {_P4_PAIRS} SELECT item_a, item_b FROM pairs",
+        "p4_groups": f"""WITH RECURSIVE {_P4_PAIRS}, both_ways AS (SELECT item_a AS x, item_b AS y FROM pairs UNION ALL SELECT item_b, item_a FROM pairs),
+reach AS (SELECT x, y FROM both_ways UNION SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
+l AS (SELECT x, count(*) AS links FROM both_ways GROUP BY x), m AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT item_ord, CASE WHEN len(w) > 0 THEN min(item_ord) OVER (PARTITION BY w) ELSE item_ord END AS class, least(item_ord, coalesce(y, item_ord)) AS "group", coalesce(links, 0) AS links
+FROM t LEFT JOIN l ON l.x = item_ord LEFT JOIN m ON m.x = item_ord""",
         "p5_found": _P5_CELLS + "SELECT t.question_type, t.subtype, t.difficulty FROM t CROSS JOIN s LEFT JOIN i USING (question_type, subtype, difficulty) WHERE coalesce(i.n, 0) < greatest(min_rows, target_bp * s.n // 10000)",
+        "p5_totals": _P5_PLAN + """SELECT count(*) AS cells, count(*) FILTER (short = 'rows') AS short_of_rows, count(*) FILTER (short = 'size') AS short_of_size, sum(wanted)::BIGINT AS wanted, least(max(size), sum(available))::BIGINT AS planned,
+  (CASE WHEN max(floors) > max(size) THEN sum(abs(due - share)) ELSE sum(due - least(available, due)) + least(max(size), sum(available)) - sum(least(available, due)) END)::BIGINT AS deviation FROM m""",
+        "p5_cells": _P5_PLAN + "SELECT question_type, subtype, difficulty, available, wanted, short IS NULL AS met, short, true AS holds FROM m",
         "p7_found": _ITEM_FORM + "SELECT keep_ord, item_ord FROM (SELECT item_ord, min(item_ord) OVER (PARTITION BY stem_form, choice_forms) AS keep_ord FROM k) WHERE item_ord <> keep_ord",
         "p7_collapsed": _ITEM_FORM + "SELECT min(item_ord) AS item_ord, count(*) AS n_copies FROM k GROUP BY stem_form, choice_forms",
         "p8_round_trip": "SELECT doc_id FROM documents WHERE false",
+        "p10_lines": _P10_LINES,
         "p10_shares": """
 WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),
      g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),

@@ -1,4 +1,12 @@
-"""Repetition inside a single document."""
+"""Repetition inside a single document, by line-first cleaning.
+
+A document is judged line by line, before anything is said about the whole: each line is held against rules
+(punctuation, navigation, boilerplate, and repetition of what stood before it in the document). Lines that fail
+are removed, and a document that loses too much is rejected. A line repeats if a run of words that already
+occurred covers any of it, whether the run lies in the line or reaches over its ends; so the lines that fail by
+repetition hold all repeated words, and no document whose repeated share reaches a limit loses less than
+that limit. Their exact share is counted in the same walk.
+"""
 
 from __future__ import annotations
 
@@ -21,28 +29,28 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower()) if text.isascii() else [w.lower() for w in WORD.findall(text)]
 
 
-def repeated_words(tokens: list[str], run: int = 5) -> int:
-    """Words that lie in a run of ``run`` words which also starts at an earlier word."""
+def covered_words(tokens: list[str], run: int = 5) -> list[tuple[int, int]]:
+    """Ranges (from, to) of the words that lie in a run of ``run`` words which also starts at an earlier word; apart and in order."""
     n = len(tokens) - run + 1
     if n < 2:
-        return 0
+        return []
     if len(tokens) > LONG:
-        return _repeated_by_sorting(tokens, run)
+        return _covered_by_sorting(tokens, run)
     seen: set[tuple[str, ...]] = set()
-    covered = end = 0
+    ranges: list[tuple[int, int]] = []
     for i, gram in enumerate(zip(*(tokens[k:] for k in range(run)))):
-        if gram in seen:
-            covered += i + run - max(end, i)
-            end = i + run
-        else:
+        if gram not in seen:
             seen.add(gram)
-    return covered
+        elif ranges and ranges[-1][1] >= i:
+            ranges[-1] = (ranges[-1][0], i + run)
+        else:
+            ranges.append((i, i + run))
+    return ranges
 
 
-def _repeated_by_sorting(tokens: list[str], run: int) -> int:
+def _covered_by_sorting(tokens: list[str], run: int) -> list[tuple[int, int]]:
     number: dict[str, int] = {}
-    one = np.fromiter((number.setdefault(w, len(number)) for w in tokens), np.int64, len(tokens))
-    rank, width = one, 1
+    rank, width = np.fromiter((number.setdefault(w, len(number)) for w in tokens), np.int64, len(tokens)), 1
     while width < run:  # names of runs of growing width, by pairs of names: exact
         step = min(width, run - width)
         left, right = rank[: len(rank) - step], rank[step:]
@@ -54,24 +62,91 @@ def _repeated_by_sorting(tokens: list[str], run: int) -> int:
     marks = np.zeros(len(tokens) + 1, np.int64)
     np.add.at(marks, np.flatnonzero(again), 1)
     np.add.at(marks, np.flatnonzero(again) + run, -1)
-    return int((np.cumsum(marks)[:-1] > 0).sum())
+    inside = np.concatenate([[0], (np.cumsum(marks)[:-1] > 0).astype(np.int8), [0]])
+    edges = np.diff(inside)
+    return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
 
 
-def repetition(text: Column, run: int = 5) -> Column:
-    """STRUCT<n_words, n_repeated>: words of the text, and those in repeated runs. Null text counts as empty."""
-    kind = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_repeated", T.LongType())])
+def repeated_words(tokens: list[str], run: int = 5) -> int:
+    """Words that lie in a run of ``run`` words which also starts at an earlier word."""
+    return sum(b - a for a, b in covered_words(tokens, run))
+
+
+#: Rules of single lines, by name: a line that matches as a whole fails. Lines are the text between line breaks.
+LINE_RULES = {
+    # no letter or digit at all
+    "punctuation": re.compile(r"[\W_]+"),
+    # three or more short segments between bars, arrows or bullets, steps to other pages, page numbers
+    "navigation": re.compile(
+        r"\W*\w[\w '&-]{0,24}(?:\s*[|>»›•·]\s*\w[\w '&-]{0,24}){2,}\W*"
+        r"|\W*(?:home|menu|next|previous|prev|back|top|back to (?:top|start|contents)|table of contents|contents|page \d+(?: (?:of|/) \d+)?|\d+ ?/ ?\d+)\W*",
+        re.I,
+    ),
+    # markup alone, notices, calls to sign up, share or accept
+    "boilerplate": re.compile(
+        r"(?:\s*<[^<>]*>\s*)+"
+        r"|\W*(?:copyright\b.{0,80}|(?:©|\(c\)) ?\d{4}.{0,80}|.{0,60}all rights reserved)\W*"
+        r"|\W*(?:cookie (?:policy|settings)|privacy policy|terms of (?:use|service)|sign (?:in|up)|log ?in|register|subscribe(?: now| to .{1,40})?|read more|learn more|share this.{0,30}|click here.{0,40}|lorem ipsum.*)\W*",
+        re.I,
+    ),
+}
+BREAK = re.compile(r"\r\n|[\n\r\v\f\x1c-\x1e\x85\u2028\u2029]")
+_COUNTS = ["n_lines", "n_words", "n_repeated", *(f"by_{r}" for r in LINE_RULES), "by_repetition", "words_lost", "words_repeating"]
+
+
+def judge_lines(text: str, run: int = 5) -> tuple[dict[str, int], list[str]]:
+    """(counts, lines kept) of a text. Blank lines neither fail nor count.
+
+    Counts: lines, words, words in repeated runs, failing lines by rule (the first that fails them), words in failing lines,
+    words in lines that repeat.
+    """
+    counts = dict.fromkeys(_COUNTS, 0)
+    lines = BREAK.split(text)
+    found = [words(line) for line in lines]
+    ranges = covered_words([w for own in found for w in own], run)
+    kept, at, nth = [], 0, 0
+    for line, own in zip(lines, found):
+        end, repeated = at + len(own), 0
+        while nth < len(ranges) and ranges[nth][0] < end:
+            repeated += min(end, ranges[nth][1]) - max(at, ranges[nth][0])
+            if ranges[nth][1] > end:
+                break
+            nth += 1
+        at = end
+        if not line.strip():
+            kept.append(line)
+            continue
+        failed = next((name for name, rule in LINE_RULES.items() if rule.fullmatch(line)), "repetition" if repeated else None)
+        counts["n_lines"] += 1
+        counts["n_words"] += len(own)
+        counts["n_repeated"] += repeated
+        counts["words_repeating"] += len(own) if repeated else 0
+        if failed:
+            counts[f"by_{failed}"] += 1
+            counts["words_lost"] += len(own)
+        else:
+            kept.append(line)
+    return counts, kept
+
+
+def line_verdicts(text: Column, run: int = 5, with_cleaned: bool = False) -> Column:
+    """STRUCT of the counts of ``judge_lines`` and, if asked for, the text without failing lines. Null text counts as empty."""
+    names = [*_COUNTS, *(["cleaned"] if with_cleaned else [])]
+    kind = T.StructType([T.StructField(n, T.StringType() if n == "cleaned" else T.LongType()) for n in names])
 
     @F.arrow_udf(kind)
-    def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            n, k = [], []
+            columns: dict[str, list] = {n: [] for n in names}
             for x in batch:
-                tokens = words(x.as_py() or "")
-                n.append(len(tokens))
-                k.append(repeated_words(tokens, run))
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64())], ["n_words", "n_repeated"])
+                counts, kept = judge_lines(x.as_py() or "", run)
+                for n, v in counts.items():
+                    columns[n].append(v)
+                if with_cleaned:
+                    columns["cleaned"].append("\n".join(kept))
+            yield pa.StructArray.from_arrays([pa.array(v, pa.string() if n == "cleaned" else pa.int64()) for n, v in columns.items()], names)
 
-    return measure(text)
+    return judge(text)
 
 
 def repeated_share(df: DataFrame, key: str = "doc_id", text: str = "text", run: int = 5) -> DataFrame:
@@ -79,51 +154,27 @@ def repeated_share(df: DataFrame, key: str = "doc_id", text: str = "text", run:
 
     Every row of ``df`` gives a row, repeated keys too. Narrow: no shuffle.
     """
-    measured = df.select(F.col(f"`{key}`").alias(key), repetition(F.col(f"`{text}`"), run).alias("_m"))
-    return measured.select(key, "_m.n_words", "_m.n_repeated", F.coalesce(F.try_divide("_m.n_repeated", "_m.n_words"), F.lit(0.0)).alias("repeated_share"))
+    judged = df.select(F.col(f"`{key}`").alias(key), line_verdicts(F.col(f"`{text}`"), run).alias("_m"))
+    return judged.select(key, "_m.n_words", "_m.n_repeated", F.coalesce(F.try_divide("_m.n_repeated", "_m.n_words"), F.lit(0.0)).alias("repeated_share"))
 
 
 def repetitive_documents(df: DataFrame, key: str = "doc_id", text: str = "text", run: int = 5, least_words: int = 10, least_percent: int = 30) -> DataFrame:
-    """Keys of documents of ``least_words`` words or more of which ``least_percent`` per cent or more are repeated."""
-    shares = repeated_share(df, key, text, run)
-    return shares.filter((F.col("n_words") >= least_words) & (F.col("n_repeated") * 100 >= F.col("n_words") * least_percent)).select(key)
+    """Keys of documents of ``least_words`` words or more that are rejected for repetition.
 
+    A document is a candidate if its lines that repeat hold ``least_percent`` per cent or more of its words, and
+    is rejected if its repeated words alone do.
+    """
+    judged = df.select(F.col(f"`{key}`").alias(key), line_verdicts(F.col(f"`{text}`"), run).alias("_m")).select(key, "_m.*")
+    candidates = judged.filter((F.col("n_words") >= least_words) & (F.col("words_repeating") * 100 >= F.col("n_words") * least_percent))
+    return candidates.filter(F.col("n_repeated") * 100 >= F.col("n_words") * least_percent).select(key)
 
-def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text", most_lost_percent: int = 50) -> DataFrame:
-    """Line-first cleaning: rules per line, failing lines removed, documents that lose too much rejected.
 
-    A line fails if it (a) holds no letter or digit but is not blank (punctuation), (b) looks like
-    navigation (a few short segments between ``|``, ``>`` or ``»``), (c) is boilerplate (markup tags or
-    a service phrase alone), or (d) repeats, apart from case, spacing and punctuation, an earlier line
-    of the document. Blank lines neither fail nor count. Result: ``key``, n_lines, n_failed, chars,
-    chars_lost, rejected, cleaned (null where rejected). Null text is a document without lines.
-    """
-    kind = T.StructType([T.StructField(n, t) for n, t in (("n_lines", T.LongType()), ("n_failed", T.LongType()), ("chars", T.LongType()), ("chars_lost", T.LongType()), ("cleaned", T.StringType()))])
+def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text", run: int = 5, most_lost_percent: int = 30) -> DataFrame:
+    """Line-first cleaning: ``key``, counts of lines, words and failing lines by rule, words_lost, rejected, cleaned.
 
-    @F.arrow_udf(kind)
-    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        plain = re.compile(r"[\W_]+")
-        navigation = re.compile(r"\s*\w[\w ]{0,20}(?:\s*[|>»]\s*\w[\w ]{0,20}){2,}\s*")
-        boilerplate = re.compile(r"(?:\s*<[^<>]*>\s*)+|\W*(?:all rights reserved|cookie policy|privacy policy|terms of use|sign in|log in|read more|share this)\W*", re.I)
-        for batch in batches:
-            rows = []
-            for x in batch:
-                kept, seen, failed, chars, lost, n = [], set(), 0, 0, 0, 0
-                for line in (x.as_py() or "").splitlines():
-                    if not line.strip():
-                        kept.append(line)
-                        continue
-                    form = plain.sub(" ", line).strip().lower()
-                    bad = not form or form in seen or navigation.fullmatch(line) or boilerplate.fullmatch(line)
-                    seen.add(form)
-                    n, chars = n + 1, chars + len(line)
-                    if bad:
-                        failed, lost = failed + 1, lost + len(line)
-                    else:
-                        kept.append(line)
-                rows.append({"n_lines": n, "n_failed": failed, "chars": chars, "chars_lost": lost, "cleaned": "\n".join(kept)})
-            yield pa.array(rows, pa.struct([("n_lines", pa.int64()), ("n_failed", pa.int64()), ("chars", pa.int64()), ("chars_lost", pa.int64()), ("cleaned", pa.string())]))
-
-    done = df.select(F.col(f"`{key}`").alias(key), clean(F.col(f"`{text}`")).alias("_c"))
-    rejected = F.col("_c.chars_lost") * 100 > F.col("_c.chars") * most_lost_percent
-    return done.select(key, "_c.n_lines", "_c.n_failed", "_c.chars", "_c.chars_lost", rejected.alias("rejected"), F.when(~rejected, F.col("_c.cleaned")).alias("cleaned"))
+    A document that loses ``most_lost_percent`` per cent of its words or more is rejected and its cleaned text is null. One
+    without words loses nothing; null text is a document without lines. Every row of ``df`` gives a row.
+    """
+    done = df.select(F.col(f"`{key}`").alias(key), line_verdicts(F.col(f"`{text}`"), run, True).alias("_c")).select(key, "_c.*")
+    rejected = (F.col("n_words") > 0) & (F.col("words_lost") * 100 >= F.col("n_words") * most_lost_percent)
+    return done.withColumn("rejected", rejected).withColumn("cleaned", F.when(~F.col("rejected"), F.col("cleaned"))).drop("words_repeating")

@@ -33,9 +33,23 @@ def with_cells(df: DataFrame) -> DataFrame:
     return df.withColumns({"question_type": tidy(F.col("question_type")), "subtype": tidy(F.col("subtype"))})
 
 
+def held_floors(floors: list[int], available: list[int], size: int) -> list[int]:
+    """Floors a sample of ``size`` rows can hold: no more than a cell has and, if all together exceed the sample, shares of it
+    in proportion (largest remainders first, then the order of cells)."""
+    held = [min(f, a) for f, a in zip(floors, available)]
+    total = sum(held)
+    if total <= size:
+        return held
+    shares = [h * size // total for h in held]
+    by_remainder = sorted(range(len(held)), key=lambda i: (-(held[i] * size % total), i))
+    for i in by_remainder[: size - sum(shares)]:
+        shares[i] += 1
+    return shares
+
+
 def start_sample(available: list[int], floors: list[int], size: int, draw: random.Random) -> list[int]:
-    """Rows per cell of a random sample that holds the floors where the cells can."""
-    taken = [min(a, f) for a, f in zip(available, floors)]
+    """Rows per cell of a random sample of ``size`` rows (or all, if there are fewer) that holds ``floors``."""
+    taken = list(floors)
     left = size - sum(taken)
     rest = [a - t for a, t in zip(available, taken)]
     for i in sorted(range(len(rest)), key=lambda _: draw.random()):
@@ -58,34 +72,39 @@ def start_sample(available: list[int], floors: list[int], size: int, draw: rando
 def swap_repair(taken: list[int], wanted: list[int], floors: list[int], available: list[int]) -> list[int]:
     """Exchange rows between cells while that lowers the sum of |taken - wanted|.
 
-    An exchange gives rows of a cell above its target to one below it, as many as both bear; floors stay
+    An exchange gives rows of a cell above its target to one below it, as many as both bear; ``floors`` stay
     held. It ends when no exchange improves, after at most one exchange per cell and side.
     """
     taken = list(taken)
-    over = [i for i in range(len(taken)) if taken[i] > max(wanted[i], min(floors[i], available[i]))]
-    under = [i for i in range(len(taken)) if taken[i] < min(wanted[i], available[i])]
+    keep = [max(w, f) for w, f in zip(wanted, floors)]
+    goal = [min(w, a) for w, a in zip(wanted, available)]
+    over = [i for i in range(len(taken)) if taken[i] > keep[i]]
+    under = [i for i in range(len(taken)) if taken[i] < goal[i]]
     while over and under:
         i, j = over[-1], under[-1]
-        n = min(taken[i] - max(wanted[i], min(floors[i], available[i])), min(wanted[j], available[j]) - taken[j])
+        n = min(taken[i] - keep[i], goal[j] - taken[j])
         taken[i] -= n
         taken[j] += n
-        if taken[i] <= max(wanted[i], min(floors[i], available[i])):
+        if taken[i] <= keep[i]:
             over.pop()
-        if taken[j] >= min(wanted[j], available[j]):
+        if taken[j] >= goal[j]:
             under.pop()
     return taken
 
 
 def sample_plan(items: DataFrame, targets: DataFrame, one_in: int = 5, seed: int = 11) -> DataFrame:
-    """Per target cell: available rows, wanted rows, floor, planned rows, and whether it can be met.
-
-    The sample has floor(rows / ``one_in``) rows. A cell wants floor(target_bp * size / 10000) rows; it is
-    unmet if it has fewer rows than that or than min_rows. Names of both tables are tidied; every row
-    counts, repeated ones too; a null in a cell matches a null. One aggregation, combined before its
-    shuffle; at most MOST_CELLS counts reach the driver.
+    """Per target cell: rows available, wanted and planned, the floor, and whether and why the plan falls short.
+
+    The sample has floor(rows / ``one_in``) rows, or all rows of target cells if they are fewer. A cell wants
+    floor(target_bp * size / 10000) rows and is due the larger of that and min_rows. The plan starts from a random sample
+    that holds the floors, as far as cells and sample can, and repairs it by exchanges towards what is due.
+    ``short`` says why less than that is planned: ``rows`` if the cell has fewer, ``size`` if the sample has no
+    room (floors that exceed it are scaled down in proportion), null if all is planned (``met``). Names of both
+    tables are tidied; every row counts, repeated ones too; a null in a cell matches a null. One aggregation,
+    combined before its shuffle; at most MOST_CELLS counts reach the driver.
     """
     cells = with_cells(targets).groupBy(*CELL).agg(F.coalesce(F.max("target_bp"), F.lit(0)).alias("target_bp"), F.coalesce(F.max("min_rows"), F.lit(0)).alias("min_rows"))
-    goals = cells.limit(MOST_CELLS + 1).collect()
+    goals = cells.orderBy(*CELL).limit(MOST_CELLS + 1).collect()
     if len(goals) > MOST_CELLS:
         raise ValueError(f"more than {MOST_CELLS} target cells")
     spark = items.sparkSession
@@ -96,17 +115,26 @@ def sample_plan(items: DataFrame, targets: DataFrame, one_in: int = 5, seed: int
     size = items.count() // one_in
     available = [found.get(i, 0) for i in range(len(goals))]
     wanted = [r.target_bp * size // 10000 for r in goals]
-    floors = [r.min_rows for r in goals]
-    draw = random.Random(seed)
-    planned = swap_repair(start_sample(available, floors, min(size, sum(available)), draw), wanted, floors, available)
-    rows = [(r.question_type, r.subtype, r.difficulty, r.target_bp, r.min_rows, w, a, p, a >= max(r.min_rows, w)) for r, w, a, p in zip(goals, wanted, available, planned)]
-    kind = "question_type string, subtype string, difficulty int, target_bp int, min_rows int, wanted bigint, available bigint, planned bigint, met boolean"
+    due = [max(w, r.min_rows) for w, r in zip(wanted, goals)]
+    planned = plan_rows(available, wanted, [r.min_rows for r in goals], size, random.Random(seed))
+    rows = []
+    for r, w, a, d, p in zip(goals, wanted, available, due, planned):
+        short = None if p >= d else "rows" if a < d else "size"
+        rows.append((r.question_type, r.subtype, r.difficulty, r.target_bp, r.min_rows, w, a, p, short is None, short))
+    kind = "question_type string, subtype string, difficulty int, target_bp int, min_rows int, wanted bigint, available bigint, planned bigint, met boolean, short string"
     return spark.createDataFrame(rows, kind)
 
 
+def plan_rows(available: list[int], wanted: list[int], floors: list[int], size: int, draw: random.Random) -> list[int]:
+    """Planned rows per cell; they sum to ``size`` or to all rows there are."""
+    held = held_floors(floors, available, size)
+    start = start_sample(available, held, min(size, sum(available)), draw)
+    return swap_repair(start, [max(w, h) for w, h in zip(wanted, held)], held, available)
+
+
 def unmet_cells(items: DataFrame, targets: DataFrame, one_in: int = 5) -> DataFrame:
-    """Cells whose target or minimum the items cannot fill."""
-    return sample_plan(items, targets, one_in).filter(~F.col("met")).select(*CELL)
+    """Cells of which the plan, after all exchanges, takes fewer rows than are due because the items have no more."""
+    return sample_plan(items, targets, one_in).filter("planned < greatest(wanted, min_rows) and short = 'rows'").select(*CELL)
 
 
 def draw_sample(items: DataFrame, targets: DataFrame, one_in: int = 5, seed: int = 11, ident: str = "item_ord") -> DataFrame:

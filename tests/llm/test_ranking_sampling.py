@@ -79,6 +79,7 @@ def test_swap_repair_reaches_what_is_reachable():
         wanted = [rng.randint(0, 15) for _ in range(n)]
         floors = [rng.randint(0, 3) for _ in range(n)]
         size = min(sum(wanted), sum(available))
+        floors = sp.held_floors(floors, available, size)
         start = sp.start_sample(available, floors, size, rng)
         done = sp.swap_repair(start, wanted, floors, available)
         assert sum(start) == sum(done) and all(0 <= d <= a for d, a in zip(done, available))
@@ -93,6 +94,29 @@ def test_swap_repair_reaches_what_is_reachable():
                     assert deviation(moved) >= deviation(done)
 
 
+def test_floors_beyond_the_sample_are_shared_out():
+    assert sp.held_floors([30, 30], [50, 50], 20) == [10, 10] and sp.held_floors([30, 3, 9], [50, 2, 50], 10) == [7, 1, 2]
+    rng = random.Random(2)
+    for _ in range(300):
+        n = rng.randint(1, 8)
+        available, floors = [rng.randint(0, 30) for _ in range(n)], [rng.randint(0, 40) for _ in range(n)]
+        wanted, size = [rng.randint(0, 15) for _ in range(n)], rng.randint(0, 60)
+        done = sp.plan_rows(available, wanted, floors, size, rng)
+        assert sum(done) == min(size, sum(available)) and all(0 <= d <= a for d, a in zip(done, available))
+        held = sp.held_floors(floors, available, size)
+        assert all(d >= h for d, h in zip(done, held)) and (sum(held) == size or held == [min(f, a) for f, a in zip(floors, available)])
+
+
+def test_plan_reports_what_is_short(spark):
+    df = items(spark, [(i, "a", "b" if i < 50 else "c", 1, 0) for i in range(100)])
+    targets = spark.createDataFrame([("a", "b", 1, 5000, 30), ("a", "c", 1, 5000, 30)], "question_type string, subtype string, difficulty int, target_bp int, min_rows int")
+    plan = sp.sample_plan(df, targets).collect()
+    assert [(r.planned, r.met, r.short) for r in plan] == [(10, False, "size")] * 2
+    assert sp.unmet_cells(df, targets).collect() == [] and sp.draw_sample(df, targets).count() == 20
+    more = targets.union(spark.createDataFrame([("a", "d", 1, 0, 1)], targets.schema))
+    assert [tuple(r) for r in sp.unmet_cells(df, more).collect()] == [("a", "d", 1)]
+
+
 def items(spark, rows):
     return spark.createDataFrame(rows, "item_ord bigint, question_type string, subtype string, difficulty int, planned int")
 

@@ -132,7 +132,18 @@ def brute(tokens, run=5):
 def test_repeated_words_equal_brute_force(tokens):
     assert rp.repeated_words(tokens) == brute(tokens)
     if len(tokens) > 5:
-        assert rp._repeated_by_sorting(tokens, 5) == brute(tokens)
+        assert rp._covered_by_sorting(tokens, 5) == rp.covered_words(tokens)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "\n", " \n", "-\n"]), max_size=80))
+def test_lines_share_out_what_repeats(parts):
+    text = " ".join(parts)
+    counts, kept = rp.judge_lines(text)
+    tokens = rp.words(text)
+    assert (counts["n_words"], counts["n_repeated"]) == (len(tokens), brute(tokens))
+    assert counts["n_repeated"] <= counts["words_repeating"] <= counts["words_lost"] <= counts["n_words"]
+    assert sum(len(rp.words(line)) for line in kept) == counts["n_words"] - counts["words_lost"]
 
 
 def test_repetitive_documents(spark):
@@ -145,10 +156,29 @@ def test_repetitive_documents(spark):
     assert rp.repetitive_documents(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("line", "rule"),
+    [
+        ("-----", "punctuation"), ("* * *", "punctuation"), ("___", "punctuation"), ("- 5 -", None),
+        ("Home | About | Contact", "navigation"), ("Start > Guides > Verbs", "navigation"), ("Next", "navigation"), ("« Previous", "navigation"), ("Page 3 of 12", "navigation"),
+        ("3 / 12", "navigation"), ("a | b", None), ("Next we turn to verbs.", None), ("|x| > 3 and so it follows that the left side is larger | than the right", None),
+        ("<div><br/></div>", "boilerplate"), ("© 2019 Some House", "boilerplate"), ("All rights reserved.", "boilerplate"), ("Privacy Policy", "boilerplate"),
+        ("Subscribe to our newsletter!", "boilerplate"), ("Lorem ipsum dolor sit amet", "boilerplate"), ("The privacy policy was written in haste.", None), ("<b>bold</b> word", None),
+    ],
+)
+def test_line_rules(line, rule):
+    counts, kept = rp.judge_lines(line)
+    assert [n for n in rp.LINE_RULES if counts[f"by_{n}"]] == ([rule] if rule else []) and kept == ([] if rule else [line])
+
+
 def test_clean_lines(spark):
-    rows = [(1, "Keep this line.\n-----\nHome | About | Contact\nkeep THIS line\nAnother one."), (2, "***\n***\nshort"), (3, None), (4, "All rights reserved\n<p></p>")]
+    again = "we keep the same five words here"
+    rows = [(1, f"Keep this line.\n-----\nHome | About | Contact\n\n{again}\r\nAnother one.\n{again}"), (2, "***\n***\nshort"), (3, None), (4, "All rights reserved\n<p></p>"), (5, "---")]
     got = {r.doc_id: r for r in rp.clean_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert got[1].n_lines == 5 and got[1].n_failed == 3 and got[1].rejected
-    assert got[2].n_failed == 2 and got[2].rejected and got[2].cleaned is None
+    assert (got[1].n_lines, got[1].by_punctuation, got[1].by_navigation, got[1].by_repetition, got[1].words_lost) == (6, 1, 1, 1, 10) and got[1].rejected
+    kept = {r.doc_id: r for r in rp.clean_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), most_lost_percent=60).collect()}
+    assert kept[1].cleaned == f"Keep this line.\n\n{again}\nAnother one."
+    assert got[2].by_punctuation == 2 and not got[2].rejected and got[2].cleaned == "short"
     assert got[3].n_lines == 0 and not got[3].rejected and got[3].cleaned == ""
-    assert got[4].n_failed == 2
+    assert got[4].by_boilerplate == 2 and got[4].rejected and got[4].cleaned is None
+    assert not got[5].rejected and got[5].cleaned == ""
