@@ -1,11 +1,19 @@
 """Text cut off by field limits or in transfer.
 
-Three kinds of evidence are put together for each text. (1) Its ending: an open JSON value, a broken
-word or sentence, or a complete end, after anything that was put behind a cut (ellipsis marks, closing
-fences, quotes and brackets that close a JSON value) has been taken off. (2) The lengths of its source: a right-censored log-normal distribution is
-fitted by maximum likelihood, broken texts being the censored ones, and gives the number of texts that
-would end at a given length by themselves. (3) At lengths that occur far more often than that, the
-posterior probability that a text of that length was censored there.
+Each text of a source is whole, cut at a limit, or cut in transfer at any place. Two things are seen of it: its
+ending (an open JSON value, a broken word or sentence, or a complete end, after anything that was put behind a cut
+has been taken off) and its length. Per source a mixture is fitted by maximum likelihood (EM):
+
+* lengths of whole texts are log-normal, the cut ones being right-censored at their length;
+* cuts in transfer hit a text at any place before its end, so their lengths follow the survival function of whole lengths;
+* cuts at a limit have a length at which texts pile up far beyond what the distribution of lengths explains;
+* prose without the end of a sentence is cut, unless the source writes like that: if such texts have lengths of their
+  own, far more alike than cuts in transfer leave them, they are a fourth part, ``plain`` whole texts;
+* how often each part shows which ending is fitted too, from beliefs worth a few texts.
+
+The posterior of a text joins its ending and its length. Two things are not fitted: an open value or a mark behind a
+broken end is a cut, and a closed value, sentence or label is none, even at a limit, but for misread endings.
+Between them, prose without an end and ends in three dots, the fit decides.
 """
 
 from __future__ import annotations
@@ -25,26 +33,36 @@ from pyspark.sql import types as T
 from examsift.operators.sizing import broadcast_if_small
 from examsift.runtime import cut_lineage
 
-#: Log-likelihood ratios (cut against complete) of the endings, as natural logarithms.
-EVIDENCE = {
-    "value": 12.0,  # stops inside a JSON value: a complete text hardly ever does
-    "word": 9.0,  # prose that stops without the end of a sentence
-    "string": 9.0,  # a JSON value that closes right behind a broken string: closers were put behind the cut
-    "closed": -12.0,  # a closed JSON value, alone or fenced
-    "trailing": 2.0,  # prose that ends in three dots: a mark of a cut, or a way of writing
-    "sentence": -8.0,  # prose that ends like a sentence, even at a limit
-    "label": -6.0,  # a bare answer label
-    "empty": -20.0,
-}
-#: Kinds that count as censored.
+#: The parts of the mixture, in order.
+PARTS = ["whole", "plain", "limit", "transfer"]
+#: Beliefs, in texts, about the endings of each part; ``+`` is a mark (an ellipsis, say) behind a broken end.
+#: ``trailing`` are three dots right behind a word: a mark of a cut at a limit, or a way of writing.
+BELIEFS = [
+    {"closed": 40.0, "sentence": 40.0, "label": 12.0, "trailing": 5.0, "empty": 2.0},
+    {"word": 1.0},
+    {"value": 4.0, "word": 4.0, "string": 1.0, "value+": 1.0, "word+": 1.0, "string+": 0.5, "trailing": 1.0},
+    {"value": 5.0, "word": 5.0, "string": 1.0, "value+": 0.2, "word+": 0.2, "string+": 0.2},
+]
+#: Shares of endings that a part shows by mistake; kept, not fitted.
+MISREAD = [
+    {"word": 1e-4, "value": 1e-6, "string": 1e-6, "word+": 1e-6, "value+": 1e-6, "string+": 1e-6},
+    {},
+    {"sentence": 1e-6, "label": 1e-6, "closed": 1e-6, "empty": 1e-9},
+    {"sentence": 1e-6, "label": 1e-6, "closed": 1e-6, "empty": 1e-9, "trailing": 1e-3},
+]
+ENDS = ["closed", "sentence", "label", "trailing", "empty", "word", "string", "value", "word+", "string+", "value+"]
+#: Texts in a hundred that are believed to be cut before any is seen, and the least share of cuts a source is credited with.
+BELIEVED, LEAST_SHARE = 1.0, 0.002
+#: Texts without an end that a source needs at least to have a plain part, and the gain in log-likelihood each brings then on average.
+LEAST_PLAIN, GAIN = 20, 1.0
+#: Kinds that count as censored at the start.
 BROKEN_ENDS = ("value", "word", "string")
-#: Weight of a mark such as an ellipsis behind an end that is not complete.
-MARK = 2.0
 #: A length is a candidate limit if it has at least LEAST texts and TIMES as many as expected and as its neighbours have.
 LEAST, TIMES = 8, 5.0
 #: Share of broken ends, or of ends in three dots, that a candidate limit shows at least; lengths of set phrases show next to none.
 BROKEN = 0.2
-#: Lengths up to EXACT are counted singly, longer ones in bins of one part in 200, so a source has a bounded number of bins.
+#: Lengths up to EXACT are counted singly, and longer ones where texts pile up; other longer ones in bins of one part
+#: in 200, so a source has a bounded number of bins.
 EXACT = 8192
 
 #: Characters at the end of a text in which marks and labels are looked for.
@@ -78,15 +96,19 @@ def ending(text: str) -> tuple[str, bool, int]:
     mark = MARKS.search(tail)
     if TRAILING.search(tail):
         mark = None
+    size = len(text)
     if mark and not SENTENCE.search(tail[: mark.start()].rstrip()[-16:]):
         content, marked = text[: len(text) - len(tail) + mark.start()], True
+        # white space before a mark was cut with the text, but for the one space that leads a mark in brackets
+        sign = mark[0].lstrip()
+        size = len(content) + max(0, len(mark[0]) - len(sign) - (sign[0] in "[(<"))
     else:
         content, marked = text, False
     kind = _kind(content.strip())
     if kind == "closed" and (inside := _last_string(content)):
         return inside
     # three dots may stand behind a cut: the length is looked up without them
-    return kind, marked, len(DOTS.sub("", content)) if kind == "trailing" else len(content)
+    return kind, marked, len(DOTS.sub("", content)) if kind == "trailing" else size
 
 
 def _last_string(content: str) -> tuple[str, bool, int] | None:
@@ -201,55 +223,161 @@ def fit_censored(lengths: np.ndarray, weights: np.ndarray, censored: np.ndarray)
     return mu, sigma
 
 
-def _limits(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one source's counts by length: the fit, the rate of broken ends elsewhere, and the candidate limits."""
-    lengths, counts, broken, maybe = (group[c].to_numpy(float) for c in ("n_chars", "n", "n_broken", "n_maybe"))
-    x = np.concatenate([lengths, lengths])
-    w = np.concatenate([counts - broken, broken])
-    censored = np.repeat([False, True], len(lengths))
-    keep = w > 0
-    mu, sigma = fit_censored(x[keep], w[keep], censored[keep])
-    order = np.argsort(lengths)
-    lengths, counts, broken, maybe, peak = lengths[order], counts[order], broken[order], maybe[order], group["peak"].to_numpy(float)[order]
-    total = counts.sum()
-    density = np.exp(-(((np.log(np.maximum(peak, 1)) - mu) / sigma) ** 2) / 2) / (np.maximum(peak, 1) * sigma * math.sqrt(2 * math.pi))
-    expected = total * density
-    cells, posteriors = [], []
-    for i in np.flatnonzero((counts >= LEAST) & (broken + maybe >= BROKEN * counts) & (counts >= TIMES * expected)):
+def _survival(z: np.ndarray) -> np.ndarray:
+    """Share of a standard normal above ``z``."""
+    return np.maximum(np.vectorize(math.erfc, otypes=[float])(z / math.sqrt(2)) / 2, 1e-300)
+
+
+def _candidates(lengths: np.ndarray, counts: np.ndarray, broken: np.ndarray, width: np.ndarray, mu: float, sigma: float) -> list[int]:
+    """Lengths at which texts, broken ones among them, pile up beyond the distribution and their neighbours."""
+    y = np.log(np.maximum(lengths, 1))
+    expected = counts.sum() * np.exp(-(((y - mu) / sigma) ** 2) / 2) / (np.maximum(lengths, 1) * sigma * math.sqrt(2 * math.pi))
+    found = []
+    for i in np.flatnonzero((width == 1) & (counts >= LEAST) & (broken >= BROKEN * counts) & (counts >= TIMES * expected)):
         near = (np.abs(lengths - lengths[i]) <= 25) & (lengths != lengths[i])
-        around = counts[near].sum() / 50
-        if counts[i] >= TIMES * max(around, 0.2):
-            cells.append(int(peak[i]))
-            posteriors.append(float(min(0.999, max(0.0, 1 - max(expected[i], around) / counts[i]))))
-    elsewhere = ~np.isin(peak, cells)
-    base = (broken[elsewhere].sum() + 1) / (counts[elsewhere].sum() + 100)
-    head = group.iloc[0]
-    return pd.DataFrame([{"tbl": head["tbl"], "source": head["source"], "mu": mu, "sigma": sigma, "base": float(base), "limits": cells, "posteriors": posteriors}])
+        beside = np.zeros(10)  # the five lengths on each side
+        close = np.flatnonzero((np.abs(lengths - lengths[i]) <= 5) & near)
+        beside[: len(close)] = counts[close]
+        if counts[i] >= TIMES * max(counts[near].sum() / np.maximum(50, width[near].sum()), float(np.median(beside)), 0.2):
+            found.append(int(lengths[i]))
+    return found
+
+
+def fit_source(ends: np.ndarray, lengths: np.ndarray, counts: np.ndarray, width: np.ndarray) -> dict:
+    """The mixture of one source from counts by (number of ending, length): shares, log-normal, limits with their weights, shares of endings."""
+    names = np.array(ENDS)[ends]
+    broken = np.array([n.rstrip("+") in BROKEN_ENDS for n in names.tolist()])
+    mu, sigma = fit_censored(lengths, counts, broken)
+    at, where = np.unique(lengths, return_inverse=True)
+    may = broken | (names == "trailing")
+    limits = _candidates(at, np.bincount(where, counts), np.bincount(where, counts * may), np.maximum.reduceat(width[np.argsort(where, kind="stable")], np.searchsorted(np.sort(where), np.arange(len(at)))), mu, sigma)
+    place = np.array([limits.index(x) if x in set(limits) else -1 for x in lengths.tolist()])
+
+    def shares(belief: dict[str, float], fitted: np.ndarray) -> np.ndarray:
+        fixed = np.array([0.0 if e in belief else MISREAD.get(e, 0.0) for e in ENDS])
+        free = np.array([belief.get(e, 0.0) for e in ENDS]) + np.where(fixed > 0, 0.0, fitted)
+        return fixed + free / free.sum() * (1 - fixed.sum())
+
+    def shares(part: int, fitted: np.ndarray) -> np.ndarray:
+        fixed = np.array([MISREAD[part].get(e, 0.0) for e in ENDS])
+        free = np.array([BELIEFS[part].get(e, 0.0) for e in ENDS]) + np.where([e in BELIEFS[part] for e in ENDS], fitted, 0.0)
+        return fixed + free / free.sum() * (1 - fixed.sum())
+
+    def log_normal(mu: float, sigma: float) -> np.ndarray:
+        return np.exp(-(((y - mu) / sigma) ** 2) / 2) / (np.maximum(lengths, 1.0) * sigma * math.sqrt(2 * math.pi))
+
+    def in_transfer(mu: float, sigma: float) -> np.ndarray:
+        return _survival((y - mu) / sigma) / math.exp(min(50.0, mu + sigma * sigma / 2))
+
+    y, total = np.log(np.maximum(lengths, 1.0)), counts.sum()
+    theta = [shares(k, np.zeros(len(ENDS))) for k in range(len(PARTS))]
+    weights = np.full(len(limits), 1.0 / max(1, len(limits)))
+    plain_mu = plain_sigma = 1.0
+    open_prose = (names == "word") & (place < 0)
+    has_plain = counts[open_prose].sum() >= LEAST_PLAIN
+    if has_plain:
+        n = counts[open_prose]
+        plain_mu = float(np.average(y[open_prose], weights=n))
+        plain_sigma = max(0.05, float(np.sqrt(np.average((y[open_prose] - plain_mu) ** 2, weights=n))))
+        gain = np.log(np.maximum(log_normal(plain_mu, plain_sigma), 1e-300)) - np.log(np.maximum(in_transfer(mu, sigma), 1e-300))
+        has_plain = float(np.average(gain[open_prose], weights=n)) > GAIN
+    cut = counts[broken].sum()
+    mix = np.array([max(1.0, total - cut), cut / 2 if has_plain else 0.0, cut / 2 + BELIEVED, cut / 2 + BELIEVED])
+    mix /= mix.sum()
+    for _ in range(12):
+        at_limit = np.where(place >= 0, weights[place] if len(weights) else 0.0, 0.0)
+        density = [log_normal(mu, sigma), log_normal(plain_mu, plain_sigma), at_limit, in_transfer(mu, sigma)]
+        like = np.stack([m * d * t[ends] for m, d, t in zip(mix, density, theta)])
+        resp = like / np.maximum(like.sum(axis=0), 1e-300) * counts
+        mix = resp.sum(axis=1) + np.array([100.0, 0.0, BELIEVED, BELIEVED])
+        mix /= mix.sum()
+        mix[2:] = np.maximum(mix[2:], LEAST_SHARE)
+        mix /= mix.sum()
+        theta = [shares(k, np.bincount(ends, r, len(ENDS))) for k, r in enumerate(resp)]
+        if len(limits):
+            weights = np.bincount(place[place >= 0], resp[2][place >= 0], len(limits)) + 0.5
+            weights /= weights.sum()
+        if has_plain and resp[1].sum() > 1:
+            plain_mu = float(np.average(y, weights=resp[1]))
+            plain_sigma = max(0.05, float(np.sqrt(np.average((y - plain_mu) ** 2, weights=resp[1]))))
+        worth = np.concatenate([resp[0], resp[2] + resp[3]])
+        keep = worth > 1e-6
+        if keep.any():
+            mu, sigma = fit_censored(np.concatenate([lengths, lengths])[keep], worth[keep], np.repeat([False, True], len(lengths))[keep])
+    return {"mu": mu, "sigma": sigma, "plain_mu": plain_mu, "plain_sigma": plain_sigma, "mix": mix.tolist(), "theta": [t.tolist() for t in theta], "limits": limits, "weights": weights.tolist()}
+
+
+_FIT = "mu double, sigma double, plain_mu double, plain_sigma double, mix array<double>, theta array<array<double>>, limits array<bigint>, weights array<double>"
+
+
+def _fit_group(group: pd.DataFrame) -> pd.DataFrame:
+    """Of one source's counts by ending and length."""
+    ends = group["end"].map({e: i for i, e in enumerate(ENDS)}).to_numpy(np.int64)
+    fit = fit_source(ends, group["cell"].to_numpy(float), group["n"].to_numpy(float), group["width"].to_numpy(float))
+    return pd.DataFrame([{"tbl": group["tbl"].iloc[0], "source": group["source"].iloc[0], **fit}])
+
+
+def _counts(seen: DataFrame) -> DataFrame:
+    """(tbl, source, end, cell, width, n): texts by ending and length; ``width`` is the number of lengths a cell stands for."""
+    end = F.concat("kind", F.when(F.col("marked") & F.col("kind").isin(*BROKEN_ENDS), "+").otherwise(""))
+    single = cut_lineage(seen.filter("n_chars > 0").groupBy("tbl", "source", end.alias("end"), "n_chars").agg(F.count(F.lit(1)).alias("n")))
+    whole = single.withColumns({"cell": F.col("n_chars"), "width": F.lit(1).cast("long")})
+    if (single.agg(F.max("n_chars")).first()[0] or 0) > EXACT:
+        step = F.round(F.log(F.col("n_chars") / F.lit(EXACT)) * 200) / 200
+        binned = whole.withColumn("_bin", F.when(F.col("n_chars") > EXACT, step))
+        wide = F.greatest(F.lit(1.0), F.lit(EXACT / 200) * F.exp("_bin"))
+        same = F.col("tbl").eqNullSafe(F.col("_t")) & F.col("source").eqNullSafe(F.col("_s"))
+        totals = binned.filter("_bin is not null").groupBy(F.col("tbl").alias("_t"), F.col("source").alias("_s"), F.col("_bin").alias("_b")).agg(F.sum("n").alias("_all"))
+        piled = binned.filter("_bin is not null").groupBy("tbl", "source", "n_chars", "_bin").agg(F.sum("n").alias("_at"))
+        piled = piled.join(totals, same & (F.col("_bin") == F.col("_b"))).filter((F.col("_at") >= LEAST) & (F.col("_at") * wide >= TIMES * F.col("_all")))
+        piled = piled.select(F.col("tbl").alias("_t"), F.col("source").alias("_s"), F.col("n_chars").alias("_c"), F.lit(True).alias("_piled"))
+        joined = binned.join(piled, same & (F.col("n_chars") == F.col("_c")), "left")
+        alone = F.col("_bin").isNull() | F.col("_piled")
+        whole = joined.withColumns({"cell": F.when(alone, F.col("n_chars")).otherwise(F.round(EXACT * F.exp("_bin")).cast("long")), "width": F.when(alone, 1).otherwise(F.ceil(wide)).cast("long")})
+    return whole.groupBy("tbl", "source", "end", "cell", "width").agg(F.sum("n").alias("n"))
+
+
+def _tail(z: Column) -> Column:
+    """Share of a standard normal above ``z``, to seven places (a rational approximation of the error function)."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    upper = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x) / 2
+    return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
 def judge_endings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (tbl, row_key, source, text): (tbl, row_key, source, kind, posterior, log_odds, truncated) of each text, and the fit of each source.
+    """From (tbl, row_key, source, text): (tbl, row_key, source, kind, posterior, log_odds, truncated, by_ending) of each text, and the fit of each source.
 
-    Texts are read once; what is written is a few bytes a row. The fit works on counts by (tbl,
-    source, length), combined before their shuffle, of bounded size per source. A null source is a
-    source of its own. Null texts are never truncated and count in no fit; empty ones are complete.
+    ``truncated`` is the judgement of ending and length together, ``by_ending`` that of the ending alone. Texts are read once;
+    what is written is a few bytes a row. The fit works on counts by (tbl, source, ending, length), combined before
+    their shuffle, of bounded size per source. A null source is a source of its own. Null texts are never truncated
+    and count in no fit; empty ones are complete.
     """
     seen = texts.select("tbl", "row_key", "source", endings(F.col("text")).alias("_e"))
     seen = cut_lineage(seen.select("tbl", "row_key", "source", "_e.kind", "_e.marked", "_e.n_chars"))
-    broken = F.col("kind").isin(*BROKEN_ENDS)
-    cell = F.when(F.col("n_chars") <= EXACT, F.col("n_chars")).otherwise((EXACT * F.exp(F.round(F.log(F.col("n_chars") / F.lit(EXACT)) * 200) / 200)).cast("long"))
-    single = seen.filter("n_chars > 0").groupBy("tbl", "source", cell.alias("cell"), "n_chars").agg(F.count(F.lit(1)).alias("n"), F.sum(broken.cast("long")).alias("n_broken"), F.sum((F.col("kind") == "trailing").cast("long")).alias("n_maybe"))
-    cells = single.groupBy("tbl", "source", F.col("cell").alias("n_chars")).agg(F.sum("n").alias("n"), F.sum("n_broken").alias("n_broken"), F.sum("n_maybe").alias("n_maybe"), F.max_by("n_chars", "n").alias("peak"))
-    kind = "tbl string, source string, mu double, sigma double, base double, limits array<bigint>, posteriors array<double>"
-    fits = cut_lineage(cells.groupBy("tbl", "source").applyInPandas(_limits, kind))
-    named = broadcast_if_small(fits.select(F.col("tbl").alias("_t"), F.col("source").alias("_s"), "base", F.map_from_arrays("limits", "posteriors").alias("at")))
+    fits = cut_lineage(_counts(seen).groupBy("tbl", "source").applyInPandas(_fit_group, f"tbl string, source string, {_FIT}"))
+    named = broadcast_if_small(fits.withColumnsRenamed({"tbl": "_t", "source": "_s"}))
     joined = seen.join(named, (F.col("tbl") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-    posterior = F.coalesce(F.try_element_at("at", F.col("n_chars")), F.col("base"), F.lit(0.01))
-    evidence = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in EVIDENCE.items() for x in pair]), F.col("kind")), F.lit(EVIDENCE["empty"]))
-    mark = F.when(F.col("marked") & F.col("kind").isin(*BROKEN_ENDS), MARK).otherwise(0.0)
-    odds = evidence + mark + F.log(F.col("posterior") / (1 - F.col("posterior")))
-    judged = joined.withColumn("posterior", posterior).withColumn("log_odds", odds)
-    return judged.select("tbl", "row_key", "source", "kind", "posterior", "log_odds", (F.col("log_odds") > 0).alias("truncated")), fits
+    end = F.concat("kind", F.when(F.col("marked") & F.col("kind").isin(*BROKEN_ENDS), "+").otherwise(""))
+    place = F.array_position(F.array(*map(F.lit, ENDS)), end).cast("int") - 1
+    size = F.greatest(F.col("n_chars"), F.lit(1))
+
+    def log_normal(mu: str, sigma: str) -> Column:
+        z = (F.log(size) - F.col(mu)) / F.col(sigma)
+        return F.exp(-z * z / 2) / (size * F.col(sigma) * math.sqrt(2 * math.pi))
+
+    lengths = {
+        "whole": log_normal("mu", "sigma"),
+        "plain": log_normal("plain_mu", "plain_sigma"),
+        "limit": F.coalesce(F.try_element_at(F.map_from_arrays("limits", "weights"), F.col("n_chars")), F.lit(0.0)),
+        "transfer": _tail((F.log(size) - F.col("mu")) / F.col("sigma")) / F.exp(F.least(F.lit(50.0), F.col("mu") + F.col("sigma") * F.col("sigma") / 2)),
+    }
+    parts = joined.withColumn("_end", place).withColumns({f"_s_{c}": F.get(F.get("theta", F.lit(i)), F.col("_end")) * F.get("mix", F.lit(i)) for i, c in enumerate(PARTS)})
+    parts = parts.withColumns({f"_{c}": F.col(f"_s_{c}") * d for c, d in lengths.items()} | {"_alone": F.col("_s_limit") + F.col("_s_transfer") - F.col("_s_whole") - F.col("_s_plain")})
+    cut, whole = F.col("_limit") + F.col("_transfer") + F.lit(1e-300), F.col("_whole") + F.col("_plain") + F.lit(1e-300)
+    counted = F.coalesce(F.col("kind") != "empty", F.lit(False))
+    judged = parts.withColumns({"posterior": F.when(counted, cut / (cut + whole)).otherwise(0.0), "log_odds": F.when(counted, F.log(cut / whole))})
+    return judged.select("tbl", "row_key", "source", "kind", "posterior", "log_odds", F.coalesce(counted & (F.col("log_odds") > 0), F.lit(False)).alias("truncated"), F.coalesce(counted & (F.col("_alone") > 0), F.lit(False)).alias("by_ending")), fits
 
 
 def generated_texts(raw_generations: DataFrame, solver_responses: DataFrame) -> DataFrame:
@@ -264,9 +392,10 @@ def truncated_rows(texts: DataFrame) -> DataFrame:
 
 
 def truncation_rates(texts: DataFrame) -> DataFrame:
-    """Per (tbl, source): texts, truncated texts and their rate, and the fit with its limits."""
+    """Per (tbl, source): texts, truncated texts and their rate, how many judgements the lengths changed, and the fit with its limits."""
     judged, fits = judge_endings(texts)
-    rates = judged.groupBy("tbl", "source").agg(F.count("kind").alias("texts"), F.sum(F.col("truncated").cast("long")).alias("truncated"))
+    changed = F.col("truncated") != F.col("by_ending")
+    rates = judged.groupBy("tbl", "source").agg(F.count("kind").alias("texts"), F.count_if("truncated").alias("truncated"), F.count_if(changed).alias("by_length"))
     rates = rates.withColumn("rate", F.coalesce(F.try_divide("truncated", "texts"), F.lit(0.0)))
     named = fits.select(F.col("tbl").alias("_t"), F.col("source").alias("_s"), "mu", "sigma", F.array_sort("limits").alias("limits"))
     return rates.join(named, (F.col("tbl") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_t", "_s")

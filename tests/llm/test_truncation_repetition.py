@@ -117,6 +117,56 @@ def test_truncated_rows_by_source(spark):
     assert rates["limited"].truncated == len(want) and rates["free"].truncated == 1 and rates[None].texts == 2
 
 
+def prose(rng, least, most):
+    return " ".join(rng.choice(["able", "birds", "carry", "dusty", "eggs"]) for _ in range(rng.randint(least, most)))
+
+
+@pytest.mark.parametrize("n", [500, 20_000])
+def test_one_cut_among_many_whole_texts_is_found(spark, n):
+    rng = random.Random(4)
+    rows = [("t", i, "clean", prose(rng, 8, 60) + ".") for i in range(n)] + [("t", -1, "clean", "The text stops in the middle of the senten")]
+    df = spark.createDataFrame(rows, "tbl string, row_key bigint, source string, text string").repartition(4)
+    assert [r.row_key for r in tr.truncated_rows(df).collect()] == [-1]
+
+
+def test_the_lengths_decide_where_a_source_writes_without_ends(spark):
+    """Titles have no end of a sentence; of texts without one only those at the limit are cut."""
+    rng = random.Random(9)
+    rows, want = [], set()
+    for i in range(1500):
+        if i % 3 == 0:
+            text = prose(rng, 5, 7)  # a title
+        else:
+            text = prose(rng, 20, 70) + "."
+            if len(text) > 240:
+                text = text[:240]
+                want.add(i)
+        rows.append(("t", i, "titles", text))
+    df = spark.createDataFrame(rows, "tbl string, row_key bigint, source string, text string")
+    assert {r.row_key for r in tr.truncated_rows(df).collect()} == want and len(want) > 100
+    judged = tr.judge_endings(df)[0]
+    assert {r.row_key for r in judged.filter("by_ending").collect()} != want
+    rates = tr.truncation_rates(df).first()
+    assert rates.limits == [240] and rates.by_length > 100 and rates.truncated == len(want)
+
+
+def test_piled_lengths_beyond_the_single_ones_are_limits(spark):
+    rng = random.Random(10)
+    rows = []
+    for i in range(400):
+        text = prose(rng, 100, 2800) + "."
+        limit = 9000 if i % 2 else 9001  # two limits in one bin
+        rows.append(("t", i, "far", text[:limit] if len(text) > limit else text))
+    df = spark.createDataFrame(rows, "tbl string, row_key bigint, source string, text string")
+    assert tr.truncation_rates(df).first().limits == [9000, 9001] and tr.EXACT < 9000
+    assert {r.row_key for r in tr.truncated_rows(df).collect()} == {i for _, i, _, t in rows if not t.endswith(".")}
+
+
+@pytest.mark.parametrize(("text", "length"), [('{"a": "cut in…', 13), ('{"a": "cut in …', 14), ('{"a": "cut in [...]', 13), ('{"a": "cut in  [...]', 14), ('{"a": "cut in', 13)])
+def test_length_without_the_mark(text, length):
+    assert tr.ending(text)[2] == length
+
+
 def test_no_texts(spark):
     df = spark.createDataFrame([], "tbl string, row_key bigint, source string, text string")
     assert tr.truncated_rows(df).collect() == [] and tr.truncation_rates(df).collect() == []
