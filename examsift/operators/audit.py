@@ -21,6 +21,30 @@ def quota(df: DataFrame, key: Column, expected: dict[str, int]) -> DataFrame:
     return counts.withColumn("holds", F.col("expected") == F.col("found"))
 
 
+# Profiles of whole sets, each a column of items and the number of items per value.
+PROFILES = {
+    "verbal set of 30": ("question_type", {"reading_comprehension": 15, "text_completion": 9, "sentence_equivalence": 6}),
+    "verbal reading": ("subtype", {"select_one": 10, "select_one_or_more": 3, "select_sentence": 2}),
+    "verbal completion": ("subtype", {"one_blank": 3, "two_blank": 3, "three_blank": 3}),
+    "law set of 30": ("question_type", {"logical_reasoning": 20, "reading_comprehension": 10}),
+    "law reasoning": ("subtype", {"strengthen": 4, "weaken": 4, "necessary_assumption": 3, "flaw": 3, "inference": 2, "method_of_reasoning": 2, "parallel_reasoning": 2}),
+    "law paper": ("question_type", {"logical_reasoning": 40, "reading_comprehension": 20}),
+    "management paper": ("section", {"quantitative": 21, "verbal": 23, "data insights": 20}),
+    "cognitive test": ("section", {"section 1": 10, "section 2": 10, "section 3": 10, "section 4": 10, "section 5": 10, "section 6": 10}),
+}
+
+
+def profile_quotas(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """(profile, value, expected, found, holds): the values each profile asks for; a column that items lack holds nothing."""
+    out = None
+    for name in names or PROFILES:
+        column, expected = PROFILES[name]
+        key = F.col(column) if column in df.columns else F.lit(None).cast("string")
+        rows = quota(df, key, expected).filter("expected > 0").select(F.lit(name).alias("profile"), "value", "expected", "found", "holds")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def set_sizes(df: DataFrame, set_id: str, texts: Column, size: int) -> DataFrame:
     """(``set_id``, questions, texts, holds): sets of items that share a passage have ``size`` items and one text.
 

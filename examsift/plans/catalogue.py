@@ -74,8 +74,8 @@ def seed_choices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinctive_terms(spark: SparkSession, folder: str) -> DataFrame:
-    i = pipeline.items(spark, folder)
-    return i.select("item_ord", F.array_join(X.distinctive_terms(X.squeeze(F.col("stem"))), "|").alias("terms"))
+    features = similarity.item_features(pipeline.items(spark, folder), ["item_ord"])
+    return features.select("item_ord", F.array_join("terms", "|").alias("terms"))
 
 
 def main_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,6 +119,27 @@ def novelty_full(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.scored(spark, folder)
 
 
+def novelty_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Novelty without comparisons of sequences: words, phrases, choices (equal or of the same words), names and numbers."""
+    features = similarity.item_features(pipeline.items(spark, folder), ["item_ord"])
+    scored = similarity.score_novelty(features, similarity.seed_features(pipeline.seeds(spark, folder)), ["item_ord"], ratios=False)
+    return scored.select("item_ord", "novelty_score", F.col("max_similarity_source_id").alias("source_id"), "max_similarity_score", "novelty_components.*", "novelty_pass", F.array_join("copied_answer_choices", "|").alias("copied"), F.array_join("reused_distinctive_terms", "|").alias("reused"), F.array_join("novelty_reasons", "|").alias("reasons"))
+
+
+def line_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts taken from raw records of any shape."""
+    texts = similarity.record_texts(pipeline.line_records(spark, folder))
+    return texts.select("line_no", F.md5(F.col("_text").cast("binary")).alias("text"), F.md5(F.col("_structure").cast("binary")).alias("structure"), F.array_join("_choices", "|").alias("choices"))
+
+
+def line_novelty(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records scored against raw records: which line each is most like in its words, itself and its repeats aside."""
+    own = pipeline.line_records(spark, folder).select("line_no", "line")
+    sources = own.filter("line_no % 2 = 0").select(F.col("line_no").alias("ord"), "line")
+    features = similarity.record_features(own.filter("line_no % 2 = 1"), ["line_no"]).select("line_no", "tokens")
+    return similarity.lexical_riskiest(features, similarity.source_record_features(sources), ["line_no"])
+
+
 def novelty_summary(spark: SparkSession, folder: str) -> DataFrame:
     return similarity.novelty_summary(pipeline.scored(spark, folder))
 
@@ -155,6 +176,19 @@ def predicted_answers(spark: SparkSession, folder: str) -> DataFrame:
     return g.groupBy(shown("expected").alias("expected"), shown("predicted").alias("predicted"), "correct").agg(F.count(F.lit(1)).alias("attempts"))
 
 
+def solver_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Items with their graded attempts in order, as attached to them."""
+    out = answers.attach_results(pipeline.items(spark, folder), pipeline.graded(spark, folder))
+    said = F.transform("solver_results", lambda r: F.concat_ws(",", F.coalesce(r["model"], F.lit("None")), r["correct"].cast("string"), r["parse_error"].isNull().cast("string"), F.md5(r["raw_response"].cast("binary")), F.array_join(F.coalesce(r["missing_blanks"], V.texts()), "+", "-")))
+    return out.select("item_ord", "n_attempts", "solver_accuracy", F.md5(F.array_join(said, ";").cast("binary")).alias("results"))
+
+
+def result_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same attempts in arrays of about 100: as many in all as there are attempts, none of an item twice."""
+    chunks = answers.result_chunks(pipeline.graded(spark, folder), 100)
+    return chunks.groupBy("item_ord").agg(F.sum(F.size("solver_results")).alias("attempts"), F.sum(F.size(F.filter("solver_results", lambda r: r["correct"]))).alias("correct"))
+
+
 def item_accuracies(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.accuracies(spark, folder)
 
@@ -225,6 +259,15 @@ def judged_lines(spark: SparkSession, folder: str) -> DataFrame:
     return r.select("line_no", judging.accepts(judge).alias("accepted"), V.is_object(judge).alias("judged"))
 
 
+def judge_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Judge outputs (the stored verdicts as text; prose where there is none) with the item they are about and the decision."""
+    i = pipeline.items(spark, folder)
+    sent = i.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), F.coalesce(F.concat(F.lit("Verdict: "), F.to_json("judge")), F.lit("no verdict")).alias("generation"))
+    out = judging.review(sent, i.select("item_ord", "id", "question_type"))
+    score = V.number(V.key(F.col("judge"), "score")).cast("int")
+    return out.groupBy("item_id", "item.item_ord", "item.question_type").agg(F.count(F.lit(1)).alias("reviews"), F.count_if(judging.accepts(F.col("judge"))).alias("accepted"), F.min(score).alias("least_score"), F.count_if(V.text(V.key(F.col("judge"), "reason")) == "no verdict").alias("failed"))
+
+
 def seed_lookup(spark: SparkSession, folder: str) -> DataFrame:
     numbered = similarity.number_rows(pipeline.seeds(spark, folder), ["seed_id", "source_question"])
     joined = judging.with_seed(pipeline.items(spark, folder), judging.seed_map(numbered))
@@ -257,6 +300,15 @@ def gate_issues(spark: SparkSession, folder: str) -> DataFrame:
     return e.select(F.explode("filter_issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("items"))
 
 
+def gate_issues_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Items per gate issue with all gates: rules, and a failed novelty gate with its reasons."""
+    i = rules.item_errors(pipeline.items(spark, folder))
+    reasons = F.when(F.col("item_ord") % 2 == 0, F.array(F.lit("copied"), F.lit("reused"))).otherwise(V.texts())
+    i = i.withColumns({"novelty_pass": F.col("novelty_score") >= 75, "novelty_reasons": reasons})
+    e = selection.evaluate(i, F.transform("rule_errors", lambda x: x["message"]), STRICT)
+    return e.select(F.explode("filter_issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("items"))
+
+
 def hardness_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """Place of each item that passes the gates (rules aside)."""
     e = selection.evaluate(pipeline.items(spark, folder), V.texts(), GATES).filter("size(filter_issues) = 0")
@@ -293,6 +345,29 @@ def type_quota(spark: SparkSession, folder: str) -> DataFrame:
     return audit.quota(pipeline.items(spark, folder), F.col("question_type"), {"reading_comprehension": 15, "text_completion": 9, "sentence_equivalence": 6})
 
 
+def profile_quotas(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.profile_quotas(pipeline.items(spark, folder))
+
+
+def passage_set_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sets of five questions on the same passages."""
+    return audit.set_sizes(pipeline.items(spark, folder), "passage_set_id", F.to_json("passages"), 5)
+
+
+def hard_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether three items in ten are hard."""
+    return audit.share_of(pipeline.items(spark, folder), F.col("difficulty") >= 4, 0.3)
+
+
+def answer_gap(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.balance_gap(pipeline.items(spark, folder))
+
+
+def numbered_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids that the range gre-tc-000000001 to gre-tc-000000500 lacks."""
+    return audit.numbering(pipeline.items(spark, folder), "gre-tc-", 9, 500)
+
+
 def passage_sets(spark: SparkSession, folder: str) -> DataFrame:
     return audit.set_sizes(pipeline.items(spark, folder), "passage_id", F.col("passage"), 3)
 
@@ -310,7 +385,8 @@ def field_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def passage_words(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.word_range(pipeline.items(spark, folder), F.col("passage"), 60, 160)
+    i = pipeline.items(spark, folder)
+    return audit.word_range(i.select(F.explode(X.passage_texts(F.col("passage"), F.col("passages"))).alias("text")), F.col("text"), 60, 160)
 
 
 def passage_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -333,8 +409,9 @@ def items_per_generation(spark: SparkSession, folder: str) -> DataFrame:
     return audit.items_per_generation(generation.parse_generations(table(spark, folder, "raw_generations")), 2)
 
 
-def repeated_across_models(spark: SparkSession, folder: str) -> DataFrame:
-    out = audit.repeated_across(pipeline.items(spark, folder), F.coalesce("generation_model", F.lit("None")), F.col("stem"))
+def repeated_across_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Stems that occur in several batches of ten items."""
+    out = audit.repeated_across(pipeline.items(spark, folder), F.floor(F.col("item_ord") / 10), F.col("stem"))
     return out.groupBy("batches").agg(F.count(F.lit(1)).alias("texts"))
 
 
@@ -347,6 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rendered_prompts, judge_gate, judged_lines, seed_lookup, rule_counts, line_errors, validation_totals, item_rule_counts, gate_issues,
         hardness_ranks, prefix_mean_cutoff, selected_items, filter_summary, rejection_histogram, hardest_accepted, type_quota, passage_sets,
         choice_counts, identifier_audit, field_audit, passage_words, passage_counts, answer_balance, score_scale, answer_contract,
-        items_per_generation, repeated_across_models,
+        items_per_generation, repeated_across_batches, novelty_sets, line_texts, line_novelty, solver_results, result_chunks, judge_reviews, gate_issues_full,
+        profile_quotas, passage_set_sizes, hard_share, answer_gap, numbered_identifiers,
     ]
     return {f.__name__: f for f in every}
