@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examsift.llm.near_duplicates import WordHash, mix, shingles, shingles_of
-from examsift.runtime import worker_state
+from examsift.runtime import cut_lineage, worker_state
 
 WIDTH = 3
 #: Signature coordinates.
@@ -42,7 +42,8 @@ DRIFT, FILL = 6, 4
 
 WORD = re.compile(r"[^\W_]+")
 BLANK = re.compile(r"\[\s*blank[\s_]*\d*\s*\]|_{2,}")
-MARKUP = re.compile(r"<[^<>]{1,200}>")
+#: Tags with attributes of any length; what else stands between angle brackets, if it is short.
+MARKUP = re.compile(r"""</?[A-Za-z][\w:.-]*(?:\s+[\w:.-]+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?)*\s*/?>|<[^<>]{1,200}>""")
 ESCAPE = re.compile(r"\\[nrt]|\\u00[0-9a-f]{2}")
 INVISIBLE = dict.fromkeys([0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 
@@ -252,12 +253,14 @@ class PassageIndex:
                 diagonal[s - t] += 1
                 pairs.setdefault(s - t, []).append(t)
         best = (0, 0)
-        done: set[int] = set()
         drift = DRIFT + FILL * max(0, sum(blanks[:-1]) - 1)
-        for d, n in diagonal.most_common(6):
-            if n < 4 or any(abs(d - x) <= 2 for x in done):
-                continue
-            done.add(d)
+        # a window of span words keeps all but one in one_in of them, on diagonals within the drift
+        least = self.span - self.span // self.one_in
+        at = sorted(diagonal)
+        upto = np.concatenate([[0], np.cumsum([diagonal[d] for d in at])])
+        lo, hi = np.searchsorted(at, np.array(at) - drift), np.searchsorted(at, np.array(at) + drift, "right")
+        enough = np.flatnonzero(upto[hi] - upto[lo] >= least).tolist() if at else []
+        for d in sorted((at[i] for i in enough), key=lambda d: -diagonal[d]):
             best = max(best, self._chain(passage, blanks, pairs, d, drift), key=lambda x: (x[0] >= self.span, x[0]))
             if best[0] >= self.span:
                 break
@@ -356,19 +359,21 @@ def find_leaks(records: DataFrame, passages: DataFrame, span: int = 20, one_in:
     in blocks of ``at_once``, each block a pass over the records. Records are never shuffled. Empty tables
     give an empty result.
     """
-    # distinct texts of passages come to the driver block by block; records never do
-    blocks: list[list[tuple[str, str]]] = [[]]
-    for row in passages.orderBy("seed_id", "body").toLocalIterator():
-        if len(blocks[-1]) >= at_once:
-            blocks.append([])
-        blocks[-1].append((row.seed_id, row.body))
     text = records.select("corpus", "row_key", F.array_join(F.coalesce("texts", F.array().cast("array<string>")), BREAK).alias("text"))
-    out = None
-    for block in blocks:
-        index = PassageIndex(block, span, one_in)
-        found = text.select("corpus", "row_key", F.explode(leaks(F.col("text"), index)).alias("seed_id"))
-        out = found if out is None else out.unionByName(found)
-    return out.distinct() if len(blocks) > 1 else out
+
+    def found_in(block: list[tuple[str, str]]) -> DataFrame:
+        return text.select("corpus", "row_key", F.explode(leaks(F.col("text"), PassageIndex(block, span, one_in))).alias("seed_id"))
+
+    done, block = [], []  # one block of passages is on the driver at a time; the rows that earlier ones gave are written
+    for row in passages.orderBy("seed_id", "body").toLocalIterator():
+        if len(block) >= at_once:
+            done.append(cut_lineage(found_in(block)))
+            block = []
+        block.append((row.seed_id, row.body))
+    out = found_in(block)
+    for earlier in done:
+        out = out.unionByName(earlier)
+    return out.distinct() if done else out
 
 
 #: Joins the texts of a record: words of two texts are never neighbours, since no passage holds these.

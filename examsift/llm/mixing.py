@@ -42,7 +42,8 @@ def unmet_sources(documents: DataFrame, targets: DataFrame, vocabulary: str | No
     return source_rates(document_sizes(documents, vocabulary), targets, part).filter(~F.col("met")).select("source")
 
 
-def _emitted(sizes: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
+def emitted(sizes: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
+    """``sizes`` of sources with a target, with the rate and ``copies``: floor(rate), and one more with the probability left."""
     draw = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source")), F.lit(1 << 52)) / F.lit(float(1 << 52)))
     whole = F.floor("rate")
     copies = (whole + (draw < F.col("rate") - whole).cast("long")).cast("int")
@@ -56,7 +57,7 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 7, vocabulary:
     Documents of sources without a target, and of a null source, are left out.
     """
     sizes = document_sizes(documents, vocabulary)
-    out = _emitted(sizes, source_rates(sizes, targets, part), seed).filter("copies > 0")
+    out = emitted(sizes, source_rates(sizes, targets, part), seed).filter("copies > 0")
     return out.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "n_tokens")
 
 
@@ -64,7 +65,7 @@ def shares_reached(documents: DataFrame, targets: DataFrame, seed: int = 7, voca
     """Per target: tokens, rate, documents and tokens emitted, actual_share of the mixture, met."""
     sizes = document_sizes(documents, vocabulary)
     rates = source_rates(sizes, targets, part)
-    sent = _emitted(sizes, rates, seed).groupBy("source").agg(F.sum("copies").alias("rows_out"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens_out"))
+    sent = emitted(sizes, rates, seed).groupBy("source").agg(F.sum("copies").alias("rows_out"), F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens_out"))
     out = rates.join(sent, "source", "left").withColumns({"rows_out": F.coalesce("rows_out", F.lit(0)), "tokens_out": F.coalesce("tokens_out", F.lit(0))})
     total = sent.agg(F.sum("tokens_out")).first()[0] or 0
     return out.withColumn("actual_share", F.coalesce(F.try_divide("tokens_out", F.lit(total)), F.lit(0.0))).drop("wanted")

@@ -26,6 +26,12 @@ def p2_order(spark: SparkSession, folder: str) -> DataFrame:
     return rank_walk.rank_walk(table(spark, folder, "generated_items"), rank_walk.item_scores())
 
 
+def p2_by_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same walk with a job per step, as for very many states; to six places."""
+    walked = rank_walk.rank_walk(table(spark, folder, "generated_items"), rank_walk.item_scores(), driver_states=0, tolerance=1e-12)
+    return walked.select("item_ord", F.round("stationarity", 6).alias("stationarity"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.similar_items(table(spark, folder, "generated_items"))
 
@@ -96,6 +102,14 @@ def p8_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return back.filter(F.col("back") != F.col("text")).select("doc_id")
 
 
+def p8_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the tokens of each document start and end, and whether they follow one another without a gap, one per id."""
+    d = table(spark, folder, "documents").select("doc_id", "text")
+    d = d.withColumns({"_t": tokenizing.token_offsets(F.col("text")), "_n": tokenizing.token_count(F.col("text"))})
+    gap = F.exists(F.sequence(F.lit(1), F.greatest(F.size("_t"), F.lit(1))), lambda i: F.coalesce(F.try_element_at("_t", i + 1)["start"] > F.try_element_at("_t", i)["end"], F.lit(False)))
+    return d.select("doc_id", F.try_element_at("_t", F.lit(1))["start"].alias("first"), F.try_element_at("_t", F.lit(-1))["end"].alias("last"), (~gap & (F.size("_t") == F.col("_n"))).alias("whole"))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.unmet_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
 
@@ -108,6 +122,24 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares_reached(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
 
 
+def p9_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Per target: each document is emitted floor(rate) or one more times, within the repeats allowed, and the tokens emitted are
+    as many as the rate promises, give or take six standard deviations of the draw."""
+    documents, targets = table(spark, folder, "documents"), table(spark, folder, "mix_targets")
+    sizes = mixing.document_sizes(documents)
+    rates = mixing.source_rates(sizes, targets)
+    sent = mixing.emitted(sizes, rates, 7).select("source", "copies", "n_tokens", "rate")
+    part = F.col("rate") - F.floor("rate")
+    per = sent.groupBy("source").agg(
+        F.min(F.col("copies") - F.floor("rate")).alias("_least"), F.max(F.col("copies") - F.floor("rate")).alias("_most"), F.max("copies").alias("_copies"),
+        F.sum(F.col("copies") * F.col("n_tokens")).alias("_sent"), F.sum(F.col("rate") * F.col("n_tokens")).alias("_due"), F.sqrt(F.sum(part * (1 - part) * F.col("n_tokens") * F.col("n_tokens"))).alias("_sd"),
+    )
+    both = rates.join(per, "source", "left")
+    draws = F.coalesce(F.col("_least").between(0, 1) & F.col("_most").between(0, 1) & (F.col("_copies") <= F.col("max_repeats")), F.lit(True))
+    total = F.coalesce(F.abs(F.col("_sent") - F.col("_due")) <= 6 * F.col("_sd") + 1, F.lit(True))
+    return both.select("source", "target_share", "max_repeats", draws.alias("draws_hold"), total.alias("tokens_hold"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetitive_documents(table(spark, folder, "documents"))
 
@@ -121,7 +153,7 @@ def p10_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = [p1_found, p1_items_leaked, p2_order, p4_found, p4_groups, p5_found, p5_plan, p5_totals, p5_cells, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p8_ids, p8_round_trip, p9_found, p9_mixture, p9_shares, p10_found, p10_shares, p10_lines]
+    every = [p1_found, p1_items_leaked, p2_order, p2_by_tasks, p4_found, p4_groups, p5_found, p5_plan, p5_totals, p5_cells, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p8_ids, p8_round_trip, p8_spans, p9_found, p9_mixture, p9_shares, p9_checks, p10_found, p10_shares, p10_lines]
     return {f.__name__: f for f in every}
 
 
@@ -150,6 +182,26 @@ t AS (SELECT item_ord, list_filter(regexp_split_to_array(lower(concat(coalesce(s
      c AS (SELECT a.item_ord AS item_a, b.item_ord AS item_b, count(*) AS common FROM g a JOIN g b ON a.gram = b.gram AND a.item_ord < b.item_ord GROUP BY 1, 2),
      pairs AS (SELECT item_a, item_b FROM c JOIN n x ON x.item_ord = item_a JOIN n y ON y.item_ord = item_b WHERE common * 100 >= 60 * (x.n + y.n - common))"""
 
+# Each step of the walk as windows over the states: what reaches an item from lower values is a running sum.
+_P2_WALK = """
+WITH RECURSIVE sc AS (SELECT item_ord, CASE WHEN NOT isnan(novelty_score) AND novelty_score BETWEEN 0 AND 100 THEN novelty_score END AS a, CASE WHEN NOT isnan(solver_accuracy) AND solver_accuracy BETWEEN 0 AND 1 THEN -solver_accuracy END AS b,
+  CASE WHEN difficulty BETWEEN 1 AND 5 THEN difficulty::DOUBLE END AS c FROM generated_items),
+g AS (SELECT a, b, c, count(*)::DOUBLE AS n FROM sc GROUP BY ALL),
+st AS (SELECT *, row_number() OVER () AS s, (a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT AS own, sum(n) OVER () AS items,
+  sum(n) FILTER (a IS NOT NULL) OVER () - sum(n) FILTER (a IS NOT NULL) OVER (ORDER BY a RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_a,
+  sum(n) FILTER (b IS NOT NULL) OVER () - sum(n) FILTER (b IS NOT NULL) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_b,
+  sum(n) FILTER (c IS NOT NULL) OVER () - sum(n) FILTER (c IS NOT NULL) OVER (ORDER BY c RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_c FROM g),
+walk AS (SELECT 0 AS step, s, n / items AS mass FROM st
+UNION ALL SELECT step + 1, s, 0.85::DOUBLE * (stay + n * (CASE WHEN a IS NULL THEN 0 ELSE ra - pa END + CASE WHEN b IS NULL THEN 0 ELSE rb - pb END + CASE WHEN c IS NULL THEN 0 ELSE rc - pc END + lost / items)) + 0.15::DOUBLE * n / items FROM (
+  SELECT *, CASE WHEN a IS NOT NULL AND up_a = 0 THEN f ELSE 0 END + CASE WHEN b IS NOT NULL AND up_b = 0 THEN f ELSE 0 END + CASE WHEN c IS NOT NULL AND up_c = 0 THEN f ELSE 0 END AS stay, sum(CASE WHEN own = 0 THEN mass ELSE 0 END) OVER () AS lost,
+    sum(fa) OVER (ORDER BY a RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ra, sum(fa) OVER (PARTITION BY a) AS pa, sum(fb) OVER (ORDER BY b RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb, sum(fb) OVER (PARTITION BY b) AS pb,
+    sum(fc) OVER (ORDER BY c RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rc, sum(fc) OVER (PARTITION BY c) AS pc FROM (
+    SELECT step, mass, st.*, mass / greatest(own, 1) AS f, CASE WHEN a IS NOT NULL AND up_a > 0 THEN mass / own / up_a ELSE 0 END AS fa, CASE WHEN b IS NOT NULL AND up_b > 0 THEN mass / own / up_b ELSE 0 END AS fb, CASE WHEN c IS NOT NULL AND up_c > 0 THEN mass / own / up_c ELSE 0 END AS fc
+    FROM walk JOIN st USING (s) WHERE step < 250))),
+w AS (SELECT a, b, c, n, round(mass / n * items, 9) AS stationarity, round(mass / n * items, 6) AS rounded FROM walk JOIN st USING (s) WHERE step = 250),
+r AS (SELECT *, (coalesce(sum(n) OVER (ORDER BY stationarity DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(n) OVER (PARTITION BY stationarity), 0) + 1)::BIGINT AS rank FROM w)
+"""
+
 _ITEM_FORM = """
 WITH k AS (SELECT item_ord,
   regexp_replace(lower(coalesce(stem, '')), '[^\\p{L}\\p{N}]+', '', 'g') AS stem_form,
@@ -186,6 +238,8 @@ SELECT * REPLACE (CASE WHEN NOT (n_words > 0 AND words_lost * 100 >= n_words * 3
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_order": _P2_WALK + "SELECT item_ord, stationarity, rank FROM sc JOIN r ON sc.a IS NOT DISTINCT FROM r.a AND sc.b IS NOT DISTINCT FROM r.b AND sc.c IS NOT DISTINCT FROM r.c",
+        "p2_by_tasks": _P2_WALK + "SELECT item_ord, rounded AS stationarity FROM sc JOIN r ON sc.a IS NOT DISTINCT FROM r.a AND sc.b IS NOT DISTINCT FROM r.b AND sc.c IS NOT DISTINCT FROM r.c",
         "p4_found": f"WITH {_P4_PAIRS} SELECT item_a, item_b FROM pairs",
         "p4_groups": f"""WITH RECURSIVE {_P4_PAIRS}, both_ways AS (SELECT item_a AS x, item_b AS y FROM pairs UNION ALL SELECT item_b, item_a FROM pairs),
 reach AS (SELECT x, y FROM both_ways UNION SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
@@ -199,6 +253,8 @@ FROM t LEFT JOIN l ON l.x = item_ord LEFT JOIN m ON m.x = item_ord""",
         "p7_found": _ITEM_FORM + "SELECT keep_ord, item_ord FROM (SELECT item_ord, min(item_ord) OVER (PARTITION BY stem_form, choice_forms) AS keep_ord FROM k) WHERE item_ord <> keep_ord",
         "p7_collapsed": _ITEM_FORM + "SELECT min(item_ord) AS item_ord, count(*) AS n_copies FROM k GROUP BY stem_form, choice_forms",
         "p8_round_trip": "SELECT doc_id FROM documents WHERE false",
+        "p8_spans": "SELECT doc_id, CASE WHEN text <> '' THEN 0 END AS first, CASE WHEN text <> '' THEN length(text) END::INT AS last, true AS whole FROM documents",
+        "p9_checks": "SELECT source, target_share, max_repeats, true AS draws_hold, true AS tokens_hold FROM mix_targets",
         "p10_lines": _P10_LINES,
         "p10_shares": """
 WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents),

@@ -4,7 +4,7 @@ The ``tokenizers`` library does the merging. A byte-level tokenizer of this kind
 across a space that stands before a non-space, so a text can be cut at those spaces, each distinct
 piece be encoded once per worker and the results be put together again. Corpora repeat their pieces
 (words with their punctuation) so often that this is several times as fast as encoding whole texts,
-and it is exact: tests compare both ways.
+and it is exact: tests compare both ways. A tokenizer of another kind gets whole texts.
 
 Defined results: null and empty texts have no ids (an empty array), no offsets and a count of 0.
 """
@@ -12,9 +12,11 @@ Defined results: null and empty texts have no ids (an empty array), no offsets a
 from __future__ import annotations
 
 import importlib.util
+import json
 import os
 import re
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,24 @@ TEXTS_AT_ONCE = 256
 
 
 def default_vocabulary(name: str = "byte_bpe_50k.json") -> str:
-    """Path of a vocabulary file of the public tokenizers installed beside Python (or in /opt/tokenizers)."""
-    spec = importlib.util.find_spec("public_tokenizers")
-    folder = os.path.dirname(spec.origin) if spec and spec.origin else "/opt/tokenizers"
+    """Path of a vocabulary file: in the folder that EXAMSIFT_TOKENIZERS names, else among the public tokenizers installed beside Python."""
+    folder = os.environ.get("EXAMSIFT_TOKENIZERS")
+    if not folder:
+        spec = importlib.util.find_spec("public_tokenizers")
+        if not spec or not spec.origin:
+            raise ValueError("give a vocabulary file, or name its folder in EXAMSIFT_TOKENIZERS")
+        folder = os.path.dirname(spec.origin)
     return os.path.join(folder, name)
 
 
+def cuts_at_spaces(tokenizer: Any) -> bool:
+    """Whether a tokenizer never joins text across a space before a non-space: a byte-level one that splits by its own pattern
+    and changes no text before."""
+    parts = json.loads(tokenizer.to_str())
+    split = parts.get("pre_tokenizer") or {}
+    return parts.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+
+
 class PieceEncoder:
     """Encodes texts piece by piece and remembers pieces."""
 
@@ -46,13 +60,15 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
-        self.kept = kept
+        self.kept, self.by_pieces = kept, cuts_at_spaces(self.tokenizer)
         self.first: dict[str, bytes] = {}  # pieces at the start of a text
         self.later: dict[str, bytes] = {}  # pieces after a space
         self.cut = re.compile(r" (?=\S)").split
         self.needs_care = re.compile(r"\s ").search
 
     def pieces(self, text: str) -> list[str]:
+        if not self.by_pieces:
+            return [text]
         return self.cut(text) if self.needs_care(text) else text.split(" ")
 
     def learn(self, split: list[list[str]]) -> None:

@@ -39,16 +39,14 @@ def test_walk_equals_brute_force_both_ways(spark):
     rows = random_rows()
     df = spark.createDataFrame([(i, *r, "x") for i, r in enumerate(rows)], "item_ord bigint, a double, b double, stationarity string")
     want = brute(rows)
-    for few in (1_000, 0):
-        got = rw.rank_walk(df, scores(), steps=60 if few else 12, driver_states=few).collect()
-        assert len(got) == len(rows)
-        if few:
-            assert all(abs(r.stationarity - want[r.item_ord]) < 1e-6 for r in got)
-            for r in got:
-                assert r["rank"] == 1 + sum(round(x, 9) > round(want[r.item_ord], 9) for x in want)
-        else:
-            same = {r.item_ord: r.stationarity for r in rw.rank_walk(df, scores(), steps=12).collect()}
-            assert all(abs(r.stationarity - same[r.item_ord]) < 1e-12 for r in got)
+    for limits in ({}, {"driver_states": 0}):  # few states, and a job per step
+        got = rw.rank_walk(df, scores(), **limits, steps=60).collect()
+        assert len(got) == len(rows) and all(abs(r.stationarity - want[r.item_ord] * len(rows)) < 1e-4 for r in got)
+    for r in rw.rank_walk(df, scores()).collect():
+        assert r["rank"] == 1 + sum(round(x * len(rows), 9) > round(want[r.item_ord] * len(rows), 9) for x in want)
+    same = {r.item_ord: r.stationarity for r in rw.rank_walk(df, scores(), steps=6).collect()}
+    by_tables = rw.rank_walk(df, scores(), steps=6, most_values=0).collect()  # the way for very many values
+    assert len(by_tables) == len(rows) and all(abs(r.stationarity - same[r.item_ord]) < 1e-8 for r in by_tables)
 
 
 def test_only_ranks_matter(spark):
