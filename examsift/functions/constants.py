@@ -1,19 +1,23 @@
 """Words, names and numbers that results depend on."""
 
 # Words that carry no content.
-STOPWORDS = (
-    "a about above after again against all also although am an and any are as at be because been before being below "
-    "between both but by can could did do does doing during each even few for from further had has have having he her "
-    "here hers him his how if in into is it its itself may more most not of on once only or other our out over own same "
-    "she should so some such than that the their theirs them then there these they this those through to too under "
-    "until up very was we were what when where which while who whom why will with would"
-).split()
+STOPWORDS = [
+    "a", "about", "above", "after", "again", "against", "all", "also", "although", "am", "an", "and", "any", "are",
+    "as", "at", "be", "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "could",
+    "did", "do", "does", "doing", "during", "each", "even", "few", "for", "from", "further", "had", "has", "have",
+    "having", "he", "her", "here", "hers", "him", "his", "how", "if", "in", "into", "is", "it", "its", "itself",
+    "may", "more", "most", "not", "of", "on", "once", "only", "or", "other", "our", "out", "over", "own", "same",
+    "she", "should", "so", "some", "such", "than", "that", "the", "their", "theirs", "them", "then", "there",
+    "these", "they", "this", "those", "through", "to", "too", "under", "until", "up", "very", "was", "we", "were",
+    "what", "when", "where", "which", "while", "who", "whom", "why", "will", "with", "would",
+]
 
 # Capitalised words that are no names when they stand alone.
-NO_NAMES = (
-    "A An And As At Although Because But Choice Choices Comprehension Do Each Every For GRE If In It On Passage Question "
-    "Reading Reasoning Seed Sentence Some The This Verbal What Which While"
-).split()
+NO_NAMES = [
+    "A", "An", "And", "As", "At", "Although", "Because", "But", "Choice", "Choices", "Comprehension", "Do", "Each",
+    "Every", "For", "GRE", "If", "In", "It", "On", "Passage", "Question", "Reading", "Reasoning", "Seed",
+    "Sentence", "Some", "The", "This", "Verbal", "What", "Which", "While",
+]
 
 # Words that may stand inside a name.
 NAME_JOINERS = ["of", "and", "the", "for", "in", "on"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -115,6 +116,13 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 Provider = Callable[[list[str], list[str], dict], list[str]]
 
 
+def _one_text(given: Any) -> str | None:
+    """The text of a generation: of a list its first element (empty text for an empty list)."""
+    if isinstance(given, list):
+        given = given[0] if given else ""
+    return None if given is None else str(given)
+
+
 def generate(requests: DataFrame, provider: Provider, parameters: dict, keys: list[str]) -> DataFrame:
     """``keys`` and ``generation`` for requests with instruction and system_prompt; batches go to the provider on executors.
 
@@ -126,7 +134,7 @@ def generate(requests: DataFrame, provider: Provider, parameters: dict, keys: li
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             try:
-                texts = provider(batch["instruction"].tolist(), batch["system_prompt"].tolist(), parameters)
+                texts = [_one_text(t) for t in provider(batch["instruction"].tolist(), batch["system_prompt"].tolist(), parameters)]
             except Exception:  # one failed call must not lose the others
                 texts = [None] * len(batch)
             yield batch[keys].assign(generation=texts)

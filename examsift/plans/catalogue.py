@@ -240,7 +240,8 @@ def redacted_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def rendered_prompts(spark: SparkSession, folder: str) -> DataFrame:
     s = pipeline.seeds(spark, folder)
-    prompt = generation.render("Write {{ITEMS_PER_SEED}} items from: {{SEED_JSON}}", ITEMS_PER_SEED=F.lit("2"), SEED_JSON=F.coalesce("source_question", F.lit("")))
+    record = F.to_json(F.struct("seed_id", "question_type", "source_question", "source_answer"))
+    prompt = generation.render("Write {{ITEMS_PER_SEED}} items from: {{SEED_JSON}}", ITEMS_PER_SEED=F.lit("2"), SEED_JSON=record)
     return s.select("seed_id", F.md5(prompt.cast("binary")).alias("prompt"), F.length(prompt).alias("n_chars"))
 
 

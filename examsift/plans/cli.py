@@ -130,7 +130,8 @@ def solve(spark: SparkSession, a: argparse.Namespace) -> int:
     solved = answers.attach_results(rows, graded, answers.MOST_IN_ARRAY)
     write(with_fields(solved, ["solver_results", "solver_accuracy"]), a.output)
     per_item = answers.item_accuracy(rows, graded)
-    jsonl.write_summary(answers.solver_summary(per_item), a.summary_output, models=answers.model_totals(graded).select("model", F.struct("total", "correct", "accuracy").alias("m")))
+    summary = jsonl.write_summary(answers.solver_summary(per_item), a.summary_output, models=answers.model_totals(graded).select("model", F.struct("total", "correct", "accuracy").alias("m")))
+    print(f"{summary['total_solver_attempts']} attempts at {summary['total_items']} items graded")
     return 0
 
 
@@ -156,7 +157,9 @@ def judge(spark: SparkSession, a: argparse.Namespace) -> int:
     asked = with_seed.select(answers.item_key(F.col("id"), F.col("item_ord")).alias("item_id"), prompt.alias("instruction"), F.lit(a.system_prompt or SYSTEM[a.command]).alias("system_prompt"))
     reviewed = cut_lineage(judging.review(_generate(spark, asked, a), rows.select("item_ord", "id", "line")).select(F.col("item.line").alias("line"), "judge", F.col("item.item_ord").alias("item_ord")))
     write(with_fields(reviewed, ["judge"]), a.reviewed_output)
-    write(with_fields(reviewed.filter(judging.accepts(F.col("judge"), a.min_score)), ["judge"]), a.accepted_output)
+    passed = reviewed.filter(judging.accepts(F.col("judge"), a.min_score))
+    write(with_fields(passed, ["judge"]), a.accepted_output)
+    print(f"{passed.count()} of {reviewed.count()} items accepted")
     return 0
 
 
@@ -172,6 +175,7 @@ def generate(spark: SparkSession, a: argparse.Namespace) -> int:
         jsonl.write_lines(failed, a.failed_output)
     items = generation.explode_items(parsed, a.prompt_version, "ord")
     items.orderBy("ord", "pos").select(F.to_json("item").alias("value")).write.mode("overwrite").text(a.output)
+    print(f"{items.count()} items from {parsed.count()} generations, {failed.count()} of them failed")
     return 0
 
 

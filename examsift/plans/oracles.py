@@ -314,7 +314,10 @@ FROM solver_responses WHERE item_id IS NULL OR model IS NULL OR coalesce(generat
         "seed_lookup": f"""
 WITH {_SEEDS}, m AS (SELECT seed_id, arg_max(struct_pack(a := source_answer), ord).a AS source_answer FROM seeds GROUP BY seed_id)
 SELECT source_seed_id, count(*) AS items, max(source_answer) AS source_answer FROM generated_items LEFT JOIN m ON source_seed_id = seed_id GROUP BY source_seed_id""",
-        "rendered_prompts": "SELECT seed_id, md5('Write 2 items from: ' || coalesce(source_question, '')) AS prompt, length('Write 2 items from: ' || coalesce(source_question, ''))::INT AS n_chars FROM seed_records",
+        "rendered_prompts": """
+WITH p AS (SELECT seed_id, 'Write 2 items from: {' || array_to_string(list_filter(['"seed_id":' || to_json(seed_id)::VARCHAR, '"question_type":' || to_json(question_type)::VARCHAR, '"source_question":' || to_json(source_question)::VARCHAR,
+  '"source_answer":' || to_json(source_answer)::VARCHAR], lambda x: x IS NOT NULL AND NOT x LIKE '%:null'), ',') || '}' AS prompt FROM seed_records)
+SELECT seed_id, md5(prompt) AS prompt, length(prompt)::INT AS n_chars FROM p""",
         "gate_issues": f"WITH {_RATED} SELECT issue, count(*) AS items FROM (SELECT unnest({_issues(75.0, 4.0, 0.9, False, False, False)}) AS issue FROM rated) GROUP BY issue",
         "hardness_ranks": f"WITH {_RATED} SELECT item_ord, row_number() OVER (ORDER BY {_HARDNESS}) AS rank FROM rated WHERE len({_issues(75.0, 4.0, None, True, False, False)}) = 0",
         "prefix_mean_cutoff": f"""
