@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from examsift.functions import variants as V
-from examsift.operators.sizing import SALTS, broadcast_if_small, flag_hot, hot_keys
+from examsift.operators.sizing import HOT_ROWS, SALTS, broadcast_if_small, flag_hot, hot_keys
 
 #: Attempts a chunk of an item's results holds, about.
 MOST_IN_ARRAY = 10_000
@@ -245,7 +245,7 @@ def read_rows(responses: DataFrame) -> DataFrame:
     return sent.drop("generation", "response", "answer").withColumn("read", read_response(F.col("raw_response")))
 
 
-def attempts(items: DataFrame, responses: DataFrame) -> DataFrame:
+def attempts(items: DataFrame, responses: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(item_ord, resp_id, model, raw_response, …graded): each response with each item of its id.
 
     Responses are read where they are stored; then a shuffled inner join on the id. Items with the same id all get the
@@ -253,7 +253,7 @@ def attempts(items: DataFrame, responses: DataFrame) -> DataFrame:
     response side, the few item rows of that id being repeated once per salt.
     """
     own = items.select("item_ord", "answer_groups", item_key(F.col("id"), F.col("item_ord")).alias("item_id"))
-    hot = hot_keys(responses.select("item_id"), "item_id")
+    hot = hot_keys(responses.select("item_id"), "item_id", hot_rows)
     salted = flag_hot(read_rows(responses).select("item_id", "resp_id", "model", "raw_response", "read"), "item_id", hot).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("resp_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
     spread = flag_hot(own, "item_id", hot).withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     joined = salted.drop("_hot").join(spread.drop("_hot"), ["item_id", "_salt"]).drop("_salt")

@@ -179,6 +179,16 @@ def link_children(nodes: DataFrame, key: str = "line_no") -> DataFrame:
     return found.withColumn("parent_pos", pick).filter(F.col("node") != "item").drop(*[f"_p_{p}" for p in inner])
 
 
+def typed_children(lines: DataFrame, kind: str, key: str = "line_no", line: str = "line") -> DataFrame:
+    """(``key``, parent_pos, pos, fields of the type…): the flat table of one type of child with its parent's position.
+
+    Lines are parsed once; of other nodes only the labels are moved.
+    """
+    nodes = node_table(lines, key, line)
+    linked = link_children(nodes.withColumn("fields", F.when(F.col("node") == kind, F.col("fields"))), key).filter(F.col("node") == kind)
+    return linked.select(key, "parent_pos", "pos", F.from_json("fields", _schema_of(kind)).alias("_f")).select(key, "parent_pos", "pos", "_f.*")
+
+
 def child_rows(lines: DataFrame, key: str = "line_no", line: str = "line") -> DataFrame:
     """(``key``, child, parent_pos, pos): one row per child of each line that is an object."""
     linked = link_children(node_table(lines, key, line, with_fields=False), key)

@@ -28,9 +28,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p3_choices(spark: SparkSession, folder: str) -> DataFrame:
     """The flat table of choices, each with the position of its group."""
-    nodes = nested.node_table(table(spark, folder, "item_lines"))
-    parents = nested.link_children(nodes).select("occurrence", "pre", "parent_pos")
-    return nested.typed_table(nodes, "choice").join(parents, ["occurrence", "pre"]).select("line_no", "parent_pos", "pos", "label", "text")
+    return nested.typed_children(table(spark, folder, "item_lines"), "choice")
 
 
 # --- scans and projections
@@ -167,6 +165,12 @@ def graded_attempts(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.graded(spark, folder).select("item_ord", "resp_id", "model", "correct", F.col("parse_error").isNull().alias("parsed"))
 
 
+def graded_attempts_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every item of more than ten responses taken for hot."""
+    out = answers.attempts(pipeline.items(spark, folder), table(spark, folder, "solver_responses"), hot_rows=10)
+    return out.select("item_ord", "resp_id", "model", "correct", F.col("parse_error").isNull().alias("parsed"))
+
+
 def predicted_answers(spark: SparkSession, folder: str) -> DataFrame:
     g = pipeline.graded(spark, folder)
 
@@ -420,7 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = [
         p3_found, p3_choices, jsonl_scan, record_identifiers, answer_key_flatten, normalized_texts, content_token_stats, abstract_structures,
         seed_choices, distinctive_terms, main_texts, novelty_lexical_riskiest, own_seed_similarity, own_seed_phrases, novelty_full, novelty_summary,
-        novelty_failure_reasons, stored_novelty_summary, json_salvage, graded_attempts, predicted_answers, item_accuracies, solver_model_totals,
+        novelty_failure_reasons, stored_novelty_summary, json_salvage, graded_attempts, graded_attempts_salted, predicted_answers, item_accuracies, solver_model_totals,
         solver_overall, orphan_responses, response_rows_invalid, generation_outcomes, failed_generations, explode_generated_items, redacted_items,
         rendered_prompts, judge_gate, judged_lines, seed_lookup, rule_counts, line_errors, validation_totals, item_rule_counts, gate_issues,
         hardness_ranks, prefix_mean_cutoff, selected_items, filter_summary, rejection_histogram, hardest_accepted, type_quota, passage_sets,

@@ -345,6 +345,7 @@ WITH g AS (SELECT unnest(answer_groups) AS g FROM generated_items), l AS (SELECT
 SELECT label, count(*) AS answers, round(count(*) / (SELECT count(*) FROM l), 6) AS share FROM l GROUP BY label""",
         "score_scale": "SELECT judge.score AS score, count(*) AS items, judge.score BETWEEN 1 AND 5 AS in_scale FROM generated_items WHERE judge.score IS NOT NULL GROUP BY ALL",
         "graded_attempts": _GRADED + "SELECT item_ord, resp_id, model, parsed, correct FROM graded",
+        "graded_attempts_salted": _GRADED + "SELECT item_ord, resp_id, model, parsed, correct FROM graded",
         "item_accuracies": _GRADED + """
 SELECT i.item_ord, count(resp_id) AS attempts, count(*) FILTER (correct) AS correct, round(count(*) FILTER (correct) / nullif(count(resp_id), 0), 4) AS solver_accuracy
 FROM generated_items i LEFT JOIN graded g ON g.item_ord = i.item_ord GROUP BY i.item_ord""",
