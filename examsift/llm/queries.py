@@ -91,6 +91,15 @@ def p7_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return copies.collapsed_items(table(spark, folder, "generated_items"))
 
 
+def p7_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """p7_found with every content of two rows or more taken for hot: salted, on two levels, joined back by broadcast."""
+    return copies.hidden_copies(table(spark, folder, "generated_items"), hot_rows=1)
+
+
+def p7_collapsed_salted(spark: SparkSession, folder: str) -> DataFrame:
+    return copies.collapsed_items(table(spark, folder, "generated_items"), hot_rows=1)
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizing.encode_corpus(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
@@ -153,7 +162,7 @@ def p10_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = [p1_found, p1_items_leaked, p2_order, p2_by_tasks, p4_found, p4_groups, p5_found, p5_plan, p5_totals, p5_cells, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p8_ids, p8_round_trip, p8_spans, p9_found, p9_mixture, p9_shares, p9_checks, p10_found, p10_shares, p10_lines]
+    every = [p1_found, p1_items_leaked, p2_order, p2_by_tasks, p4_found, p4_groups, p5_found, p5_plan, p5_totals, p5_cells, p5_sample, p6_found, p6_rates, p7_found, p7_collapsed, p7_salted, p7_collapsed_salted, p8_ids, p8_round_trip, p8_spans, p9_found, p9_mixture, p9_shares, p9_checks, p10_found, p10_shares, p10_lines]
     return {f.__name__: f for f in every}
 
 
@@ -252,6 +261,8 @@ FROM t LEFT JOIN l ON l.x = item_ord LEFT JOIN m ON m.x = item_ord""",
         "p5_cells": _P5_PLAN + "SELECT question_type, subtype, difficulty, available, wanted, short IS NULL AS met, short, true AS holds FROM m",
         "p7_found": _ITEM_FORM + "SELECT keep_ord, item_ord FROM (SELECT item_ord, min(item_ord) OVER (PARTITION BY stem_form, choice_forms) AS keep_ord FROM k) WHERE item_ord <> keep_ord",
         "p7_collapsed": _ITEM_FORM + "SELECT min(item_ord) AS item_ord, count(*) AS n_copies FROM k GROUP BY stem_form, choice_forms",
+        "p7_salted": _ITEM_FORM + "SELECT keep_ord, item_ord FROM (SELECT item_ord, min(item_ord) OVER (PARTITION BY stem_form, choice_forms) AS keep_ord FROM k) WHERE item_ord <> keep_ord",
+        "p7_collapsed_salted": _ITEM_FORM + "SELECT min(item_ord) AS item_ord, count(*) AS n_copies FROM k GROUP BY stem_form, choice_forms",
         "p8_round_trip": "SELECT doc_id FROM documents WHERE false",
         "p8_spans": "SELECT doc_id, CASE WHEN text <> '' THEN 0 END AS first, CASE WHEN text <> '' THEN length(text) END::INT AS last, true AS whole FROM documents",
         "p9_checks": "SELECT source, target_share, max_repeats, true AS draws_hold, true AS tokens_hold FROM mix_targets",

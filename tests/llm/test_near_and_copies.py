@@ -107,7 +107,7 @@ def test_dart_agreement_estimates_weighted_jaccard():
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id bigint, text string")
-    assert nd.similar_records(df).collect() == []
+    assert nd.similar_records(df).collect() == [] and nd.similar_groups(df).collect() == []
     items = spark.createDataFrame([], "item_ord bigint, stem string, answer_groups array<struct<choices:array<struct<label:string,text:string>>>>, stimulus string, explanation string")
     assert copies.hidden_copies(items).collect() == [] and copies.collapsed_items(items).collect() == []
     assert nd.similar_items(items).collect() == []
