@@ -18,10 +18,6 @@ _NUMBER = r"\d+(?:[.,:/-]\d+)*(?:%| percent)?"
 _BLANK = r"\[[^\]]*blank[^\]]*\]"
 
 
-def _set(words: list[str]) -> Column:
-    return F.array(*map(F.lit, words))
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body (or a lambda in it) uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

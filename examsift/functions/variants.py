@@ -42,10 +42,6 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "struct<_:variant>").isNotNull()
 
 
-def is_array(v: Column) -> Column:
-    return elements(v).isNotNull()
-
-
 def is_null(v: Column) -> Column:
     """Missing or JSON null."""
     return v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(True))
@@ -75,20 +71,11 @@ def is_true(v: Column) -> Column:
     return F.coalesce((kind(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"), F.lit(False))
 
 
-def is_false(v: Column) -> Column:
-    return F.coalesce((kind(v) == "BOOLEAN") & ~F.try_variant_get(v, "$", "boolean"), F.lit(False))
-
-
 def text(v: Column) -> Column:
     """Any value as text: strings as they are, the rest as JSON; NULL where missing or null."""
     return F.when(~is_null(v), F.when(is_string(v), F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v)))
 
 
-def is_filled(v: Column) -> Column:
-    """A string that is not blank."""
-    return F.coalesce(F.regexp_replace(string(v), r"(?U)\s+", "") != "", F.lit(False))
-
-
 def list_of(v: Column) -> Column:
     """Elements of an array; an empty array for anything else."""
     return F.coalesce(elements(v), F.array().cast("array<variant>"))

@@ -16,8 +16,6 @@ from examsift.functions import variants as V
 from examsift.functions.constants import ANSWER_KEYS, GROUP_ANSWER_KEYS
 from examsift.operators.answers import salvage, unfence
 
-VARIANTS = "map<string,variant>"
-
 
 def seed_name(seed_id: Column, ord_: Column) -> Column:
     """Identifier of a seed for generation: its own if not null or empty, else seed-<ord>."""

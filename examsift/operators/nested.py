@@ -29,7 +29,6 @@ SHAPE: dict[str, dict[str, tuple[str, str]]] = {
     "judge": {"issues": ("judge_issue", "s")},
 }
 PARENT = {child: parent for parent, keys in SHAPE.items() for child, _ in keys.values()}
-TYPES = ["item", *PARENT]
 
 
 class _Walk:
