@@ -284,16 +284,6 @@ def _links(texts: DataFrame, signed: DataFrame, width: int, percent: int, miss:
     return checked.select("a", "b", "_j.common", "_j.either").filter((F.col("common") > 0) & (F.col("common") * 100 >= F.col("either") * percent))
 
 
-def similar_texts(texts: DataFrame, width: int = 5, percent: int = 80, rows: int = 4, miss: float = 2e-4) -> DataFrame:
-    """(a, b, common, either): pairs of different ids whose Jaccard of distinct word runs is at least ``percent`` / 100.
-
-    ``texts`` has id and text, ids distinct. DartMinHash band keys select the pairs, an exact count on
-    both texts decides. A pair at the threshold is missed with probability ``miss``, others with less.
-    Null and empty texts, and texts of fewer than ``width`` words, are in no pair.
-    """
-    return _links(texts, _signed_records(texts, width, percent, rows, miss), width, percent, miss)
-
-
 def _classes(signed: DataFrame, hot_rows: int) -> DataFrame:
     """(id, keep, n_copies): members of classes of several records with the same words in the same order, named by the smallest id."""
     return cut_lineage(smallest_of_key(signed.select("id", "form"), "form", "id", hot_rows).filter("n_copies > 1").select("id", "keep", "n_copies"))
@@ -317,8 +307,11 @@ def _expanded(links: DataFrame, classes: DataFrame, side: str) -> DataFrame:
 
 
 def similar_records(texts: DataFrame, width: int = 5, percent: int = 80, rows: int = 4, miss: float = 2e-4, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(a, b), a < b: all pairs of records at or above the threshold, copies included.
+    """(a, b), a < b: all pairs of records whose Jaccard of distinct word runs is at least ``percent`` / 100, copies included.
 
+    ``texts`` has id and text, ids distinct. DartMinHash band keys select the pairs, an exact count on both texts decides. A
+    pair at the threshold is missed with probability ``miss``, others with less. Null and empty texts are in no pair; texts of
+    fewer than ``width`` words only with copies of theirs.
     Records with the same words are first collapsed to classes and only one text per class is
     compared. Classes are written out as all their pairs, and a link between two classes as all
     pairs across; large classes in blocks, so that no task holds one. ``similar_groups`` gives the same

@@ -109,20 +109,6 @@ def _iterate(sums: Sums, flows: Callable[[], np.ndarray], steps: int, tolerance:
         before = now
 
 
-def walk_states(scores: np.ndarray, counts: np.ndarray, damping: float, steps: int, tolerance: float) -> np.ndarray:
-    """Stationary probability of one item of each state, without Spark. ``scores``: states x scores, NaN for none."""
-    values, sizes = [], []
-    for k in range(scores.shape[1]):
-        has = ~np.isnan(scores[:, k])
-        v, codes = np.unique(scores[has, k], return_inverse=True)
-        values.append(v)
-        sizes.append(np.bincount(codes, counts[has], len(v)))
-    sums = Sums(values, sizes, counts.sum(), damping)
-    codes, own, number = sums.place(scores)
-    _iterate(sums, lambda: sums.flows(codes, own, number, counts), steps, tolerance)
-    return sums.mass(codes, number)
-
-
 def _numbers(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
     columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
     return np.stack([columns[n].to_numpy(zero_copy_only=False).astype(float) for n in names], axis=1) if names else np.empty((batch.num_rows, 0))
