@@ -35,11 +35,13 @@ _NONE = np.uint64(2**64 - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser (splitmix64)."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+    """64-bit finaliser (splitmix64) of an array."""
+    y = x ^ (x >> np.uint64(30))
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 class WordHash:
@@ -143,8 +145,8 @@ class DartMinHash:
                 if part is not None:
                     inside = (mix(dart + np.uint64(3)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 < part[at[hit]]
                     dart, thrown = dart[inside], hit[inside]
-                spot = (mix(dart + np.uint64(1)) >> np.uint64(32)) * np.uint64(self.k) >> np.uint64(32)
-                # whole rank in the high bits, the dart's own bits below
+                spot = (dart >> np.uint64(32)) * np.uint64(self.k) >> np.uint64(32)
+                # whole rank in the high bits, the dart's own bits below: those within a spot stay random
                 np.minimum.at(best, owner[at[thrown]] * self.k + spot.astype(np.int64), ((rank[thrown] + np.uint64(1)) << np.uint64(40)) | (dart >> np.uint64(24)))
 
 
