@@ -200,22 +200,27 @@ def endings(text: Column) -> Column:
     return look(text)
 
 
-def fit_censored(lengths: np.ndarray, weights: np.ndarray, censored: np.ndarray) -> tuple[float, float]:
-    """(mu, sigma) of the log-normal that maximises the likelihood of whole lengths and of right-censored ones (EM)."""
+def fit_censored(lengths: np.ndarray, weights: np.ndarray, censored: np.ndarray, start: tuple[float, float] | None = None, rounds: int = 200) -> tuple[float, float]:
+    """(mu, sigma) of the log-normal that maximises the likelihood of whole lengths and of right-censored ones (EM, from ``start`` if given)."""
     y, whole = np.log(np.maximum(lengths, 1.0)), ~censored
     use = weights[whole].sum() > 0
-    mu = float(np.average(y[whole], weights=weights[whole])) if use else float(np.average(y, weights=weights))
-    sigma = max(0.05, float(np.sqrt(np.average((y - mu) ** 2, weights=weights))))
-    erfc = np.vectorize(math.erfc)
-    for _ in range(200 if censored.any() and use else 0):
-        z = (y[censored] - mu) / sigma
-        hazard = np.exp(-z * z / 2) / math.sqrt(2 * math.pi) / np.maximum(erfc(z / math.sqrt(2)) / 2, 1e-12)
+    if start and use:
+        mu, sigma = start
+    else:
+        mu = float(np.average(y[whole], weights=weights[whole])) if use else float(np.average(y, weights=weights))
+        sigma = max(0.05, float(np.sqrt(np.average((y - mu) ** 2, weights=weights))))
+    total = weights.sum()
+    # whole lengths enter by their sums, which no round changes
+    once, twice = float((weights[whole] * y[whole]).sum()), float((weights[whole] * y[whole] ** 2).sum())
+    y, weights = y[censored], weights[censored]
+    for _ in range(rounds if censored.any() and use else 0):
+        z = (y - mu) / sigma
+        hazard = np.exp(-z * z / 2) / math.sqrt(2 * math.pi) / np.maximum(_survival(z), 1e-12)
         hazard = np.where(z > 6, z + 1 / np.maximum(z, 1), hazard)  # its limit where the tail underflows
-        first, second = y.copy(), y * y
-        first[censored] = mu + sigma * hazard
-        second[censored] = mu * mu + sigma * sigma + sigma * (y[censored] + mu) * hazard
-        new_mu = float(np.average(first, weights=weights))
-        new_sigma = max(0.05, math.sqrt(max(1e-6, float(np.average(second, weights=weights)) - new_mu * new_mu)))
+        first = mu + sigma * hazard
+        second = mu * mu + sigma * sigma + sigma * (y + mu) * hazard
+        new_mu = (once + float((weights * first).sum())) / total
+        new_sigma = max(0.05, math.sqrt(max(1e-6, (twice + float((weights * second).sum())) / total - new_mu * new_mu)))
         moved = abs(new_mu - mu) + abs(new_sigma - sigma)
         mu, sigma = new_mu, new_sigma
         if moved < 1e-6:
@@ -303,7 +308,7 @@ def fit_source(ends: np.ndarray, lengths: np.ndarray, counts: np.ndarray, width:
         worth = np.concatenate([resp[0], resp[2] + resp[3]])
         keep = worth > 1e-6
         if keep.any():
-            mu, sigma = fit_censored(np.concatenate([lengths, lengths])[keep], worth[keep], np.repeat([False, True], len(lengths))[keep])
+            mu, sigma = fit_censored(np.concatenate([lengths, lengths])[keep], worth[keep], np.repeat([False, True], len(lengths))[keep], (mu, sigma), 20)
     return {"mu": mu, "sigma": sigma, "plain_mu": plain_mu, "plain_sigma": plain_sigma, "mix": mix.tolist(), "theta": [t.tolist() for t in theta], "limits": limits, "weights": weights.tolist()}
 
 
