@@ -308,7 +308,7 @@ def fit_source(ends: np.ndarray, lengths: np.ndarray, counts: np.ndarray, width:
         worth = np.concatenate([resp[0], resp[2] + resp[3]])
         keep = worth > 1e-6
         if keep.any():
-            mu, sigma = fit_censored(np.concatenate([lengths, lengths])[keep], worth[keep], np.repeat([False, True], len(lengths))[keep], (mu, sigma), 20)
+            mu, sigma = fit_censored(np.concatenate([lengths, lengths])[keep], worth[keep], np.repeat([False, True], len(lengths))[keep], (mu, sigma), 5)
     return {"mu": mu, "sigma": sigma, "plain_mu": plain_mu, "plain_sigma": plain_sigma, "mix": mix.tolist(), "theta": [t.tolist() for t in theta], "limits": limits, "weights": weights.tolist()}
 
 
@@ -361,24 +361,29 @@ def judge_endings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = texts.select("tbl", "row_key", "source", endings(F.col("text")).alias("_e"))
     seen = cut_lineage(seen.select("tbl", "row_key", "source", "_e.kind", "_e.marked", "_e.n_chars"))
     fits = cut_lineage(_counts(seen).groupBy("tbl", "source").applyInPandas(_fit_group, f"tbl string, source string, {_FIT}"))
-    named = broadcast_if_small(fits.withColumnsRenamed({"tbl": "_t", "source": "_s"}))
-    joined = seen.join(named, (F.col("tbl") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")), "left")
+    # what every text of a source needs is worked out once per source: the parts' shares of each ending, the limits, the mean
+    shares = F.transform(F.array(*[F.lit(i) for i in range(len(ENDS))]), lambda e: F.transform("theta", lambda t, k: F.get(t, e) * F.get("mix", k)))
+    mean = F.exp(F.least(F.lit(50.0), F.col("mu") + F.col("sigma") * F.col("sigma") / 2))
+    known = fits.select(
+        F.col("tbl").alias("_t"), F.col("source").alias("_s"), "mu", "sigma", "plain_mu", "plain_sigma", mean.alias("mean"),
+        F.map_from_arrays(F.array(*map(F.lit, ENDS)), shares).alias("shares"), F.map_from_arrays("limits", "weights").alias("at"),
+    )
+    joined = seen.join(broadcast_if_small(cut_lineage(known)), (F.col("tbl") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     end = F.concat("kind", F.when(F.col("marked") & F.col("kind").isin(*BROKEN_ENDS), "+").otherwise(""))
-    place = F.array_position(F.array(*map(F.lit, ENDS)), end).cast("int") - 1
-    size = F.greatest(F.col("n_chars"), F.lit(1))
+    parts = joined.withColumns({"_share": F.try_element_at("shares", end), "_y": F.log(F.greatest(F.col("n_chars"), F.lit(1)))})
 
     def log_normal(mu: str, sigma: str) -> Column:
-        z = (F.log(size) - F.col(mu)) / F.col(sigma)
-        return F.exp(-z * z / 2) / (size * F.col(sigma) * math.sqrt(2 * math.pi))
-
-    lengths = {
-        "whole": log_normal("mu", "sigma"),
-        "plain": log_normal("plain_mu", "plain_sigma"),
-        "limit": F.coalesce(F.try_element_at(F.map_from_arrays("limits", "weights"), F.col("n_chars")), F.lit(0.0)),
-        "transfer": _tail((F.log(size) - F.col("mu")) / F.col("sigma")) / F.exp(F.least(F.lit(50.0), F.col("mu") + F.col("sigma") * F.col("sigma") / 2)),
-    }
-    parts = joined.withColumn("_end", place).withColumns({f"_s_{c}": F.get(F.get("theta", F.lit(i)), F.col("_end")) * F.get("mix", F.lit(i)) for i, c in enumerate(PARTS)})
-    parts = parts.withColumns({f"_{c}": F.col(f"_s_{c}") * d for c, d in lengths.items()} | {"_alone": F.col("_s_limit") + F.col("_s_transfer") - F.col("_s_whole") - F.col("_s_plain")})
+        z = (F.col("_y") - F.col(mu)) / F.col(sigma)
+        return F.exp(-z * z / 2 - F.col("_y")) / (F.col(sigma) * math.sqrt(2 * math.pi))
+
+    densities = [
+        log_normal("mu", "sigma"),
+        log_normal("plain_mu", "plain_sigma"),
+        F.coalesce(F.try_element_at("at", F.col("n_chars")), F.lit(0.0)),
+        _tail((F.col("_y") - F.col("mu")) / F.col("sigma")) / F.col("mean"),
+    ]
+    parts = parts.withColumns({f"_s_{c}": F.get("_share", F.lit(k)) for k, c in enumerate(PARTS)})
+    parts = parts.withColumns({f"_{c}": F.col(f"_s_{c}") * d for c, d in zip(PARTS, densities)} | {"_alone": F.col("_s_limit") + F.col("_s_transfer") - F.col("_s_whole") - F.col("_s_plain")})
     cut, whole = F.col("_limit") + F.col("_transfer") + F.lit(1e-300), F.col("_whole") + F.col("_plain") + F.lit(1e-300)
     counted = F.coalesce(F.col("kind") != "empty", F.lit(False))
     judged = parts.withColumns({"posterior": F.when(counted, cut / (cut + whole)).otherwise(0.0), "log_odds": F.when(counted, F.log(cut / whole))})
