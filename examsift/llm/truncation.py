@@ -68,6 +68,8 @@ EXACT = 8192
 #: Characters at the end of a text in which marks and labels are looked for.
 TAIL = 120
 MARKS = re.compile(r"(?:\s*(?:…|\.{3,}|\[\s*(?:…|\.{3}|truncated|cut off|continued)\s*\]|\(\s*(?:…|\.{3}|truncated|cut off|continued)\s*\)|<\s*truncated\s*>))+\s*$", re.I)
+#: Characters that a mark can end with: without one of them none is looked for.
+MARK_ENDS = frozenset("….])>")
 #: Three dots right behind a word.
 TRAILING = re.compile(r"\w\.\.\.\s*$")
 DOTS = re.compile(r"\.\.\.\s*$")
@@ -93,8 +95,8 @@ def ending(text: str) -> tuple[str, bool, int]:
     if not bare:
         return "empty", False, len(text)
     tail = text[-TAIL:]
-    mark = MARKS.search(tail)
-    if TRAILING.search(tail):
+    mark = MARKS.search(tail) if bare[-1] in MARK_ENDS else None
+    if mark and TRAILING.search(tail):
         mark = None
     size = len(text)
     if mark and not SENTENCE.search(tail[: mark.start()].rstrip()[-16:]):
@@ -115,7 +117,7 @@ def _last_string(content: str) -> tuple[str, bool, int] | None:
     """The same for the last string of a closed JSON value with only closers, fences and marks behind it, up to the
     end of the string; None if there is none or it is no broken prose."""
     bare = content.rstrip()
-    while (shorter := MARKS.sub("", FENCE.sub("", bare[-TAIL:]))) != bare[-TAIL:]:
+    while (bare[-1:] in MARK_ENDS or "`" in bare[-TAIL:]) and (shorter := MARKS.sub("", FENCE.sub("", bare[-TAIL:]))) != bare[-TAIL:]:
         bare = (bare[:-TAIL] + shorter).rstrip()
     bare = bare.rstrip(" \t\r\n]}")
     if not bare.endswith('"'):
