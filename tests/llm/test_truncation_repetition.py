@@ -221,6 +221,14 @@ def test_line_rules(line, rule):
     assert [n for n in rp.LINE_RULES if counts[f"by_{n}"]] == ([rule] if rule else []) and kept == ([] if rule else [line])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", " ", "\n", "\r", "\r\n", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u2028", "\u2029", "\t"]), max_size=12))
+def test_lines_end_at_any_break(parts):
+    text = "".join(parts)
+    counts, kept = rp.judge_lines(text)
+    assert kept == rp.BREAK.split(text) and counts["n_lines"] == sum(bool(x.strip()) for x in rp.BREAK.split(text))
+
+
 def test_clean_lines(spark):
     again = "we keep the same five words here"
     rows = [(1, f"Keep this line.\n-----\nHome | About | Contact\n\n{again}\r\nAnother one.\n{again}"), (2, "***\n***\nshort"), (3, None), (4, "All rights reserved\n<p></p>"), (5, "---")]
